@@ -187,14 +187,20 @@ def id_lines(
     return lines.unionByName(none)
 
 
-def missing_date_report(
-    sources: Sequence[tuple[DataFrame, str, str]], *, by: Sequence[str] = (), per_line: int = 1000
-) -> tuple[DataFrame, DataFrame]:
-    """Undated ids as rows, and as text lines for a page. No rows mean no message."""
-    ids = undated_ids(sources, by=by)
-    lines = id_lines(ids, by=by, per_line=per_line)
+def undated_message(
+    ids: DataFrame, *, by: Sequence[str] = (), per_line: int = 1000
+) -> DataFrame:
+    """Undated ids as text lines for a page. No ids, no message."""
     message = F.concat(
         F.lit("These IDs have no exclusion/enrollment date entered and are not included: "),
         F.col("ids"),
     )
-    return ids, lines.withColumn("message", message)
+    return id_lines(ids, by=by, per_line=per_line).withColumn("message", message)
+
+
+def missing_date_report(
+    sources: Sequence[tuple[DataFrame, str, str]], *, by: Sequence[str] = (), per_line: int = 1000
+) -> tuple[DataFrame, DataFrame]:
+    """Undated ids of several tables: as rows, and as text lines."""
+    ids = undated_ids(sources, by=by)
+    return ids, undated_message(ids, by=by, per_line=per_line)

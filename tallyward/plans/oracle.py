@@ -1,4 +1,4 @@
-"""The warehouse queries in plain SQL, written without a look at the operators' plans.
+"""The warehouse queries in plain SQL.
 
 Joins, grids and unions are spelled out in the simplest way here; the operators reach
 the same tables by counting first and joining less.
@@ -8,9 +8,6 @@ from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
 
-_MONTH = "strftime({0}, '%Y-%m')"
-
-
 def _month(col: str) -> str:
     return f"coalesce(strftime({col}, '%Y-%m'), 'NA-NA')"
 
@@ -262,13 +259,10 @@ ORACLE["daily_status_counts_as_of"] = _TIMELINE + _TIMELINE_COUNTS.format(
 def _compliance(by: str = "", once: bool = False, as_of: str | None = None) -> str:
     lead = f"{by}, " if by else ""
     cut = f"AND study_date <= DATE '{as_of}'" if as_of else ""
-    joined = "SELECT DISTINCT" if once else "SELECT"
-    n_expected = "count(*)"
     source = "observed"
     if once:
         source = """(SELECT id, event, max(over_ten) AS over_ten, max(taxed) AS taxed
                      FROM observed GROUP BY ALL)"""
-        joined = "SELECT"
     return f"""
     WITH stays AS (
       SELECT o_orderkey AS id, o_orderpriority, CAST(o_orderdate AS DATE) AS enroll_date,
@@ -293,13 +287,13 @@ def _compliance(by: str = "", once: bool = False, as_of: str | None = None) -> s
              l_quantity - 10 AS over_ten, l_tax AS taxed
       FROM lineitem),
     rows AS (
-      {joined} {lead}day, day_ord, o.over_ten, o.taxed
+      SELECT {lead}day, day_ord, o.over_ten, o.taxed
       FROM expected LEFT JOIN {source} o USING (id, event)),
     long AS (
       SELECT {lead}day, day_ord, 'purple' AS measure, over_ten AS drawn FROM rows
       UNION ALL SELECT {lead}day, day_ord, 'blue', taxed FROM rows),
     sums AS (
-      SELECT {lead}day, day_ord, measure, {n_expected} AS n_expected,
+      SELECT {lead}day, day_ord, measure, count(*) AS n_expected,
              count(*) FILTER (drawn > 0) AS n_done
       FROM long WHERE NOT (measure = 'blue' AND day IN ('Day 3', 'Day 5')) GROUP BY ALL)
     SELECT *, n_done / n_expected AS compliance FROM sums"""

@@ -1,30 +1,27 @@
-"""Writing derived tables, one partition per reference date."""
+"""Writing derived tables, one folder per reference date."""
 
 from __future__ import annotations
 
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+
+def _folder(path: str, as_of: dt.date) -> str:
+    return f"{path}/as_of={as_of.isoformat()}"
 
 
 def write_product(df: DataFrame, path: str, as_of: dt.date, *, fmt: str = "parquet") -> None:
-    """Write a table under ``as_of=<date>``.
+    """Write a table as partition ``as_of=<date>`` of the table at ``path``.
 
-    A re-run for the same date replaces that partition and leaves the others, so a
-    periodic job can be repeated after a failure.
+    A re-run for the same date replaces that partition, also with an empty table, and
+    leaves other dates alone, so a periodic job can be repeated after a failure. Empty
+    CSV fields stand for nulls.
     """
-    writer = (
-        df.withColumn("as_of", F.lit(as_of))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("as_of")
-    )
-    if fmt == "csv":
-        writer = writer.options(header=True, nullValue="", emptyValue="", quoteAll=False, escape='"')
-    writer.format(fmt).save(path)
+    options = {"header": True, "nullValue": "", "escape": '"'} if fmt == "csv" else {}
+    df.write.mode("overwrite").format(fmt).options(**options).save(_folder(path, as_of))
 
 
 def read_product(spark: SparkSession, path: str, as_of: dt.date) -> DataFrame:
     """Read one reference date of a table written as Parquet."""
-    return spark.read.parquet(path).where(F.col("as_of") == F.lit(as_of)).drop("as_of")
+    return spark.read.parquet(_folder(path, as_of))

@@ -1,0 +1,147 @@
+"""A small hand-made study that reaches every branch, as landed CSV text.
+
+Expected tables are in test_study.py; they were worked out by hand.
+"""
+
+from __future__ import annotations
+
+import csv
+import datetime as dt
+from pathlib import Path
+
+from tallyward.plans.icu_study import CAREGIVER, ICU_STUDY, SURROGATE
+
+AS_OF = dt.date(2019, 3, 1)
+ENROL = "Enrollment /Trial Day 1"
+
+# id -> enrolment, discharge, death, withdrawal
+STAYS = {
+    "VMO-001": ("2018-03-10", "2018-03-20", None, None),
+    "VMO-020": ("2018-07-01", "2018-07-05", None, None),
+    "VMO-021": ("2018-07-10", None, "2018-07-13", None),
+    "VMO-022": ("2018-08-01", None, None, "2018-08-04"),
+    "VMO-023": ("2018-09-01", "2018-09-10", "2018-09-25", None),
+    "VMO-024": ("2019-02-20", None, None, None),
+    "VMO-025": (None, None, None, None),
+    "VMO-026": ("2018-12-15", "2019-01-20", None, None),
+    "VMO-027": ("2018-10-01", "2018-10-06", None, None),
+    "VMO-028": ("2018-10-02", "2018-10-08", None, None),
+    "VMO-Test1": ("2018-03-11", None, None, None),
+}
+EXCLUDED = {
+    "E1": ("2018-03-05", (14,)),
+    "E2": ("2018-03-07", (1, 2)),
+    "E3": ("2018-07-02", (9,)),
+    "E4": (None, (10,)),
+    "TEST9": ("2018-03-01", (1,)),
+}
+
+
+def _time(date):
+    return None if date is None else f"{date} 09:00"
+
+
+def inhosp_rows():
+    rows = {}
+    for pid, (enrolled, discharged, died, withdrew) in STAYS.items():
+        rows[pid, ENROL] = {
+            "enroll_dttm": _time(enrolled),
+            "hospdis_dttm": _time(discharged),
+            "death_dttm": _time(died),
+            "studywd_dttm": withdrew,
+        }
+
+    def add(pid, event, **values):
+        rows.setdefault((pid, event), {}).update(values)
+
+    # batteries
+    add("VMO-001", ENROL, **{c: "Yes" for c in (*SURROGATE, *CAREGIVER) if c in SURROGATE})
+    add("VMO-001", ENROL, bdi_comp_ph=None)
+    add("VMO-001", ENROL, **{c: "Yes, fully" for c in CAREGIVER})
+    add("VMO-020", ENROL, **{c: "Yes, partially" for c in SURROGATE})
+    add("VMO-020", ENROL, zarit_comp_ph="Yes", memory_comp_ph="No")
+    # specimens
+    add("VMO-020", ENROL, study_day_specimen_e="Enrollment/Day 1", blue_drawn="1", purple_drawn="2")
+    add(
+        "VMO-020", "Trial Day 5",
+        study_day_specimen_5="Day 5 and Discharge", blue_drawn="1", purple_drawn="0",
+    )
+    add("VMO-001", ENROL, study_day_specimen_e="Enrollment/Day 1", blue_drawn="0", purple_drawn="1")
+    add("VMO-023", "Trial Day 3", purple_drawn="1")
+    # device
+    add("VMO-020", ENROL, daily_date="2018-07-01", coord_ever="Yes", bed_device_num="0")
+    add(
+        "VMO-020", "Trial Day 4", daily_date="2018-07-04", coord_ever="Yes", bed_device_num="2",
+        bed_remove_why_1="Bathing", bed_remove_why_2="Permanent discontinuation",
+    )
+    add(
+        "VMO-023", "Trial Day 5", daily_date="2018-09-05", coord_ever="No", bed_device_num="1",
+        bed_remove_why_1="Permanent discontinuation",
+    )
+    add(
+        "VMO-024", "Trial Day 3", daily_date="2019-02-22", coord_ever="Yes", bed_device_num="1",
+        bed_remove_why_1="Permanent discontinuation",
+    )
+    return [{"id": pid, "redcap_event_name": ev, **v} for (pid, ev), v in rows.items()]
+
+
+def exc_rows():
+    return [
+        {"exc_id": eid, "exc_date": date, **{f"exc_rsn___{c}": "Checked" for c in codes}}
+        for eid, (date, codes) in EXCLUDED.items()
+    ]
+
+
+def fu_rows():
+    one, three, twelve = "1 Month Phone Call", "3 Month Assessment", "12 Month Assessment"
+    return [
+        {"id": "VMO-001", "redcap_event_name": three, "gq_complete_yn": "Yes",
+         "gq_date": "2018-06-15", "rbans_date_complete": "2018-6-20"},
+        {"id": "VMO-020", "redcap_event_name": three, "gq_complete_yn": "Yes, partially"},
+        {"id": "VMO-020", "redcap_event_name": one, "ls_complete_yn": "Yes"},
+        {"id": "VMO-027", "redcap_event_name": three, "gq_rsn": "Patient refusal"},
+        {"id": "VMO-001", "redcap_event_name": twelve},
+    ]
+
+
+INHOSP_COLS = [
+    "id", "redcap_event_name", "enroll_dttm", "death_dttm", "hospdis_dttm", "studywd_dttm",
+    "daily_date", *SURROGATE, *CAREGIVER, "specimen_date", *ICU_STUDY.time_cols, "blue_drawn",
+    "purple_drawn", "coord_ever", "bed_device_num", *ICU_STUDY.slot_cols,
+]
+EXC_COLS = ["exc_id", "exc_date", *(f"exc_rsn___{c}" for c in (*range(1, 17), 99))]
+COMPLETION = {
+    "rbans": "rbans_completed", "trails": "trails_completed", "pase": "pase_comp_ph",
+    "emp": "emp_complete", "hus": "hus_complete", "bpi": "bpi_complete",
+}
+DATES = {"rbans": "rbans_date_complete", "trails": "trails_date_compl", "sppb": "sppb_datecomp"}
+FU_COLS = [
+    "id", "redcap_event_name", "gq_rsn",
+    *(COMPLETION.get(s, f"{s}_complete_yn") for s in ICU_STUDY.instruments.all),
+    *(DATES.get(s, f"{s}_date") for s in ICU_STUDY.instruments.dated),
+    "free_text",
+]
+
+
+def _write(path, cols, rows, extra=()):
+    path.mkdir(parents=True)
+    with open(path / "export.csv", "w", newline="") as f:
+        writer = csv.DictWriter(f, [*extra, *cols], restval=None)
+        writer.writeheader()
+        writer.writerows(rows)
+
+
+def land(folder: Path, studies=()):
+    """Write the three exports; with ``studies``, every row once per study id."""
+    tables = {
+        "inhosp": (INHOSP_COLS, inhosp_rows()),
+        "exc": (EXC_COLS, exc_rows()),
+        "fu": (FU_COLS, [{**r, "free_text": 'two\nlines, "quoted"'} for r in fu_rows()]),
+    }
+    paths = {}
+    for name, (cols, rows) in tables.items():
+        if studies:
+            rows = [{"study_id": s, **r} for s in studies for r in rows]
+        _write(folder / name, cols, rows, ["study_id"] if studies else [])
+        paths[name] = str(folder / name)
+    return paths
