@@ -52,27 +52,27 @@ def removal_events(
     the last days before the end date is relabelled, as it is preparation only. The
     slot is part of the row, so the same reason in two slots counts twice.
 
-    Removals are counted per entity before the join: all that the end date can
-    change is the label of permanent ones, so only those keep their day. An entity
-    with very many rows enters the join with one row per reason and, for permanent
-    removals, per calendar day.
+    Copies of a row fall together before the shuffle: per entity, reason and day the
+    slots are kept as bits, and the bits are the distinct rows. What is left for the
+    join is bounded by reasons and calendar days, however many rows an entity has.
     """
+    if len(slot_cols) > 63:
+        raise ValueError("at most 63 slots: they are kept as the bits of a long")
     ids = list(id_cols)
-    slots = to_long(days, [*ids, day_col], list(slot_cols), "slot", "reason")
-    per_entity = (
-        slots.distinct()
-        .withColumn("_day", F.when(F.col("reason") == permanent, F.col(day_col)))
-        .groupBy(*ids, "reason", "_day")
-        .agg(F.count("*").alias("n_events"))
+    bits = {c: str(i) for i, c in enumerate(slot_cols)}
+    slots = to_long(days, [*ids, day_col], bits, "slot", "reason")
+    one = F.lit(1).cast("long")
+    per_day = slots.groupBy(*ids, day_col, "reason").agg(
+        F.bit_or(F.call_function("shiftleft", one, F.col("slot").cast("int"))).alias("_slots")
     )
     enrolled = entities.select(*dict.fromkeys([*by, *ids, end_col])).distinct()
-    until_end = days_between(F.col(end_col), F.col("_day"))
+    until_end = days_between(F.col(end_col), F.col(day_col))
     prep = (F.col("reason") == permanent) & is_in(until_end, prep_days)
     return (
-        per_entity.join(enrolled, ids, "inner")
+        per_day.join(enrolled, ids, "inner")
         .withColumn("reason_mod", F.when(prep, F.lit(prep_label)).otherwise(F.col("reason")))
         .groupBy(*dict.fromkeys([*by, *ids]), "reason_mod")
-        .agg(F.sum("n_events").alias("n_events"))
+        .agg(F.sum(F.bit_count("_slots").cast("long")).alias("n_events"))
     )
 
 

@@ -321,7 +321,11 @@ def followup_instruments(
             percent_text(round_half_even(F.col("prop_comp"), 2)),
         ),
     )
-    return with_chart_order(out, [*by, visit_col], "instrument")
+    # Full visits are ordered by share, phone visits by label: their share is left out.
+    share = F.when(is_in(F.col("fu_month"), months[False]), F.col("prop_comp"))
+    return with_chart_order(
+        out.withColumn("_share", share), [*by, visit_col], "asmt_type", "_share"
+    ).drop("_share")
 
 
 def not_yet_assessed(

@@ -11,11 +11,10 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.functions import month_key, month_label, percent, recode
-from tallyward.operators.reshape import to_long
+from tallyward.functions import month_key, month_label, percent
 
 ReasonDim = Mapping[str, tuple[str | None, str]]
 """Box column -> (label, type)."""
@@ -23,12 +22,31 @@ ReasonDim = Mapping[str, tuple[str | None, str]]
 OTHER = "Other exclusions"
 
 
-def _reason_counts(df: DataFrame, groups: list, names: list[str], reason_dim: ReasonDim) -> DataFrame:
-    """Checked boxes per group, long, without zero counts."""
-    counts = df.groupBy(*groups).agg(*(F.count(c).alias(c) for c in reason_dim))
-    long = to_long(counts, names, list(reason_dim), "box", "n").where(F.col("n") > 0)
-    label = {c: d[0] for c, d in reason_dim.items() if d[0] is not None}
-    return long.withColumn("reason", recode(F.col("box"), label))
+def _with_counts(
+    df: DataFrame, groups: Sequence[Column | str], reason_dim: ReasonDim, *extra: Column
+) -> DataFrame:
+    """Checked boxes per group and reason, without zero counts.
+
+    Boxes that share a label are added up. The result is long, one row per group and
+    reason; the records were only read once.
+    """
+    boxes: dict[tuple[str | None, str], list[str]] = {}
+    for box, (label, kind) in reason_dim.items():
+        boxes.setdefault((label, kind or OTHER), []).append(box)
+    counts = [sum((F.count(c) for c in cols), start=F.lit(0)) for cols in boxes.values()]
+    wide = df.groupBy(*groups).agg(
+        *extra, *(n.cast("long").alias(f"_n{i}") for i, n in enumerate(counts))
+    )
+    rows = [
+        F.struct(
+            F.lit(kind).alias("reason_type"),
+            F.lit(label).cast("string").alias("reason"),
+            F.col(f"_n{i}").alias("n"),
+        )
+        for i, (label, kind) in enumerate(boxes)
+    ]
+    kept = wide.columns[: -len(boxes)]
+    return wide.select(*kept, F.inline(F.array(*rows))).where(F.col("n") > 0)
 
 
 def reason_share(
@@ -53,11 +71,7 @@ def reason_share(
     ]
     any_reason = reduce(or_, (F.col(c).isNotNull() for c in reason_dim))
     boxed = excluded.where(any_reason)
-    shares = (
-        _reason_counts(boxed, groups, names, reason_dim)
-        .groupBy(*names, "reason")
-        .agg(F.sum("n").alias("n_this_exclusion"))
-    )
+    shares = _with_counts(boxed, groups, reason_dim).withColumnRenamed("n", "n_this_exclusion")
     entities = (
         boxed.select(*groups, *(F.col(c).alias(f"_id{i}") for i, c in enumerate(id_cols)))
         .distinct()
@@ -82,21 +96,9 @@ def reason_totals(
     excluded: DataFrame, reason_dim: ReasonDim, *, by: Sequence[str] = ()
 ) -> DataFrame:
     """Count per reason over all dates, with its type and the number of excluded rows."""
-    counts = excluded.groupBy(*by).agg(
-        F.count("*").alias("n_patients_exc"), *(F.count(c).alias(c) for c in reason_dim)
-    )
-    long = to_long(counts, [*by, "n_patients_exc"], list(reason_dim), "box", "n")
-    label = {c: d[0] for c, d in reason_dim.items() if d[0] is not None}
-    kind = {c: d[1] for c, d in reason_dim.items()}
-    return (
-        long.where(F.col("n") > 0)
-        .groupBy(
-            *by,
-            recode(F.col("box"), kind, F.lit(OTHER)).alias("reason_type"),
-            recode(F.col("box"), label).alias("reason"),
-            "n_patients_exc",
-        )
-        .agg(F.sum("n").alias("n_reason"))
+    n_rows = F.count("*").alias("n_patients_exc")
+    return _with_counts(excluded, list(by), reason_dim, n_rows).select(
+        *by, "reason_type", "reason", "n_patients_exc", F.col("n").alias("n_reason")
     )
 
 

@@ -591,8 +591,10 @@ p AS (SELECT *, CASE instrument WHEN 'line1' THEN 'First' ELSE upper(instrument)
              n_comp / n_elig AS prop_comp FROM t)
 SELECT *, asmt_type || ': ' || {_pct_text('round_even(prop_comp, 2)')} AS htext,
        {_BAND} AS comp_ok,
-       CAST(row_number() OVER (PARTITION BY redcap_event_name
-                               ORDER BY prop_comp DESC, instrument) AS INT) AS x_sorted
+       CAST(row_number() OVER (
+         PARTITION BY redcap_event_name
+         ORDER BY CASE WHEN fu_month IN (3, 12) THEN prop_comp END DESC, asmt_type) AS INT)
+         AS x_sorted
 FROM p"""
 ORACLE["followup_not_yet_assessed"] = f"""{_followup()}
 SELECT id, redcap_event_name, enter_window, exit_window

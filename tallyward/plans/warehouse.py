@@ -443,7 +443,7 @@ def _orders_with_batteries(spark: SparkSession, sf: str) -> DataFrame:
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(
             *(
-                F.max(F.when(F.col("l_linenumber") == k, F.lit("Yes, fully"))).alias(
+                F.when(F.bool_or(F.col("l_linenumber") == k), F.lit("Yes, fully")).alias(
                     f"line_{k}_comp_ph"
                 )
                 for k in LINE_NUMBERS

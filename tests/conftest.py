@@ -11,14 +11,17 @@ from tallyward.session import build_session  # noqa: E402
 SF = "/root/testdata/sf0.01"
 
 
+# Columns can only be made while a session runs, and test modules make some on import.
+SESSION = build_session(
+    "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="4g"
+)
+SESSION.sparkContext.setLogLevel("ERROR")
+
+
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session(
-        "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="4g"
-    )
-    session.sparkContext.setLogLevel("ERROR")
-    yield session
-    session.stop()
+    yield SESSION
+    SESSION.stop()
 
 
 @pytest.fixture(scope="session")
