@@ -3,6 +3,7 @@
 from tallyward.functions.bands import alert_above, alert_below, threshold_band
 from tallyward.functions.dates import (
     date_parts,
+    date_text,
     days_between,
     month_key,
     month_label,
@@ -30,7 +31,7 @@ from tallyward.functions.text import (
 
 __all__ = [
     "alert_above", "alert_below", "all_true", "as_text", "contains_any_case", "count_done",
-    "date_parts", "days_between", "filled", "first_match", "is_in", "is_true",
+    "date_parts", "date_text", "days_between", "filled", "first_match", "is_in", "is_true",
     "leading_integer", "month_key", "month_label", "not_null_and_prefix", "parse_date",
     "parse_datetime", "percent", "percent_text", "ratio", "recode", "remove_first",
     "replace_first", "round_half_even", "thousands", "threshold_band",

@@ -42,6 +42,11 @@ def month_label(col: Column, year_in_month: int = 3) -> Column:
     ).otherwise(F.date_format(col, "MMM"))
 
 
+def date_text(col: Column) -> Column:
+    """A date in words, e.g. ``March 01, 2019``."""
+    return F.date_format(col, "MMMM dd, yyyy")
+
+
 def days_between(later: Column, earlier: Column) -> Column:
     """Whole days from ``earlier`` to ``later``."""
     return F.datediff(later, earlier)

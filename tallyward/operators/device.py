@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyward.functions import alert_above, alert_below, days_between, is_in, percent
 from tallyward.operators.charts import unit_histogram
+from tallyward.operators.joins import join_groups
 from tallyward.operators.reshape import to_long
 
 PERMANENT = "Permanent discontinuation"
@@ -104,7 +105,7 @@ def permanent_removal_kpis(
     removed = n.groupBy(*by).agg(F.sum("n_events").alias("_n"))
     base = enrolled.select(*by, "n_enrolled")
     if by:
-        joined = base.join(removed, by, "left")
+        joined = join_groups(base, removed, by, "left")
     else:
         joined = base.withColumn("_n", removed.select("_n").scalar())
     pct = percent(F.col("n_accel_permrm"), F.col("n_enrolled"))

@@ -97,7 +97,7 @@ def expected_vs_observed(
             for j, m in enumerate(measures)
         ]
     observed = (
-        observations.where(is_in(F.col(event_col), [v.event for v in schedule]))
+        observations.where(F.col(event_col).isin([v.event for v in schedule]))
         .groupBy(*ids)
         .agg(*counters)
     )

@@ -22,17 +22,17 @@ def link_states(
 
     A stage is ``(rows of the stage, state, all states it can have)``. Every second
     row meets every first row of its entity; a second row without a first one has a
-    null source. States are counted per entity and the counts multiplied, so entities
-    with many rows cost no more than others.
+    null source, and rows without a state make no edge. States are counted per entity
+    and the counts multiplied, so entities with many rows cost no more than others.
     """
     in1, state1, labels1 = first
     in2, state2, labels2 = second
     keys = list(dict.fromkeys([*by, *id_cols]))
-    flagged = rows.select(
+    flagged = rows.where(in1 | in2).select(
         *keys,
         F.when(in1, state1).alias("_s1"),
         F.when(in2, state2).alias("_s2"),
-    ).where(F.col("_s1").isNotNull() | F.col("_s2").isNotNull())
+    )
     counts = flagged.groupBy(*keys).agg(
         *(F.count_if(F.col("_s1") == s).alias(f"_a{i}") for i, s in enumerate(labels1)),
         *(F.count_if(F.col("_s2") == s).alias(f"_b{i}") for i, s in enumerate(labels2)),

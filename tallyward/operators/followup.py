@@ -24,7 +24,7 @@ from tallyward.functions import (
     round_half_even,
 )
 from tallyward.operators.charts import with_chart_order, with_completion_text
-from tallyward.operators.joins import left_join_records
+from tallyward.operators.joins import join_groups, left_join_records
 from tallyward.operators.reshape import sums_to_long
 
 ASSESSED = "Assessment fully or partially completed"
@@ -76,17 +76,26 @@ def followup_windows(
     *,
     visit_col: str = "redcap_event_name",
     phone_marker: str = "Phone Call",
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """One row per entity and visit, with the visit's window for this entity.
 
     ``visits`` is a list of visit names, or a record table whose distinct visit
-    names are taken. Either way it is a short list that every entity row explodes:
-    no join. A visit that starts with no listed month has no window.
+    names are taken, per group if there are groups. Either way it is a short list
+    that every entity row explodes, not a cross join. A visit that starts with no
+    listed month has no window.
     """
     if isinstance(visits, DataFrame):
-        # distinct first: the final aggregate sees each name once per partition
-        names = visits.select(visit_col).distinct().agg(F.sort_array(F.collect_set(visit_col)))
-        grid = entities.withColumn("_visits", names.scalar())
+        names = (
+            visits.select(*by, visit_col)
+            .distinct()
+            .groupBy(*by)
+            .agg(F.sort_array(F.collect_set(visit_col)).alias("_visits"))
+        )
+        if by:
+            grid = join_groups(entities, names, by, "inner")
+        else:
+            grid = entities.withColumn("_visits", names.scalar())
     else:
         grid = entities.withColumn("_visits", F.array(*(F.lit(v) for v in visits)))
     grid = grid.withColumn(visit_col, F.explode("_visits")).drop("_visits")

@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.functions import month_key, month_label, percent, ratio, thousands
+from tallyward.functions import (
+    date_text,
+    month_key,
+    month_label,
+    percent,
+    ratio,
+    thousands,
+)
+from tallyward.operators.joins import join_groups
 
 FLAGS = ("screened", "approached", "refused", "enrolled")
 
@@ -73,14 +82,17 @@ def funnel_kpis(monthly: DataFrame, *, goal: int | None = None, by: Sequence[str
     )
 
 
-def funnel_statement(kpis: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
-    """One sentence per row of key figures."""
+def funnel_statement(
+    kpis: DataFrame, *, as_of: dt.date | None = None, by: Sequence[str] = ()
+) -> DataFrame:
+    """One sentence per row of key figures, and the date it is about."""
 
     def whole(name: str) -> Column:
         return F.rint(F.col(name) * 100).cast("long").cast("string")
 
     return kpis.select(
         *by,
+        date_text(F.lit(as_of).cast("date")).alias("as_of_text"),
         F.concat(
             F.lit("We have screened "), thousands(F.col("n_screened")),
             F.lit(" patients; "), whole("pct_excluded"),
@@ -159,10 +171,7 @@ def id_lines(
     size = ids.groupBy(*by).agg(F.count("*").alias("n_ids"))
     n_lines = F.ceil(F.col("n_ids") / per_line)
     if by:
-        same = [F.col(f"i.{c}").eqNullSafe(F.col(f"s.{c}")) for c in by]
-        sized = ids.alias("i").join(size.alias("s"), same, "inner").select(
-            *(F.col(f"i.{c}") for c in ids.columns), F.col("s.n_ids")
-        )
+        sized = join_groups(ids, size, by, "inner")
     else:
         sized = ids.withColumn("n_ids", size.scalar())
     # The first 32 bits of the MD5 sum: any system can repeat the split.

@@ -8,6 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def join_groups(left: DataFrame, groups: DataFrame, by: Sequence[str], how: str) -> DataFrame:
+    """Join a table to one row per group; a missing group value matches itself."""
+    by = list(by)
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
+    rest = [F.col(f"r.{c}") for c in groups.columns if c not in by]
+    return (
+        left.alias("l")
+        .join(groups.alias("r"), same, how)
+        .select(*(F.col(f"l.{c}") for c in left.columns), *rest)
+    )
+
+
 def left_join_records(left: DataFrame, records: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join of a grid to records, where a key may have very many records.
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions import month_key, month_label, percent
+from tallyward.operators.joins import join_groups
 
 ReasonDim = Mapping[str, tuple[str | None, str]]
 """Box column -> (label, type)."""
@@ -73,19 +74,18 @@ def reason_share(
     boxed = excluded.where(any_reason)
     shares = _with_counts(boxed, groups, reason_dim).withColumnRenamed("n", "n_this_exclusion")
     entities = (
-        boxed.select(*groups, *(F.col(c).alias(f"_id{i}") for i, c in enumerate(id_cols)))
+        boxed.select(
+            *by, groups[-2], *(F.col(c).alias(f"_id{i}") for i, c in enumerate(id_cols))
+        )
         .distinct()
-        .groupBy(*names)
+        .groupBy(*by, "myear")
         .agg(F.count("*").alias("n_all_exclusions"))
     )
-    # Both sides hold one row per month (and reason). Labels follow from the key.
-    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"e.{c}")) for c in [*by, "myear"]]
+    # Both sides hold one row per month (and reason).
     return (
-        shares.alias("s")
-        .join(entities.alias("e"), same, "left")
+        join_groups(shares, entities, [*by, "myear"], "left")
         .select(
-            *(F.col(f"s.{c}") for c in [*names, "reason", "n_this_exclusion"]),
-            F.col("e.n_all_exclusions"),
+            *names, "reason", "n_this_exclusion", "n_all_exclusions",
             percent(F.col("n_this_exclusion"), F.col("n_all_exclusions")).alias("percent"),
         )
         .orderBy(*by, "myear", "reason")

@@ -49,6 +49,7 @@ class StudyConfig:
     refusal_reason: str
     no_consent_ids: Sequence[str]
     visits: Sequence[str] | None = None
+    merge_records: bool = False
     # flow
     early_visit: str = ""
     late_visit: str = ""

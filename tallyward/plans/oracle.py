@@ -70,7 +70,8 @@ ORACLE["screening_kpis"] = f"WITH {_FLAGGED} {_kpis('flagged')}"
 ORACLE["screening_kpis_by_priority"] = f"WITH {_FLAGGED} {_kpis('flagged', 'o_orderpriority')}"
 ORACLE["screening_statement"] = f"""
 WITH {_FLAGGED}, k AS ({_kpis('flagged')})
-SELECT 'We have screened ' || format('{{:,}}', n_screened) || ' patients; '
+SELECT 'August 01, 2001' AS as_of_text,
+    'We have screened ' || format('{{:,}}', n_screened) || ' patients; '
     || {_pct_text('pct_excluded')} || ' were excluded and '
     || {_pct_text('pct_approached')} || ' approached. Of those approached, '
     || {_pct_text('pct_refused')} || ' refused consent and '

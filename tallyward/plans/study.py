@@ -86,7 +86,7 @@ def study_products(
         ),
     )
     out = {"enrolled": enrolled}
-    out |= _screening(exc, enrolment, cfg, stage)
+    out |= _screening(exc, enrolment, cfg, as_of, stage)
     out |= _in_hospital(inhosp, enrolled, out["screening_kpis"], cfg, stage)
     fu_status = stage("fu_status", _followup_status(enrolled, fu, cfg, as_of))
     out["fu_status"] = fu_status
@@ -110,7 +110,7 @@ def study_products(
 
 
 def _screening(
-    exc: DataFrame, enrolment: DataFrame, cfg: StudyConfig, stage: Stage
+    exc: DataFrame, enrolment: DataFrame, cfg: StudyConfig, as_of: dt.date, stage: Stage
 ) -> dict[str, DataFrame]:
     by = list(cfg.by)
     monthly = stage(
@@ -132,7 +132,7 @@ def _screening(
         "screening_monthly": monthly,
         "screening_axis": charts.with_month_axis(monthly, by=by),
         "screening_kpis": kpis,
-        "screening_statement": funnel.funnel_statement(kpis, by=by),
+        "screening_statement": funnel.funnel_statement(kpis, as_of=as_of, by=by),
         "undated_ids": undated,
         "undated_text": funnel.undated_message(undated, by=by),
         "reason_share": shares,
@@ -199,14 +199,16 @@ def _followup_status(
         *cfg.ids, "hospdis_date", "studywd_date", "death_date", "inhosp_status"
     )
     windows = followup.followup_windows(
-        entities, "hospdis_date", cfg.windows, fu if cfg.visits is None else cfg.visits
+        entities, "hospdis_date", cfg.windows, fu if cfg.visits is None else cfg.visits,
+        by=cfg.by,
     )
     records = followup.slim_records(
-        fu, cfg.instruments, id_cols=cfg.ids, refusal=F.col("gq_rsn") == cfg.refusal_reason
+        fu, cfg.instruments, id_cols=cfg.ids, refusal=F.col("gq_rsn") == cfg.refusal_reason,
+        merge=cfg.merge_records,
     )
     return followup.followup_status(
         windows, records, cfg.instruments, as_of=as_of, id_cols=cfg.ids,
-        no_consent_ids=cfg.no_consent_ids,
+        no_consent_ids=cfg.no_consent_ids, merged=cfg.merge_records,
     )
 
 

@@ -76,7 +76,7 @@ def screening_kpis(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def screening_statement(spark: SparkSession, sf: str) -> DataFrame:
-    return funnel.funnel_statement(screening_kpis(spark, sf))
+    return funnel.funnel_statement(screening_kpis(spark, sf), as_of=dt.date(2001, 8, 1))
 
 
 @query

@@ -17,9 +17,11 @@ def read_records(
     *,
     schema: T.StructType | None = None,
     multi_line: bool = True,
+    mode: str = "PERMISSIVE",
 ) -> DataFrame:
     """Read an export: header row, empty fields null, the text ``NA`` kept.
 
+    Rows that are too short are filled up with nulls, unless ``mode="FAILFAST"``.
     Columns are text unless ``schema`` is given; header names are checked against
     it in every file. Fields may hold quoted line breaks, so a file is one task
     and an export is spread by landing it as many files. Where fields are known to
@@ -32,7 +34,7 @@ def read_records(
         escape='"',
         nullValue="",
         enforceSchema=False,
-        mode="FAILFAST",
+        mode=mode,
     )
     if schema is not None:
         reader = reader.schema(schema)

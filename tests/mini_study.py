@@ -131,7 +131,7 @@ def _write(path, cols, rows, extra=()):
         writer.writerows(rows)
 
 
-def land(folder: Path, studies=()):
+def land(folder: Path, studies=(), without_late_visit=()):
     """Write the three exports; with ``studies``, every row once per study id."""
     tables = {
         "inhosp": (INHOSP_COLS, inhosp_rows()),
@@ -141,7 +141,13 @@ def land(folder: Path, studies=()):
     paths = {}
     for name, (cols, rows) in tables.items():
         if studies:
-            rows = [{"study_id": s, **r} for s in studies for r in rows]
+            rows = [
+                {"study_id": s, **r}
+                for s in studies
+                for r in rows
+                if s not in without_late_visit
+                or r.get("redcap_event_name") != "12 Month Assessment"
+            ]
         _write(folder / name, cols, rows, ["study_id"] if studies else [])
         paths[name] = str(folder / name)
     return paths

@@ -130,6 +130,10 @@ def test_date_parts(spark):
     assert got == ["2018", "03", "05", "07:08:09"]
 
 
+def test_date_in_words(spark):
+    assert text(spark, fn.date_text(C.cast("date")), "2019-03-01") == "March 01, 2019"
+
+
 def test_days_between(spark):
     assert text(spark, fn.days_between(F.lit(d("2018-03-05")), C.cast("date")), "2018-02-28") == 5
 

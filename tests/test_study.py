@@ -251,6 +251,22 @@ def test_flow_is_conserved(study):
         assert e.source_total == out_of[e.source] and e.target_total == into[e.target]
 
 
+def test_visits_are_those_of_the_own_study(spark, tmp_path):
+    """Study B has no late visit yet, so it has no rows for it."""
+    from dataclasses import replace
+
+    paths = mini_study.land(tmp_path, studies=("A", "B"), without_late_visit=("B",))
+    cfg = replace(ICU_STUDY, by=("study_id",), merge_records=True)
+    products = study_products(load_inputs(spark, paths), cfg, mini_study.AS_OF)
+    per_study = products["fu_status"].groupBy("study_id", "redcap_event_name").count()
+    assert rows(per_study) == [
+        ("A", ONE, 9), ("A", TWELVE, 9), ("A", THREE, 9), ("B", ONE, 9), ("B", THREE, 9),
+    ]
+    flow = products["flow_edges"].where("study_id = 'B'")
+    assert flow.where("target like '%12m'").count() == 0
+    assert flow.where("target like '%3m'").agg(F.sum("weight")).first()[0] == 8
+
+
 def test_two_studies_in_one_run_equal_two_runs(spark, study, tmp_path_factory):
     paths = mini_study.land(tmp_path_factory.mktemp("two"), studies=("A", "B"))
     from dataclasses import replace
@@ -266,3 +282,13 @@ def test_two_studies_in_one_run_equal_two_runs(spark, study, tmp_path_factory):
         expected = rows(single.select(*cols))
         for s in ("A", "B"):
             assert rows(both[name].where(F.col("study_id") == s).select(*cols)) == expected, name
+
+
+def test_job(spark, tmp_path):
+    from tallyward.__main__ import main
+
+    paths = mini_study.land(tmp_path / "in")
+    args = [a for name, path in paths.items() for a in (f"--{name}", path)]
+    names = main([*args, "--as-of", "2019-03-01", "--out", str(tmp_path / "out")])
+    edges = read_product(spark, f"{tmp_path}/out/flow_edges", mini_study.AS_OF)
+    assert len(names) == len(set(names)) and edges.count() == len(EDGES)
