@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Collection, Mapping, Sequence
+from collections.abc import Collection, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from tallyward.functions import (
     alert_below,
-    count_done,
-    filled,
     first_match,
     is_in,
     is_true,
@@ -24,7 +22,7 @@ from tallyward.functions import (
     round_half_even,
 )
 from tallyward.operators.charts import with_chart_order, with_completion_text
-from tallyward.operators.joins import join_groups, left_join_records
+from tallyward.operators.joins import join_groups
 from tallyward.operators.reshape import sums_to_long
 
 ASSESSED = "Assessment fully or partially completed"
@@ -68,6 +66,58 @@ def flag_col(stem: str) -> str:
     return f"{stem}_complete"
 
 
+def _visit(
+    name: Column, window_dim: Mapping[int, VisitWindow], visit_col: str, phone_marker: str
+) -> Column:
+    """A visit as a struct: name, month, kind, and days to and in its window.
+
+    A visit whose name does not start with a listed month has no window.
+    """
+    month = leading_integer(name)
+    enter = first_match([(month == m, w.enter_after) for m, w in window_dim.items()])
+    stay = first_match([(month == m, w.exit_after) for m, w in window_dim.items()])
+    return F.struct(
+        name.alias(visit_col),
+        month.alias("fu_month"),
+        name.contains(phone_marker).alias("phone_only"),
+        enter.alias("enter_after"),
+        stay.alias("exit_after"),
+    )
+
+
+def _with_visits(
+    entities: DataFrame,
+    visits: Sequence[str] | DataFrame,
+    window_dim: Mapping[int, VisitWindow],
+    visit_col: str,
+    phone_marker: str,
+    by: Sequence[str],
+) -> DataFrame:
+    """Entities with the array ``_visits`` of the visits each of them has.
+
+    Names taken from a record table are those of the entity's group. They are a short
+    list: one row per group, or a scalar. Listed names are constants of the plan.
+    """
+    if not isinstance(visits, DataFrame):
+        listed = (_visit(F.lit(v), window_dim, visit_col, phone_marker) for v in visits)
+        return entities.withColumn("_visits", F.array(*listed))
+    named = visits.where(F.col(visit_col).isNotNull()).select(*by, visit_col).distinct()
+    described = _visit(F.col(visit_col), window_dim, visit_col, phone_marker)
+    names = named.groupBy(*by).agg(F.collect_set(described).alias("_visits"))
+    if by:
+        return join_groups(entities, names, by, "inner")
+    return entities.withColumn("_visits", names.scalar())
+
+
+def _with_windows(rows: DataFrame, anchor_col: str) -> DataFrame:
+    """Window of a row's visit, counted from the anchor date."""
+    return (
+        rows.withColumn("enter_window", F.date_add(anchor_col, F.col("enter_after")))
+        .withColumn("exit_window", F.date_add("enter_window", F.col("exit_after")))
+        .drop("enter_after", "exit_after")
+    )
+
+
 def followup_windows(
     entities: DataFrame,
     anchor_col: str,
@@ -81,37 +131,11 @@ def followup_windows(
     """One row per entity and visit, with the visit's window for this entity.
 
     ``visits`` is a list of visit names, or a record table whose distinct visit
-    names are taken, per group if there are groups. Either way it is a short list
-    that every entity row explodes, not a cross join. A visit that starts with no
-    listed month has no window.
+    names are taken, per group if there are groups. Every entity row lays out its
+    list: no cross join.
     """
-    if isinstance(visits, DataFrame):
-        names = (
-            visits.select(*by, visit_col)
-            .distinct()
-            .groupBy(*by)
-            .agg(F.sort_array(F.collect_set(visit_col)).alias("_visits"))
-        )
-        if by:
-            grid = join_groups(entities, names, by, "inner")
-        else:
-            grid = entities.withColumn("_visits", names.scalar())
-    else:
-        grid = entities.withColumn("_visits", F.array(*(F.lit(v) for v in visits)))
-    grid = grid.withColumn(visit_col, F.explode("_visits")).drop("_visits")
-    month = F.col("fu_month")
-    enter = first_match([(month == m, w.enter_after) for m, w in window_dim.items()])
-    stay = first_match([(month == m, w.exit_after) for m, w in window_dim.items()])
-    return (
-        grid.withColumns(
-            {
-                "fu_month": leading_integer(F.col(visit_col)),
-                "phone_only": F.col(visit_col).contains(phone_marker),
-            }
-        )
-        .withColumn("enter_window", F.date_add(anchor_col, enter))
-        .withColumn("exit_window", F.date_add("enter_window", stay))
-    )
+    base = _with_visits(entities, visits, window_dim, visit_col, phone_marker, by)
+    return _with_windows(base.select(*entities.columns, F.inline("_visits")), anchor_col)
 
 
 def slim_records(
@@ -122,21 +146,20 @@ def slim_records(
     visit_col: str = "redcap_event_name",
     done_prefix: str = "Yes",
     refusal: Column | None = None,
-    merge: bool = False,
 ) -> DataFrame:
     """What the status needs of a record: flags, refusal, first and last date.
 
-    A text flag is true if it starts with ``done_prefix`` and null if missing. First
-    and last date are taken across the columns of the row: no reshape, no shuffle.
-    ``merge`` makes one row of all records of an entity's visit.
+    A text flag is true if it starts with ``done_prefix`` and null if missing. The
+    flags travel as the bits of two numbers, done and known. First and last date are
+    taken across the columns of the row: no reshape, no shuffle.
     """
     types = dict(records.dtypes)
-    flags = {
-        flag_col(s): F.col(flag_col(s))
+    flags = [
+        F.col(flag_col(s))
         if types[flag_col(s)] == "boolean"
         else F.col(flag_col(s)).startswith(done_prefix)
         for s in instruments.all
-    }
+    ]
     dates = [F.col(f"{s}_date") for s in instruments.dated if f"{s}_date" in types]
     no_date = F.lit(None).cast("date")
     first, last = (
@@ -144,54 +167,147 @@ def slim_records(
         for fn in (F.least, F.greatest)
     )
     refused = F.lit(False) if refusal is None else is_true(refusal)
-    keys = [*id_cols, visit_col]
-    slim = records.select(
-        *keys,
-        *(c.alias(n) for n, c in flags.items()),
+    return records.select(
+        *id_cols,
+        visit_col,
+        _bits(flags).alias("done"),
+        _bits(c.isNotNull() for c in flags).alias("known"),
         refused.alias("refused"),
         first.alias("first_asmt"),
         last.alias("last_asmt"),
     )
-    if not merge:
-        return slim
-    return slim.groupBy(*keys).agg(
-        *(F.bool_or(n).alias(n) for n in flags),
-        F.bool_or("refused").alias("refused"),
-        F.min("first_asmt").alias("first_asmt"),
-        F.max("last_asmt").alias("last_asmt"),
+
+
+FOLDS = {
+    "done": F.bit_or, "known": F.bit_or, "refused": F.bool_or, "first_asmt": F.min,
+    "last_asmt": F.max,
+}
+"""How several records of one visit become one."""
+
+
+def _bits(flags: Iterable[Column]) -> Column:
+    """Flags of a row as the bits of a long."""
+    zero = F.lit(0).cast("long")
+    return sum(
+        (F.when(c, F.lit(1 << i).cast("long")).otherwise(zero) for i, c in enumerate(flags)),
+        start=zero,
+    )
+
+
+def _mask(stems: Collection[str], instruments: Instruments) -> Column:
+    """The bits of some of the instruments."""
+    return F.lit(sum(1 << i for i, s in enumerate(instruments.all) if s in stems)).cast("long")
+
+
+def _each_record(
+    base: DataFrame, slim: DataFrame, ids: Sequence[str], visit_col: str
+) -> DataFrame:
+    """Entity, visit and record: a row per record, and one per visit without any.
+
+    The left join of an entity-by-visit grid to the records, without the grid. The
+    records are joined to the entity itself, by an inner join: unlike in a left join,
+    Spark can split the hot partitions of either side. The visits without a record
+    come from the set of visits seen, which is combined before it is shuffled.
+    """
+    kept = [c for c in base.columns if c != "_visits"]
+    own = F.filter("_visits", lambda v: v[visit_col] == F.col("_visit"))
+    matched = base.join(slim.withColumnRenamed(visit_col, "_visit"), list(ids), "inner").select(
+        *kept, *FOLDS, F.inline(own)
+    )
+    seen = slim.groupBy(*ids).agg(F.collect_set(visit_col).alias("_seen"))
+    unseen = F.filter(
+        "_visits", lambda v: ~is_true(F.array_contains("_seen", v[visit_col]))
     )
+    missing = base.join(seen, list(ids), "left").select(
+        *kept,
+        *(F.lit(None).cast(slim.schema[c].dataType).alias(c) for c in FOLDS),
+        F.inline(unseen),
+    )
+    return matched.unionByName(missing)
+
+
+def _merged_records(
+    base: DataFrame, slim: DataFrame, ids: Sequence[str], visits: Sequence[str], visit_col: str
+) -> DataFrame:
+    """Entity, visit and all its records as one: a row per entity and visit.
+
+    The records of an entity are folded into a few numbers per visit before they are
+    shuffled, so that the join meets one row per entity on either side; the visits
+    are laid out after it.
+    """
+    per_entity = (
+        slim.where(F.col(visit_col).isin(list(visits)))
+        .groupBy(*ids)
+        .agg(
+            *(
+                fold(F.when(F.col(visit_col) == v, F.col(c))).alias(f"{c}_{i}")
+                for i, v in enumerate(visits)
+                for c, fold in FOLDS.items()
+            )
+        )
+    )
+    meta = base.schema["_visits"].dataType.elementType.names
+    rows = F.array(
+        *(
+            F.struct(
+                *(F.col("_visits")[i][m].alias(m) for m in meta),
+                *(F.col(f"{c}_{i}").alias(c) for c in FOLDS),
+            )
+            for i in range(len(visits))
+        )
+    )
+    kept = [c for c in base.columns if c != "_visits"]
+    return base.join(per_entity, list(ids), "left").select(*kept, F.inline(rows))
 
 
 def followup_status(
-    windows: DataFrame,
+    entities: DataFrame,
     records: DataFrame,
     instruments: Instruments,
     *,
+    anchor_col: str,
+    window_dim: Mapping[int, VisitWindow],
+    visits: Sequence[str] | DataFrame,
     as_of: dt.date,
     no_consent_ids: Collection[str] = (),
-    merged: bool = False,
+    merge: bool = False,
     id_cols: Sequence[str] = ("id",),
     visit_col: str = "redcap_event_name",
+    phone_marker: str = "Phone Call",
     death_col: str = "death_date",
     withdrawal_col: str = "studywd_date",
     status_col: str = "inhosp_status",
     died_label: str = "Died in hospital",
     withdrew_label: str = "Withdrew in hospital",
     open_label: str = "Still in hospital",
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Status of each entity at each visit, and whether it counts as due and as done.
 
-    ``windows`` is the grid of ``followup_windows``, ``records`` that of
-    ``slim_records``. Several records of one visit give several rows, unless they
-    were merged (``merged=True``), which also allows a plain left join.
+    The rows are those of ``followup_windows``, with the records of ``slim_records``.
+    Several records of one visit give several rows, or one with ``merge``. ``visits``
+    is a list of names or a record table, as for ``followup_windows``.
     """
-    keys = [*id_cols, visit_col]
-    rows = (
-        windows.join(records, keys, "left") if merged else left_join_records(windows, records, keys)
-    )
+    if len(instruments.all) > 63:
+        raise ValueError("at most 63 instruments: their flags are kept as the bits of a long")
+    ids = list(id_cols)
+    base = _with_visits(entities, visits, window_dim, visit_col, phone_marker, by)
+    if merge and not isinstance(visits, DataFrame):
+        rows = _merged_records(base, records, ids, visits, visit_col)
+    else:
+        if merge:
+            records = records.groupBy(*ids, visit_col).agg(
+                *(fold(c).alias(c) for c, fold in FOLDS.items())
+            )
+        rows = _each_record(base, records, ids, visit_col)
+    rows = _with_windows(rows, anchor_col)
     phone, today = F.col("phone_only"), F.lit(as_of)
-    n_phone = F.when(phone, count_done(F.col(flag_col(s)) for s in instruments.phone))
-    n_full = F.when(~phone, count_done(F.col(flag_col(s)) for s in instruments.full))
+    rows = rows.withColumns(
+        {c: F.coalesce(F.col(c), F.lit(0).cast("long")) for c in ("done", "known")}
+    )
+    phone_set, full_set = (_mask(m, instruments) for m in (instruments.phone, instruments.full))
+    n_phone = F.when(phone, F.bit_count(F.col("done").bitwiseAND(phone_set)))
+    n_full = F.when(~phone, F.bit_count(F.col("done").bitwiseAND(full_set)))
     rows = rows.withColumns(
         {
             "refused": is_true(F.col("refused")),
@@ -215,7 +331,7 @@ def followup_status(
         ),
         (today < F.col("enter_window"), NOT_YET),
         (status == open_label, None),
-        (phone & is_in(F.col(id_cols[-1]), no_consent_ids), NO_CONSENT),
+        (phone & is_in(F.col(ids[-1]), no_consent_ids), NO_CONSENT),
         (F.col("refused"), REFUSED),
     ]
     rows = rows.withColumn("fu_status", first_match(rules, ELIGIBLE))
@@ -228,23 +344,18 @@ def followup_status(
             "fu_comp": F.when(due, fu_status == ASSESSED),
         }
     )
+    # Where a visit is due, what it asks for is known: missing is not done.
+    asked = F.when(F.col("fu_elig") & phone, phone_set).when(F.col("fu_elig") & ~phone, full_set)
+    rows = rows.withColumn("known", F.col("known").bitwiseOR(F.coalesce(asked, F.lit(0))))
     return rows.withColumns(
-        {
-            flag_col(s): _missing_is_not_done(s, instruments, phone & F.col("fu_elig"),
-                                              ~phone & F.col("fu_elig"))
-            for s in instruments.all
-        }
-    )
+        {flag_col(s): _flag(i) for i, s in enumerate(instruments.all)}
+    ).drop("done", "known")
 
 
-def _missing_is_not_done(
-    stem: str, instruments: Instruments, phone_due: Column, full_due: Column
-) -> Column:
-    """Flag with missing read as not done where the visit asks for the instrument."""
-    flag = F.col(flag_col(stem))
-    if stem in instruments.phone and stem in instruments.full:
-        return filled(flag, False, phone_due | full_due)
-    return filled(flag, False, phone_due if stem in instruments.phone else full_due)
+def _flag(i: int) -> Column:
+    """A flag out of its bits."""
+    bit = F.lit(1 << i).cast("long")
+    return F.when(F.col("known").bitwiseAND(bit) != 0, F.col("done").bitwiseAND(bit) != 0)
 
 
 def followup_counts(
@@ -267,10 +378,11 @@ def followup_totals(
 
     The alert looks at the share rounded to two places, as it is shown.
     """
+    # Counting by condition: a filter would have the status worked out twice.
     totals = (
-        status.where("fu_elig")
-        .groupBy(*by, visit_col)
-        .agg(F.count("*").alias("n_elig"), F.count_if("fu_comp").alias("n_comp"))
+        status.groupBy(*by, visit_col)
+        .agg(F.count_if("fu_elig").alias("n_elig"), F.count_if("fu_comp").alias("n_comp"))
+        .where(F.col("n_elig") > 0)
         .withColumn("prop_comp", ratio(F.col("n_comp"), F.col("n_elig")))
     )
     rounded = round_half_even(F.col("prop_comp"), 2)
@@ -298,13 +410,14 @@ def followup_instruments(
     counted per visit first; the counts then go long.
     """
     keys = [*by, visit_col, "fu_month"]
+    comp = F.col("fu_comp")
     counts = (
-        status.where("fu_comp")
-        .groupBy(*keys)
+        status.groupBy(*keys)
         .agg(
-            F.count("*").alias("n_elig"),
-            *(F.count_if(flag_col(s)).alias(flag_col(s)) for s in instruments.all),
+            F.count_if(comp).alias("n_elig"),
+            *(F.count_if(comp & F.col(flag_col(s))).alias(flag_col(s)) for s in instruments.all),
         )
+        .where(F.col("n_elig") > 0)
     )
     long = sums_to_long(
         counts,

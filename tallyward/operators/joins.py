@@ -1,4 +1,4 @@
-"""Joins that stay even when one key holds a large part of the rows."""
+"""Joins to group-level tables."""
 
 from __future__ import annotations
 
@@ -18,23 +18,3 @@ def join_groups(left: DataFrame, groups: DataFrame, by: Sequence[str], how: str)
         .join(groups.alias("r"), same, how)
         .select(*(F.col(f"l.{c}") for c in left.columns), *rest)
     )
-
-
-def left_join_records(left: DataFrame, records: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join of a grid to records, where a key may have very many records.
-
-    In a plain left join Spark can split a hot partition of the left side only, so
-    all records of one key would meet in one task. The matches are an inner join
-    here, whose hot partitions are split on either side, and the rows without a
-    match come from an anti join against the distinct keys, which are combined
-    before they are shuffled.
-    """
-    keys = list(keys)
-    rest = [c for c in records.columns if c not in keys]
-    matched = left.join(records, keys, "inner").select(*left.columns, *rest)
-    seen = records.select(*keys).dropna(how="any").distinct()
-    missing = left.join(seen, keys, "left_anti").select(
-        *left.columns,
-        *(F.lit(None).cast(records.schema[c].dataType).alias(c) for c in rest),
-    )
-    return matched.unionByName(missing)

@@ -547,6 +547,12 @@ status AS (
   FROM eligible)"""
 
 
+ORACLE["followup_windows"] = f"""{_followup()}
+SELECT CAST(o_orderkey AS VARCHAR) AS id, inhosp_status, visit AS redcap_event_name, phone_only,
+       hospdis_date + enter_after AS enter_window,
+       hospdis_date + enter_after + exit_after AS exit_window
+FROM entities CROSS JOIN windows
+WHERE visit IN (SELECT visit FROM records)"""
 ORACLE["followup_rows"] = f"""{_followup()}
 SELECT id, redcap_event_name, fu_month, enter_window, exit_window, in_window, n_asmts_phone,
        n_asmts_full, any_phone, any_full, all_phone, all_full, first_asmt, last_asmt, fu_status,

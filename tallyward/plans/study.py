@@ -198,17 +198,14 @@ def _followup_status(
     entities = enrolled.select(
         *cfg.ids, "hospdis_date", "studywd_date", "death_date", "inhosp_status"
     )
-    windows = followup.followup_windows(
-        entities, "hospdis_date", cfg.windows, fu if cfg.visits is None else cfg.visits,
-        by=cfg.by,
-    )
     records = followup.slim_records(
-        fu, cfg.instruments, id_cols=cfg.ids, refusal=F.col("gq_rsn") == cfg.refusal_reason,
-        merge=cfg.merge_records,
+        fu, cfg.instruments, id_cols=cfg.ids, refusal=F.col("gq_rsn") == cfg.refusal_reason
     )
     return followup.followup_status(
-        windows, records, cfg.instruments, as_of=as_of, id_cols=cfg.ids,
-        no_consent_ids=cfg.no_consent_ids, merged=cfg.merge_records,
+        entities, records, cfg.instruments,
+        anchor_col="hospdis_date", window_dim=cfg.windows,
+        visits=fu if cfg.visits is None else cfg.visits, as_of=as_of,
+        no_consent_ids=cfg.no_consent_ids, merge=cfg.merge_records, id_cols=cfg.ids, by=cfg.by,
     )
 
 

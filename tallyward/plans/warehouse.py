@@ -566,15 +566,25 @@ def _line_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _followup(spark: SparkSession, sf: str, merge: bool) -> DataFrame:
-    windows = followup.followup_windows(
-        _order_entities(spark, sf), "hospdis_date", WINDOWS, list(VISITS.values())
-    )
     records = followup.slim_records(
-        _line_records(spark, sf), LINES, refusal=F.col("gq_rsn") == "Patient refusal", merge=merge
+        _line_records(spark, sf), LINES, refusal=F.col("gq_rsn") == "Patient refusal"
     )
     return followup.followup_status(
-        windows, records, LINES, as_of=FOLLOWUP_AS_OF, merged=merge,
-        no_consent_ids=[str(i) for i in range(1, 8)],
+        _order_entities(spark, sf), records, LINES,
+        anchor_col="hospdis_date", window_dim=WINDOWS, visits=list(VISITS.values()),
+        as_of=FOLLOWUP_AS_OF, merge=merge, no_consent_ids=[str(i) for i in range(1, 8)],
+    )
+
+
+@query
+def followup_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders times the visits that occur in the records."""
+    visits = _visit_lines(spark, sf)
+    grid = followup.followup_windows(
+        _order_entities(spark, sf), "hospdis_date", WINDOWS, visits
+    )
+    return grid.select(
+        "id", "inhosp_status", "redcap_event_name", "phone_only", "enter_window", "exit_window"
     )
 
 

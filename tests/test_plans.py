@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
-from collections import Counter
 from contextlib import contextmanager
 
 import pytest
@@ -11,7 +11,7 @@ from conftest import SF, d, rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tallyward.operators import device, expected, flow, followup, funnel, joins
+from tallyward.operators import device, expected, flow, followup, funnel
 
 
 @contextmanager
@@ -59,6 +59,7 @@ MOST_SHUFFLES = {
     "device_wear_kpis": 1,
     "battery_completion": 3,
     "followup_status_counts": 5,
+    "followup_status_counts_all_records": 9,
     "followup_totals": 5,
     "first_last_dates": 1,
     "linked_state_flow": 5,
@@ -89,49 +90,70 @@ def test_boolean_batteries_use_hash_aggregates(spark):
     assert "SortAggregate" not in plan(entry.queries()["battery_completion"](spark, SF))
 
 
+TWO = followup.Instruments(phone=("ls",), full=("gq", "ls"))
+WINDOWS = {1: followup.VisitWindow(30, 14, True), 3: followup.VisitWindow(83, 56, False)}
+VISITS = ("1 Month Phone Call", "3 Month Assessment")
+
 # -- A third of all rows on one key ------------------------------------------------
 
 
 @pytest.fixture(scope="module")
 def hot_records(spark):
-    """100k records; every third one belongs to the visit of entity 0."""
+    """100k records; every third one belongs to entity 0."""
     n = F.col("id")
     return spark.range(100_000).select(
         F.when(n % 3 == 0, F.lit(0)).otherwise(n % 5_000).cast("string").alias("id"),
         F.lit("3 Month Assessment").alias("redcap_event_name"),
-        n.alias("value"),
-        F.repeat(F.lit("x"), 200).alias("pad"),
+        F.when(n % 2 == 0, F.lit("Yes")).alias("gq_complete"),
+        F.lit(None).cast("string").alias("ls_complete"),
+        F.date_add(F.lit(d("2020-04-01")), (n % 20).cast("int")).alias("gq_date"),
     )
 
 
-def test_hot_key_of_a_left_join_is_split(spark, hot_records):
-    grid = spark.range(6_000).select(
+@pytest.mark.parametrize("merge", [False, True])
+def test_records_of_a_hot_entity(spark, hot_records, merge):
+    entities = spark.range(6_000).select(
         F.col("id").cast("string").alias("id"),
-        F.lit("3 Month Assessment").alias("redcap_event_name"),
+        F.lit(d("2020-01-01")).alias("hospdis_date"),
+        F.lit(None).cast("date").alias("death_date"),
+        F.lit(None).cast("date").alias("studywd_date"),
+        F.lit("Discharged alive").alias("inhosp_status"),
     )
-    keys = ["id", "redcap_event_name"]
     with conf(
         spark,
         spark__sql__autoBroadcastJoinThreshold=-1,
         spark__sql__adaptive__autoBroadcastJoinThreshold=-1,
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="8KB",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor=2,
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="8KB",
         spark__sql__adaptive__coalescePartitions__minPartitionSize="1KB",
     ):
-        spread = joins.left_join_records(grid, hot_records, keys)
-        got = spread.groupBy("id").agg(F.count("value").alias("n"), F.count("*").alias("r"))
-        got = {r.id: (r.n, r.r) for r in got.collect()}
-        # Writing runs the plan; its final form shows the split.
-        spread.write.format("noop").mode("overwrite").save()
-        probe = spread.select(F.sum("value"), F.count("pad"))
-        probe.collect()
-        text = plan(probe)
-    assert "SortMergeJoin(skew=true)" in text
-    want = Counter(
-        "0" if i % 3 == 0 else str(i % 5_000) for i in range(100_000)
-    )
-    assert got == {str(k): (want.get(str(k), 0), max(want.get(str(k), 0), 1)) for k in range(6_000)}
+        status = followup.followup_status(
+            entities, followup.slim_records(hot_records, TWO), TWO,
+            anchor_col="hospdis_date", window_dim=WINDOWS, visits=list(VISITS),
+            as_of=d("2021-01-01"), merge=merge,
+        )
+        probe = status.groupBy("id", "redcap_event_name").agg(
+            F.count("*").alias("n"), F.count_if("fu_comp").alias("done"),
+            F.max("last_asmt").alias("last"),
+        )
+        got = {(r.id, r.redcap_event_name): (r.n, r.done, r.last) for r in probe.collect()}
+        totals = followup.followup_totals(status)
+        totals.collect()
+        text = plan(totals)
+    # Hot partitions are split, or there are none left after folding.
+    assert ("skew=true" in text) is not merge
+    want = {(str(k), v): [0, 0, None] for k in range(6_000) for v in VISITS}
+    for i in range(100_000):
+        cell = want["0" if i % 3 == 0 else str(i % 5_000), "3 Month Assessment"]
+        cell[0] += 1
+        cell[1] += i % 2 == 0
+        day = d("2020-04-01") + dt.timedelta(i % 20)
+        cell[2] = day if cell[2] is None else max(day, cell[2])
+    for cell in want.values():
+        cell[0] = 1 if merge else max(cell[0], 1)
+        cell[1] = min(cell[1], 1) if merge else cell[1]
+    assert got == {k: tuple(v) for k, v in want.items()}
 
 
 def test_observations_are_counted_before_the_shuffle(spark):
@@ -232,11 +254,8 @@ def test_linked_states_count_pairs_without_making_them(spark):
 
 # -- Repeated records, order of rows -----------------------------------------------
 
-TWO = followup.Instruments(phone=("ls",), full=("gq", "ls"))
-WINDOWS = {1: followup.VisitWindow(30, 14, True), 3: followup.VisitWindow(83, 56, False)}
-
 
-def _followup(spark, records, merge):
+def _followup(spark, records, merge, visits=None):
     entities = spark.createDataFrame(
         [("a", d("2020-01-01")), ("b", d("2020-01-01"))], "id string, hospdis_date date"
     ).withColumns(
@@ -246,13 +265,12 @@ def _followup(spark, records, merge):
             "inhosp_status": F.lit("Discharged alive"),
         }
     )
-    grid = followup.followup_windows(
-        entities, "hospdis_date", WINDOWS, ["1 Month Phone Call", "3 Month Assessment", "Other"]
+    slim = followup.slim_records(records, TWO, refusal=F.col("gq_rsn") == "Patient refusal")
+    return followup.followup_status(
+        entities, slim, TWO, anchor_col="hospdis_date", window_dim=WINDOWS,
+        visits=visits or ["1 Month Phone Call", "3 Month Assessment", "Other"],
+        as_of=d("2021-01-01"), merge=merge,
     )
-    slim = followup.slim_records(
-        records, TWO, refusal=F.col("gq_rsn") == "Patient refusal", merge=merge
-    )
-    return followup.followup_status(grid, slim, TWO, as_of=d("2021-01-01"), merged=merge)
 
 
 @pytest.fixture(scope="module")
@@ -291,6 +309,16 @@ def test_merged_records_give_one_row(spark, repeated):
     assert out.count() == 2 * 3
 
 
+def test_merging_by_visits_of_the_records_is_the_same(spark, repeated):
+    """Visits read from the records take another way to the same rows."""
+    cols = ["id", "fu_status", "n_asmts_full", "refused", "first_asmt", "last_asmt",
+            "gq_complete", "ls_complete"]
+    three = "redcap_event_name = '3 Month Assessment'"
+    listed = _followup(spark, repeated, merge=True).where(three)
+    read = _followup(spark, repeated, merge=True, visits=repeated)
+    assert rows(read, *cols) == rows(listed, *cols)
+
+
 def test_visit_without_a_window(spark, repeated):
     out = _followup(spark, repeated, merge=True).where("redcap_event_name = 'Other'")
     assert rows(out, "fu_month", "enter_window", "in_window", "fu_status") == [
