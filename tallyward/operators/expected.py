@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.functions import is_in, is_true, percent_text, ratio
+from tallyward.functions import is_in, percent_text, ratio
 from tallyward.operators.reshape import merge_text, split_pair, sums_to_long
 from tallyward.operators.status import DateRules, day_state
 
@@ -81,7 +83,8 @@ def expected_vs_observed(
     where the value is above ``min_value``. A visit due without an observation counts
     as not measured. Several observations of one visit count once each, or once in
     all with ``dedupe``. ``as_of`` leaves out visits due after it; pairs of visit and
-    measure label in ``not_expected`` are not reported.
+    measure label in ``not_expected`` are not reported. Entities without a start date
+    have no study days.
 
     Observations are counted per entity before they are shuffled, so an entity with
     very many of them sends a few numbers only, and the join carries one row per
@@ -102,44 +105,57 @@ def expected_vs_observed(
         .agg(*counters)
     )
     dates = list(dict.fromkeys([start_col, *(c for c, _ in rules)]))
-    joined = entities.select(*dict.fromkeys([*by, *ids, *dates])).join(observed, ids, "left")
+    joined = (
+        entities.where(F.col(start_col).isNotNull())
+        .select(*dict.fromkeys([*by, *ids, *dates]))
+        .join(observed, ids, "left")
+    )
 
-    due_rows = []
-    for i, visit in enumerate(schedule):
-        date = F.date_add(start_col, visit.day - 1)
-        state, transition = day_state(date, rules, default_state)
-        due = is_in(state, visit.states)
-        if visit.or_transition:
-            due = due | transition
-        if as_of is not None:
-            due = due & is_true(date <= F.lit(as_of))
-        n_obs = F.coalesce(F.col(f"_n{i}"), F.lit(0))
-        done = [F.coalesce(F.col(f"_n{i}_{j}"), F.lit(0)) for j in range(len(measures))]
-        if dedupe:
-            n_obs = F.least(n_obs, F.lit(1))
-            done = [F.least(d, F.lit(1)) for d in done]
-        due_rows.append(
+    def counted(name: str) -> Column:
+        n = F.coalesce(F.col(name), F.lit(0).cast("long"))
+        return F.least(n, F.lit(1).cast("long")) if dedupe else n
+
+    done = [f"_d{j}" for j in range(len(measures))]
+    visits = F.array(
+        *(
             F.struct(
                 F.lit(visit.label).alias("day"),
-                F.lit(i + 1).alias("day_ord"),
-                F.when(due, F.greatest(n_obs, F.lit(1))).alias("n_expected"),
-                *(F.when(due, d).alias(f"_d{j}") for j, d in enumerate(done)),
+                F.lit(i).alias("day_ord"),
+                F.lit(visit.day - 1).alias("_after"),
+                counted(f"_n{i - 1}").alias("_n"),
+                *(counted(f"_n{i - 1}_{j}").alias(d) for j, d in enumerate(done)),
             )
+            for i, visit in enumerate(schedule, start=1)
         )
+    )
+    date = F.date_add(start_col, F.col("_after"))
+    state, transition = day_state(date, rules, default_state)
+    terms: dict[tuple[tuple[str, ...], bool], list[int]] = {}
+    for i, visit in enumerate(schedule, start=1):
+        terms.setdefault((visit.states, visit.or_transition), []).append(i)
+    due = reduce(
+        or_,
+        (
+            F.col("day_ord").isin(days) & (is_in(state, states) | (F.lit(any_change) & transition))
+            for (states, any_change), days in terms.items()
+        ),
+    )
+    if as_of is not None:
+        due = due & (date <= F.lit(as_of))
     keys = [*by, "day", "day_ord"]
     sums = (
-        joined.select(*by, F.inline(F.array(*due_rows)))
-        .where(F.col("n_expected").isNotNull())
+        joined.select(*dict.fromkeys([*by, *dates]), F.inline(visits))
+        .where(due)
         .groupBy(*keys)
         .agg(
-            F.sum("n_expected").alias("n_expected"),
-            *(F.sum(f"_d{j}").alias(f"_d{j}") for j in range(len(measures))),
+            F.sum(F.greatest(F.col("_n"), F.lit(1).cast("long"))).alias("n_expected"),
+            *(F.sum(d).alias(d) for d in done),
         )
     )
     long = sums_to_long(
         sums,
         keys,
-        {label: ("n_expected", f"_d{j}") for j, label in enumerate(measures.values())},
+        {label: ("n_expected", d) for d, label in zip(done, measures.values(), strict=True)},
         "measure",
         ("n_expected", "n_done"),
     )

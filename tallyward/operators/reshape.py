@@ -69,7 +69,7 @@ def day_grid(
     date_col: str = "study_date",
     as_of: dt.date | None = None,
 ) -> DataFrame:
-    """One row per input row and study day; day 1 is the start date.
+    """One row per dated input row and study day; day 1 is the start date.
 
     Only the days asked for are generated: a filter on the day column could not be
     pushed into the generator. ``as_of`` leaves out days after it.
@@ -81,7 +81,8 @@ def day_grid(
         if contiguous
         else F.array(*(F.lit(d) for d in days))
     )
-    out = df.withColumn(day_col, F.explode(generated)).withColumn(
+    dated = df.where(F.col(start).isNotNull())
+    out = dated.withColumn(day_col, F.explode(generated)).withColumn(
         date_col, F.date_add(start, F.col(day_col) - 1)
     )
     return out if as_of is None else out.where(F.col(date_col) <= F.lit(as_of))

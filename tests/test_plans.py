@@ -43,6 +43,18 @@ def test_no_python_and_no_cross_join(spark, name):
         assert scan.count(",") < 9, scan  # never the whole of a wide table
 
 
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_generated_methods_are_small_enough_to_be_compiled(spark, name):
+    """The JVM leaves methods of more than 8000 bytes of bytecode uncompiled."""
+    with conf(
+        spark, spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold=-1
+    ):
+        df = entry.queries()[name](spark, SF)
+        text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) <= 8000
+
+
 # Shuffles of each plan when nothing may be broadcast, the final sort included.
 MOST_SHUFFLES = {
     "screening_funnel_monthly": 2,
