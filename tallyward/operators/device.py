@@ -12,9 +12,6 @@ from tallyward.operators.charts import unit_histogram
 from tallyward.operators.joins import join_groups
 from tallyward.operators.reshape import to_long
 
-PERMANENT = "Permanent discontinuation"
-BEFORE_DISCHARGE = "Removed within a day of hospital discharge"
-
 
 def wear_kpis(
     days: DataFrame,
@@ -39,11 +36,11 @@ def removal_events(
     entities: DataFrame,
     slot_cols: Sequence[str],
     *,
+    permanent: str,
+    prep_label: str,
     id_cols: Sequence[str] = ("id",),
     day_col: str = "daily_date",
     end_col: str = "hospdis_date",
-    permanent: str = PERMANENT,
-    prep_label: str = BEFORE_DISCHARGE,
     prep_days: Sequence[int] = (0, 1),
     by: Sequence[str] = (),
 ) -> DataFrame:
@@ -93,7 +90,7 @@ def permanent_removal_kpis(
     reasons: DataFrame,
     enrolled: DataFrame,
     *,
-    permanent: str = PERMANENT,
+    permanent: str,
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Permanent removals as a percent of the enrolled, with its alert level.
@@ -133,6 +130,8 @@ def device_wear(
     slot_cols: Sequence[str],
     *,
     worn: Column,
+    permanent: str,
+    prep_label: str,
     id_cols: Sequence[str] = ("id",),
     day_col: str = "daily_date",
     end_col: str = "hospdis_date",
@@ -143,7 +142,7 @@ def device_wear(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Key figures, removal reasons and removal histogram of one device."""
     events = removal_events(
-        days, entities, slot_cols,
+        days, entities, slot_cols, permanent=permanent, prep_label=prep_label,
         id_cols=id_cols, day_col=day_col, end_col=end_col, prep_days=prep_days, by=by,
     )
     return (

@@ -31,7 +31,7 @@ def timed_observations(
     records: DataFrame,
     time_cols: Sequence[str],
     *,
-    event_col: str = "redcap_event_name",
+    event_col: str = "event",
     strip: str = "Enrollment/| only",
     sep: str = " and ",
     second_event: str = "Discharge Day",
@@ -69,7 +69,7 @@ def expected_vs_observed(
     rules: DateRules,
     start_col: str = "enroll_date",
     id_cols: Sequence[str] = ("id",),
-    event_col: str = "redcap_event_name",
+    event_col: str = "event",
     default_state: str = "In hospital",
     not_expected: Collection[tuple[str, str]] = (),
     min_value: float = 0,

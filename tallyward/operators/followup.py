@@ -124,7 +124,7 @@ def followup_windows(
     window_dim: Mapping[int, VisitWindow],
     visits: Sequence[str] | DataFrame,
     *,
-    visit_col: str = "redcap_event_name",
+    visit_col: str = "event",
     phone_marker: str = "Phone Call",
     by: Sequence[str] = (),
 ) -> DataFrame:
@@ -143,7 +143,7 @@ def slim_records(
     instruments: Instruments,
     *,
     id_cols: Sequence[str] = ("id",),
-    visit_col: str = "redcap_event_name",
+    visit_col: str = "event",
     done_prefix: str = "Yes",
     refusal: Column | None = None,
 ) -> DataFrame:
@@ -272,7 +272,7 @@ def followup_status(
     no_consent_ids: Collection[str] = (),
     merge: bool = False,
     id_cols: Sequence[str] = ("id",),
-    visit_col: str = "redcap_event_name",
+    visit_col: str = "event",
     phone_marker: str = "Phone Call",
     death_col: str = "death_date",
     withdrawal_col: str = "studywd_date",
@@ -359,7 +359,7 @@ def _flag(i: int) -> Column:
 
 
 def followup_counts(
-    status: DataFrame, *, visit_col: str = "redcap_event_name", by: Sequence[str] = ()
+    status: DataFrame, *, visit_col: str = "event", by: Sequence[str] = ()
 ) -> DataFrame:
     """Rows per visit and status."""
     return status.groupBy(*by, visit_col, "fu_status", "fu_status_ord").agg(
@@ -370,7 +370,7 @@ def followup_counts(
 def followup_totals(
     status: DataFrame,
     *,
-    visit_col: str = "redcap_event_name",
+    visit_col: str = "event",
     warn_below: float = 0.9,
     by: Sequence[str] = (),
 ) -> DataFrame:
@@ -400,7 +400,7 @@ def followup_instruments(
     instruments: Instruments,
     window_dim: Mapping[int, VisitWindow],
     *,
-    visit_col: str = "redcap_event_name",
+    visit_col: str = "event",
     labels: Mapping[str, str] | None = None,
     by: Sequence[str] = (),
 ) -> DataFrame:
@@ -451,7 +451,7 @@ def followup_instruments(
 
 
 def not_yet_assessed(
-    status: DataFrame, *, id_cols: Sequence[str] = ("id",), visit_col: str = "redcap_event_name",
+    status: DataFrame, *, id_cols: Sequence[str] = ("id",), visit_col: str = "event",
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Entities due at a visit but not yet assessed, with their windows."""

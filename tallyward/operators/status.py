@@ -68,7 +68,7 @@ def daily_status_timeline(
     event_name: Mapping[int, str],
     *,
     default: str = "In hospital",
-    event_col: str = "redcap_event_name",
+    event_col: str = "event",
     event_prefix: str = "Trial Day ",
     as_of: dt.date | None = None,
 ) -> DataFrame:

@@ -19,6 +19,7 @@ class StudyConfig:
     """
 
     # entities and events
+    event_col: str
     enrol_event: str
     discharge_event: str
     terminal_rules: Sequence[tuple[str, str]]
@@ -37,6 +38,8 @@ class StudyConfig:
     not_expected: Sequence[tuple[str, str]]
     # device
     slot_cols: Sequence[str]
+    permanent_reason: str
+    prep_label: str
     removal_bins: tuple[int, int]
     # batteries
     battery_instruments: Mapping[str, dt.date | None]

@@ -53,6 +53,7 @@ TARGETS = [
 ]
 
 ICU_STUDY = StudyConfig(
+    event_col="redcap_event_name",
     enrol_event="Enrollment /Trial Day 1",
     discharge_event="Discharge Day",
     terminal_rules=(
@@ -81,6 +82,8 @@ ICU_STUDY = StudyConfig(
     measures={"blue_drawn": "blue", "purple_drawn": "purple"},
     not_expected=(("Day 3", "blue"), ("Day 5", "blue")),
     slot_cols=tuple(f"bed_remove_why_{k}" for k in range(1, 9)),
+    permanent_reason="Permanent discontinuation",
+    prep_label="Removed within a day of hospital discharge",
     removal_bins=(1, 8),
     battery_instruments={
         name: BDI_SINCE if name == "bdi_comp_ph" else None for name in (*SURROGATE, *CAREGIVER)

@@ -236,7 +236,7 @@ grid AS (
 timeline AS (
   SELECT *,
     CASE study_day WHEN 1 THEN 'Enrollment /Trial Day 1' WHEN 29 THEN 'Discharge Day'
-         ELSE 'Trial Day ' || CAST(study_day AS VARCHAR) END AS redcap_event_name,
+         ELSE 'Trial Day ' || CAST(study_day AS VARCHAR) END AS event,
     CASE WHEN study_date >= death_date THEN 'Deceased'
          WHEN study_date >= discharge_date THEN 'Discharged'
          WHEN study_date >= withdrawal_date THEN 'Withdrawn'
@@ -245,7 +245,7 @@ timeline AS (
       OR coalesce(study_date = discharge_date, false) AS transition_day
   FROM grid)"""
 _TIMELINE_COUNTS = """
-SELECT study_day, redcap_event_name, study_status, count(*) AS n,
+SELECT study_day, event, study_status, count(*) AS n,
        count(*) FILTER (transition_day) AS n_transition
 FROM timeline {where} GROUP BY ALL"""
 ORACLE["daily_status_timeline"] = f"{_TIMELINE} SELECT * FROM timeline"
@@ -498,7 +498,7 @@ records AS (
                     BETWEEN v.enter_after AND v.enter_after + v.exit_after
   {group}),
 joined AS (
-  SELECT CAST(e.o_orderkey AS VARCHAR) AS id, e.o_orderpriority, v.visit AS redcap_event_name,
+  SELECT CAST(e.o_orderkey AS VARCHAR) AS id, e.o_orderpriority, v.visit AS event,
          v.fu_month, v.phone_only, e.inhosp_status, e.death_date, e.studywd_date,
          e.hospdis_date + v.enter_after AS enter_window,
          e.hospdis_date + v.enter_after + v.exit_after AS exit_window,
@@ -548,18 +548,18 @@ status AS (
 
 
 ORACLE["followup_windows"] = f"""{_followup()}
-SELECT CAST(o_orderkey AS VARCHAR) AS id, inhosp_status, visit AS redcap_event_name, phone_only,
+SELECT CAST(o_orderkey AS VARCHAR) AS id, inhosp_status, visit AS event, phone_only,
        hospdis_date + enter_after AS enter_window,
        hospdis_date + enter_after + exit_after AS exit_window
 FROM entities CROSS JOIN windows
 WHERE visit IN (SELECT visit FROM records)"""
 ORACLE["followup_rows"] = f"""{_followup()}
-SELECT id, redcap_event_name, fu_month, enter_window, exit_window, in_window, n_asmts_phone,
+SELECT id, event, fu_month, enter_window, exit_window, in_window, n_asmts_phone,
        n_asmts_full, any_phone, any_full, all_phone, all_full, first_asmt, last_asmt, fu_status,
        fu_elig, fu_comp, line1 AS line1_complete, line7 AS line7_complete
 FROM status"""
 _COUNTS = """
-SELECT redcap_event_name, fu_status, fu_status_ord, count(*) AS n FROM status GROUP BY ALL"""
+SELECT event, fu_status, fu_status_ord, count(*) AS n FROM status GROUP BY ALL"""
 ORACLE["followup_status_counts"] = _followup() + _COUNTS
 ORACLE["followup_status_counts_all_records"] = _followup(merge=False) + _COUNTS
 
@@ -567,7 +567,7 @@ ORACLE["followup_status_counts_all_records"] = _followup(merge=False) + _COUNTS
 def _totals(by: str = "") -> str:
     lead = f"{by}, " if by else ""
     return f"""{_followup()},
-    t AS (SELECT {lead}redcap_event_name, count(*) AS n_elig,
+    t AS (SELECT {lead}event, count(*) AS n_elig,
                  count(*) FILTER (fu_comp) AS n_comp
           FROM status WHERE fu_elig GROUP BY ALL),
     p AS (SELECT *, n_comp / n_elig AS prop_comp FROM t),
@@ -580,7 +580,7 @@ def _totals(by: str = "") -> str:
 ORACLE["followup_totals"] = _totals()
 ORACLE["followup_totals_by_priority"] = _totals("o_orderpriority")
 _INSTRUMENTS_LONG = " UNION ALL ".join(
-    f"SELECT redcap_event_name, fu_month, 'line{k}' AS instrument, line{k} AS done "
+    f"SELECT event, fu_month, 'line{k}' AS instrument, line{k} AS done "
     f"FROM status WHERE fu_comp AND ({' OR '.join(kinds)})"
     for k, kinds in (
         (
@@ -591,7 +591,7 @@ _INSTRUMENTS_LONG = " UNION ALL ".join(
     )
 )
 ORACLE["followup_instruments"] = f"""{_followup()},
-t AS (SELECT redcap_event_name, fu_month, instrument, count(*) AS n_elig,
+t AS (SELECT event, fu_month, instrument, count(*) AS n_elig,
              count(*) FILTER (done) AS n_comp
       FROM ({_INSTRUMENTS_LONG}) GROUP BY ALL),
 p AS (SELECT *, CASE instrument WHEN 'line1' THEN 'First' ELSE upper(instrument) END AS asmt_type,
@@ -599,12 +599,12 @@ p AS (SELECT *, CASE instrument WHEN 'line1' THEN 'First' ELSE upper(instrument)
 SELECT *, asmt_type || ': ' || {_pct_text('round_even(prop_comp, 2)')} AS htext,
        {_BAND} AS comp_ok,
        CAST(row_number() OVER (
-         PARTITION BY redcap_event_name
+         PARTITION BY event
          ORDER BY CASE WHEN fu_month IN (3, 12) THEN prop_comp END DESC, asmt_type) AS INT)
          AS x_sorted
 FROM p"""
 ORACLE["followup_not_yet_assessed"] = f"""{_followup()}
-SELECT id, redcap_event_name, enter_window, exit_window
+SELECT id, event, enter_window, exit_window
 FROM status WHERE fu_status = 'Eligible, but not yet assessed'"""
 _FIRSTS = ", ".join(
     f"min(CAST(l_shipdate AS DATE)) FILTER (l_linenumber = {k}) AS d{k}" for k in range(1, 8)

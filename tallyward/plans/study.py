@@ -54,7 +54,7 @@ def clean_followup(raw: DataFrame, cfg: StudyConfig) -> DataFrame:
         raw,
         suffix=("complete_yn", "datecomp", "date", "date_complete", "date_compl"),
         any_of=(
-            *cfg.ids, "redcap_event_name", "gq_rsn", "rbans_completed", "trails_completed",
+            *cfg.ids, cfg.event_col, "gq_rsn", "rbans_completed", "trails_completed",
             "pase_comp_ph", "emp_complete", "hus_complete", "bpi_complete",
         ),
     )
@@ -77,7 +77,7 @@ def study_products(
     inhosp = stage("inhosp", clean_inhosp(inputs["inhosp"]))
     exc = stage("exc", clean_exclusions(inputs["exc"]))
     fu = stage("fu", clean_followup(inputs["fu"], cfg))
-    enrolment = inhosp.where(F.col("redcap_event_name") == cfg.enrol_event)
+    enrolment = inhosp.where(F.col(cfg.event_col) == cfg.enrol_event)
     enrolled = stage(
         "enrolled",
         status.terminal_status(
@@ -90,12 +90,15 @@ def study_products(
     out |= _in_hospital(inhosp, enrolled, out["screening_kpis"], cfg, stage)
     fu_status = stage("fu_status", _followup_status(enrolled, fu, cfg, as_of))
     out["fu_status"] = fu_status
-    visit = ["redcap_event_name"]
-    out["fu_totals"] = followup.followup_totals(fu_status, by=by)
+    visit = [cfg.event_col]
+    out["fu_totals"] = followup.followup_totals(fu_status, visit_col=cfg.event_col, by=by)
     out["fu_instruments"] = followup.followup_instruments(
-        fu_status, cfg.instruments, cfg.windows, labels=cfg.instrument_labels, by=by
+        fu_status, cfg.instruments, cfg.windows, visit_col=cfg.event_col,
+        labels=cfg.instrument_labels, by=by,
+    )
+    out["fu_not_assessed"] = followup.not_yet_assessed(
+        fu_status, id_cols=cfg.ids, visit_col=cfg.event_col, by=by
     )
-    out["fu_not_assessed"] = followup.not_yet_assessed(fu_status, id_cols=cfg.ids, by=by)
     out["fu_not_assessed_text"] = funnel.id_lines(
         out["fu_not_assessed"].select(*by, *visit, "id").distinct(), by=[*by, *visit]
     )
@@ -153,18 +156,20 @@ def _in_hospital(
         enrolled.select(*ids, "enroll_date", *(c for c, _ in cfg.day_rules)),
         "enroll_date", range(1, cfg.n_days + 1), cfg.day_rules,
         {1: cfg.enrol_event, cfg.n_days: cfg.discharge_event}, default=cfg.day_default,
+        event_col=cfg.event_col,
     )
     observations = expected.timed_observations(
-        inhosp.select(*ids, "redcap_event_name", *cfg.time_cols, *cfg.measures),
-        cfg.time_cols, second_event=cfg.discharge_event,
+        inhosp.select(*ids, cfg.event_col, *cfg.time_cols, *cfg.measures),
+        cfg.time_cols, event_col=cfg.event_col, second_event=cfg.discharge_event,
     )
     compliance = expected.expected_vs_observed(
         enrolled, observations, cfg.schedule, measures=cfg.measures, rules=cfg.day_rules,
-        id_cols=ids, default_state=cfg.day_default, not_expected=cfg.not_expected, by=by,
+        id_cols=ids, event_col=cfg.event_col, default_state=cfg.day_default, not_expected=cfg.not_expected, by=by,
     )
     wear, why, times = device.device_wear(
         inhosp, enrolled, cfg.slot_cols, worn=is_true(F.col("coord_ever") == "Yes"),
-        id_cols=ids, bins=cfg.removal_bins, by=by,
+        permanent=cfg.permanent_reason, prep_label=cfg.prep_label, id_cols=ids,
+        bins=cfg.removal_bins, by=by,
     )
     why = stage("removal_reasons", why)
     day = F.col("daily_date")
@@ -186,7 +191,9 @@ def _in_hospital(
         "removal_reasons": why,
         "removal_histogram": times,
         "device_days": removals,
-        "permanent_removal_kpis": device.permanent_removal_kpis(why, kpis, by=by),
+        "permanent_removal_kpis": device.permanent_removal_kpis(
+            why, kpis, permanent=cfg.permanent_reason, by=by
+        ),
         "batteries": batteries,
         "battery_instruments": instruments,
     }
@@ -199,13 +206,15 @@ def _followup_status(
         *cfg.ids, "hospdis_date", "studywd_date", "death_date", "inhosp_status"
     )
     records = followup.slim_records(
-        fu, cfg.instruments, id_cols=cfg.ids, refusal=F.col("gq_rsn") == cfg.refusal_reason
+        fu, cfg.instruments, id_cols=cfg.ids, visit_col=cfg.event_col,
+        refusal=F.col("gq_rsn") == cfg.refusal_reason,
     )
     return followup.followup_status(
         entities, records, cfg.instruments,
         anchor_col="hospdis_date", window_dim=cfg.windows,
         visits=fu if cfg.visits is None else cfg.visits, as_of=as_of,
-        no_consent_ids=cfg.no_consent_ids, merge=cfg.merge_records, id_cols=cfg.ids, by=cfg.by,
+        no_consent_ids=cfg.no_consent_ids, merge=cfg.merge_records, id_cols=cfg.ids,
+        visit_col=cfg.event_col, by=cfg.by,
     )
 
 
@@ -250,7 +259,7 @@ def _flow_stages(enrolled: DataFrame, fu_status: DataFrame, cfg: StudyConfig) ->
     late_node = recode(state, late_nodes, F.lit(NO_NODE))
 
     left = fu_status.where(in_hospital != cfg.terminal_open)
-    early, late = (F.col("redcap_event_name") == v for v in (cfg.early_visit, cfg.late_visit))
+    early, late = (F.col(cfg.event_col) == v for v in (cfg.early_visit, cfg.late_visit))
     second = left.where(early).select(*by, node.alias("source"), early_node.alias("target"))
     third = flow.link_states(
         left,

@@ -272,7 +272,7 @@ def _timeline(spark: SparkSession, sf: str, as_of: dt.date | None = None) -> Dat
 
 
 def _timeline_counts(timeline: DataFrame) -> DataFrame:
-    return timeline.groupBy("study_day", "redcap_event_name", "study_status").agg(
+    return timeline.groupBy("study_day", "event", "study_status").agg(
         F.count("*").alias("n"), F.count_if("transition_day").alias("n_transition")
     )
 
@@ -370,6 +370,10 @@ def timed_observations(spark: SparkSession, sf: str) -> DataFrame:
 # -- Device ------------------------------------------------------------------------
 
 
+PERMANENT = "Permanent discontinuation"
+BEFORE_DISCHARGE = "Removed within a day of hospital discharge"
+
+
 def _device_days(spark: SparkSession, sf: str) -> DataFrame:
     flag = F.col("l_returnflag")
     return _lines(spark, sf).select(
@@ -378,7 +382,7 @@ def _device_days(spark: SparkSession, sf: str) -> DataFrame:
         (flag != "R").alias("worn"),
         F.col("l_quantity").alias("removals"),
         "l_linestatus",
-        F.when(flag == "R", F.lit(device.PERMANENT)).otherwise(flag).alias("why_1"),
+        F.when(flag == "R", F.lit(PERMANENT)).otherwise(flag).alias("why_1"),
         F.when(F.col("l_discount") >= 0.05, F.col("l_linestatus")).alias("why_2"),
     )
 
@@ -394,7 +398,8 @@ def _final_orders(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def removal_reasons(spark: SparkSession, sf: str) -> DataFrame:
     events = device.removal_events(
-        _device_days(spark, sf), _final_orders(spark, sf), ["why_1", "why_2"], prep_days=range(60)
+        _device_days(spark, sf), _final_orders(spark, sf), ["why_1", "why_2"],
+        permanent=PERMANENT, prep_label=BEFORE_DISCHARGE, prep_days=range(60),
     )
     return device.removal_reasons(events)
 
@@ -402,7 +407,9 @@ def removal_reasons(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def permanent_removal_kpis(spark: SparkSession, sf: str) -> DataFrame:
     enrolled = _final_orders(spark, sf).agg(F.count("*").alias("n_enrolled"))
-    return device.permanent_removal_kpis(removal_reasons(spark, sf), enrolled)
+    return device.permanent_removal_kpis(
+        removal_reasons(spark, sf), enrolled, permanent=PERMANENT
+    )
 
 
 @query
@@ -537,12 +544,12 @@ def _visit_lines(spark: SparkSession, sf: str) -> DataFrame:
         .join(orders, "l_orderkey")
         .select(
             F.col("l_orderkey").cast("string").alias("id"),
-            visit.alias("redcap_event_name"),
+            visit.alias("event"),
             "l_linenumber",
             "ship_date",
             "l_returnflag",
         )
-        .where(F.col("redcap_event_name").isNotNull())
+        .where(F.col("event").isNotNull())
     )
 
 
@@ -552,7 +559,7 @@ def _line_records(spark: SparkSession, sf: str) -> DataFrame:
     done = F.col("l_returnflag") != "R"
     return lines.select(
         "id",
-        "redcap_event_name",
+        "event",
         F.when(~done, F.lit("Patient refusal")).alias("gq_rsn"),
         *(
             F.when((number == k) & done, F.lit("Yes")).alias(f"line{k}_complete")
@@ -584,7 +591,7 @@ def followup_windows(spark: SparkSession, sf: str) -> DataFrame:
         _order_entities(spark, sf), "hospdis_date", WINDOWS, visits
     )
     return grid.select(
-        "id", "inhosp_status", "redcap_event_name", "phone_only", "enter_window", "exit_window"
+        "id", "inhosp_status", "event", "phone_only", "enter_window", "exit_window"
     )
 
 
@@ -592,7 +599,7 @@ def followup_windows(spark: SparkSession, sf: str) -> DataFrame:
 def followup_rows(spark: SparkSession, sf: str) -> DataFrame:
     rows = _followup(spark, sf, merge=True)
     return rows.select(
-        "id", "redcap_event_name", "fu_month", "enter_window", "exit_window", "in_window",
+        "id", "event", "fu_month", "enter_window", "exit_window", "in_window",
         "n_asmts_phone", "n_asmts_full", "any_phone", "any_full", "all_phone", "all_full",
         "first_asmt", "last_asmt", "fu_status", "fu_elig", "fu_comp", "line1_complete",
         "line7_complete",

@@ -11,6 +11,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tallyward.operators import device, expected, flow, followup, reasons, status
+from tallyward.plans.warehouse import BEFORE_DISCHARGE, PERMANENT
 
 DAY0 = dt.date(2020, 1, 1)
 AS_OF = dt.date(2021, 1, 1)
@@ -44,7 +45,7 @@ WINDOWS = {
 VISITS = ["1 Month Phone Call", "3 Month Assessment", "12 Month Assessment", "Extra Phone Call"]
 ENTITY = "id string, hospdis_date date, death_date date, studywd_date date, inhosp_status string"
 RECORD = (
-    "id string, redcap_event_name string, gq_rsn string, "
+    "id string, event string, gq_rsn string, "
     + ", ".join(f"{s}_complete string" for s in SET.all)
     + ", "
     + ", ".join(f"{s}_date date" for s in SET.dated)
@@ -159,7 +160,7 @@ def test_followup_status(spark, rng, merge, listed):
         no_consent_ids=["P1", "P2"],
     )
     cols = [
-        "id", "redcap_event_name", "enter_window", "exit_window", "in_window", "n_asmts_phone",
+        "id", "event", "enter_window", "exit_window", "in_window", "n_asmts_phone",
         "n_asmts_full", "first_asmt", "last_asmt", "fu_status", "fu_elig", "fu_comp",
         *(f"{s}_complete" for s in SET.all),
     ]
@@ -208,7 +209,7 @@ def test_timeline(spark, rng):
         spark.createDataFrame(people, STAY), "enroll_date", range(1, 8), RULES, {1: "first"}
     )
     assert rows(got, "id", "study_day", "study_status", "transition_day") == sorted(want, key=key)
-    assert rows(got.select("study_day", "redcap_event_name").distinct()) == [
+    assert rows(got.select("study_day", "event").distinct()) == [
         (1, "first"), *((k, f"Trial Day {k}") for k in range(2, 8)),
     ]
 
@@ -242,7 +243,7 @@ def test_compliance(spark, rng, dedupe, as_of):
     ]
     got = expected.expected_vs_observed(
         spark.createDataFrame(people, STAY),
-        spark.createDataFrame(obs, "id string, redcap_event_name string, b int, p int"),
+        spark.createDataFrame(obs, "id string, event string, b int, p int"),
         SCHEDULE, measures={"b": "blue", "p": "purple"}, rules=RULES, by=["site"],
         not_expected=[("Day 3", "blue")], dedupe=dedupe, as_of=as_of,
     )
@@ -253,7 +254,7 @@ def test_compliance(spark, rng, dedupe, as_of):
 
 
 def test_removals(spark, rng):
-    permanent = device.PERMANENT
+    permanent = PERMANENT
     people = [(f"P{i % 18}", maybe(rng, day(rng, 6), 0.7)) for i in range(20)]
     days = [
         (maybe(rng, f"P{rng.randrange(22)}", 0.9), maybe(rng, day(rng, 6), 0.8),
@@ -266,14 +267,14 @@ def test_removals(spark, rng):
             for slot, reason in enumerate(why):
                 if who == pid and reason:
                     prep = reason == permanent and end and when and (end - when).days in (0, 1)
-                    label = device.BEFORE_DISCHARGE if prep else reason
+                    label = BEFORE_DISCHARGE if prep else reason
                     found.add((pid, when, end, slot, reason, label))
     n = Counter(row[-1] for row in found)
     ids = {label: len({row[0] for row in found if row[-1] == label}) for label in n}
     events = device.removal_events(
         spark.createDataFrame(days, "id string, daily_date date, s0 string, s1 string, s2 string"),
         spark.createDataFrame(people, "id string, hospdis_date date"),
-        ["s0", "s1", "s2"],
+        ["s0", "s1", "s2"], permanent=permanent, prep_label=BEFORE_DISCHARGE,
     )
     got = device.removal_reasons(events)
     assert rows(got, "reason_mod", "n_events", "n_entities") == sorted(

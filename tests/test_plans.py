@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tallyward.operators import device, expected, flow, followup, funnel
+from tallyward.plans.warehouse import BEFORE_DISCHARGE, PERMANENT
 
 
 @contextmanager
@@ -115,7 +116,7 @@ def hot_records(spark):
     n = F.col("id")
     return spark.range(100_000).select(
         F.when(n % 3 == 0, F.lit(0)).otherwise(n % 5_000).cast("string").alias("id"),
-        F.lit("3 Month Assessment").alias("redcap_event_name"),
+        F.lit("3 Month Assessment").alias("event"),
         F.when(n % 2 == 0, F.lit("Yes")).alias("gq_complete"),
         F.lit(None).cast("string").alias("ls_complete"),
         F.date_add(F.lit(d("2020-04-01")), (n % 20).cast("int")).alias("gq_date"),
@@ -145,11 +146,11 @@ def test_records_of_a_hot_entity(spark, hot_records, merge):
             anchor_col="hospdis_date", window_dim=WINDOWS, visits=list(VISITS),
             as_of=d("2021-01-01"), merge=merge,
         )
-        probe = status.groupBy("id", "redcap_event_name").agg(
+        probe = status.groupBy("id", "event").agg(
             F.count("*").alias("n"), F.count_if("fu_comp").alias("done"),
             F.max("last_asmt").alias("last"),
         )
-        got = {(r.id, r.redcap_event_name): (r.n, r.done, r.last) for r in probe.collect()}
+        got = {(r.id, r.event): (r.n, r.done, r.last) for r in probe.collect()}
         totals = followup.followup_totals(status)
         totals.collect()
         text = plan(totals)
@@ -182,7 +183,7 @@ def test_compliance_of_a_hot_entity(spark):
     )
     n = F.col("id")
     obs = spark.range(30_000).select(
-        F.lit("0").alias("id"), F.lit("d1").alias("redcap_event_name"),
+        F.lit("0").alias("id"), F.lit("d1").alias("event"),
         F.when(n % 2 == 0, 1).otherwise(0).alias("blue"),
     )
     schedule = [
@@ -216,7 +217,9 @@ def test_removals_of_a_hot_entity(spark):
     entities = spark.createDataFrame(
         [("0", d("2020-01-10")), ("0", d("2020-01-10"))], "id string, hospdis_date date"
     )
-    events = device.removal_events(days, entities, ["s1", "s2", "s3"])
+    events = device.removal_events(
+        days, entities, ["s1", "s2", "s3"], permanent=PERMANENT, prep_label=BEFORE_DISCHARGE
+    )
     assert rows(events, "reason_mod", "n_events") == [
         ("Bathing", 15),  # 5 even days in slot 2, 10 days in slot 3
         ("Permanent discontinuation", 8),
@@ -295,14 +298,14 @@ def repeated(spark):
             ("a", three, "Patient refusal", None, None, None, None),
             (None, three, None, "Yes", None, None, None),
         ],
-        "id string, redcap_event_name string, gq_rsn string, gq_complete string, "
+        "id string, event string, gq_rsn string, gq_complete string, "
         "ls_complete string, gq_date string, ls_date string",
     ).withColumns({c: F.col(c).cast("date") for c in ("gq_date", "ls_date")})
 
 
 def test_repeated_records_give_a_row_each(spark, repeated):
     out = _followup(spark, repeated, merge=False)
-    three = out.where("redcap_event_name = '3 Month Assessment'")
+    three = out.where("event = '3 Month Assessment'")
     assert rows(three, "id", "fu_status", "n_asmts_full") == [
         ("a", followup.ASSESSED, 1),
         ("a", followup.ASSESSED, 1),
@@ -314,7 +317,7 @@ def test_repeated_records_give_a_row_each(spark, repeated):
 
 def test_merged_records_give_one_row(spark, repeated):
     out = _followup(spark, repeated, merge=True)
-    row = out.where("id = 'a' and redcap_event_name = '3 Month Assessment'").collect()
+    row = out.where("id = 'a' and event = '3 Month Assessment'").collect()
     assert len(row) == 1
     assert (row[0].n_asmts_full, row[0].all_full, row[0].refused) == (2, True, True)
     assert (row[0].first_asmt, row[0].last_asmt) == (d("2020-04-01"), d("2020-05-01"))
@@ -325,14 +328,14 @@ def test_merging_by_visits_of_the_records_is_the_same(spark, repeated):
     """Visits read from the records take another way to the same rows."""
     cols = ["id", "fu_status", "n_asmts_full", "refused", "first_asmt", "last_asmt",
             "gq_complete", "ls_complete"]
-    three = "redcap_event_name = '3 Month Assessment'"
+    three = "event = '3 Month Assessment'"
     listed = _followup(spark, repeated, merge=True).where(three)
     read = _followup(spark, repeated, merge=True, visits=repeated)
     assert rows(read, *cols) == rows(listed, *cols)
 
 
 def test_visit_without_a_window(spark, repeated):
-    out = _followup(spark, repeated, merge=True).where("redcap_event_name = 'Other'")
+    out = _followup(spark, repeated, merge=True).where("event = 'Other'")
     assert rows(out, "fu_month", "enter_window", "in_window", "fu_status") == [
         (None, None, None, followup.ELIGIBLE),
     ] * 2
