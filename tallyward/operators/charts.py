@@ -40,12 +40,10 @@ def with_completion_text(df: DataFrame, label: str, share: str = "prop_comp") ->
 
 
 def with_chart_order(
-    df: DataFrame, within: Sequence[str], label: str, share: str = "prop_comp",
-    *, descending: bool = True,
+    df: DataFrame, within: Sequence[str], label: str, share: str = "prop_comp"
 ) -> DataFrame:
-    """Position of each category: by falling share, or by label. Ties go by label."""
-    keys = [F.desc(share), F.asc(label)] if descending else [F.asc(label)]
-    order = Window.partitionBy(*within).orderBy(*keys)
+    """Position of each category by falling share; ties, and no share, go by label."""
+    order = Window.partitionBy(*within).orderBy(F.desc(share), F.asc(label))
     return df.withColumn("x_sorted", F.row_number().over(order))
 
 

@@ -436,6 +436,19 @@ def _instruments(by: str = "") -> str:
 ORACLE["battery_instruments"] = _instruments()
 ORACLE["battery_instruments_by_priority"] = _instruments("o_orderpriority")
 
+ORACLE["completion_bands"] = f"""
+WITH s AS (
+  SELECT 'P' || l_partkey AS part, count(*) AS n_elig,
+         count(*) FILTER (l_quantity > 7) AS n_comp
+  FROM lineitem GROUP BY ALL),
+p AS (SELECT *, n_comp / n_elig AS prop_comp FROM s),
+r AS (SELECT *, round_even(prop_comp * 100, 0) AS pct FROM p)
+SELECT part, n_elig, n_comp, prop_comp,
+       part || ': ' || {_pct_text('prop_comp')} AS htext, {_BAND} AS comp_ok,
+       CASE WHEN pct < 80 THEN 'warn' ELSE 'ok' END AS low,
+       CASE WHEN 100 - pct > 20 THEN 'bad' WHEN 100 - pct > 15 THEN 'warn' ELSE 'ok' END AS high
+FROM r"""
+
 # -- Follow-up ---------------------------------------------------------------------
 
 _PHONE, _FULL = (1, 2), (1, 3, 4, 5, 6, 7)
@@ -683,6 +696,11 @@ SELECT label, CAST(left(o_orderpriority, 1) AS INT) AS number,
        label LIKE '% and %' AS double_duty,
        regexp_replace(label, '[0-9]|-', '') AS cut_once, count(*) AS n
 FROM m GROUP BY ALL"""
+ORACLE["text_forms"] = """
+SELECT CASE o_orderstatus WHEN 'P' THEN 'NA' ELSE o_orderstatus END AS state,
+       left(o_orderpriority, 1) || ', $1' || substr(o_orderpriority, 3) AS priority,
+       format('{:,}', count(*)) AS n, strftime(max(o_orderdate), '%B %d, %Y') AS last_order
+FROM orders GROUP BY ALL"""
 ORACLE["parsed_dates"] = """
 WITH p AS (
   SELECT o_orderstatus,

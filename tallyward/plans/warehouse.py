@@ -14,15 +14,23 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyward.functions import (
+    alert_above,
+    alert_below,
+    as_text,
     count_done,
     date_parts,
+    date_text,
     days_between,
     first_match,
     leading_integer,
     parse_date,
     parse_datetime,
+    percent,
     percent_text,
+    ratio,
     remove_first,
+    replace_first,
+    thousands,
 )
 from tallyward.operators import battery, charts, columns, device, expected, flow, followup
 from tallyward.operators import funnel, reasons, reshape, status
@@ -482,6 +490,22 @@ def battery_instruments_by_priority(spark: SparkSession, sf: str) -> DataFrame:
     return _battery(spark, sf, ["o_orderpriority"])[1]
 
 
+@query
+def completion_bands(spark: SparkSession, sf: str) -> DataFrame:
+    """Share of a part's lines over seven pieces, with its text, band and alerts."""
+    share = ratio(F.col("n_comp"), F.col("n_elig"))
+    parts = (
+        table(spark, sf, "lineitem")
+        .groupBy(F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("part"))
+        .agg(F.count("*").alias("n_elig"), F.count_if(F.col("l_quantity") > 7).alias("n_comp"))
+        .withColumn("prop_comp", share)
+    )
+    pct = percent(F.col("n_comp"), F.col("n_elig"))
+    return charts.with_completion_text(parts, "part").withColumns(
+        {"low": alert_below(pct, 80), "high": alert_above(100 - pct, 20, 15)}
+    )
+
+
 # -- Follow-up ---------------------------------------------------------------------
 
 WINDOWS = {
@@ -767,6 +791,23 @@ def text_merge_split(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def text_forms(spark: SparkSession, sf: str) -> DataFrame:
+    """Missing values, counts and dates as text; the first match of a pattern replaced."""
+    state = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))
+    return (
+        _orders(spark, sf)
+        .groupBy(
+            as_text(state).alias("state"),
+            replace_first(F.col("o_orderpriority"), "[A-Z]|-", ", $1").alias("priority"),
+        )
+        .agg(
+            thousands(F.count("*")).alias("n"),
+            date_text(F.max("order_date")).alias("last_order"),
+        )
+    )
+
+
 @query
 def parsed_dates(spark: SparkSession, sf: str) -> DataFrame:
     """Dates written as text in several forms and read back; unreadable text is null."""
