@@ -48,7 +48,9 @@ def link_states(
     none = F.array(
         F.struct(F.lit(None).cast("string").alias("state"), F.lit(1).cast("long").alias("n"))
     )
-    listed = counts.select(*keys, states(labels1, "_a").alias("_a"), states(labels2, "_b").alias("_b"))
+    listed = counts.select(
+        *keys, states(labels1, "_a").alias("_a"), states(labels2, "_b").alias("_b")
+    )
     sources = F.when(F.size("_a") > 0, F.col("_a")).otherwise(none)
     pairs = listed.select(*by, sources.alias("_a"), F.explode("_b").alias("_t")).select(
         *by, F.explode("_a").alias("_f"), "_t"

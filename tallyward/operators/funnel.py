@@ -62,7 +62,9 @@ def monthly_funnel(
     )
 
 
-def funnel_kpis(monthly: DataFrame, *, goal: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+def funnel_kpis(
+    monthly: DataFrame, *, goal: int | None = None, by: Sequence[str] = ()
+) -> DataFrame:
     """Key figures from the monthly sums: counts, shares and progress to the goal.
 
     Refused and enrolled rows are always approached ones, so their sums are also

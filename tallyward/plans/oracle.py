@@ -658,8 +658,12 @@ flow AS (
   FROM edges)"""
 
 
-_OF_SOURCE = f"{_pct_text('weight / source_total')} || ' of ' || source_total || ' ' || lower(source)"
-_OF_TARGET = f"{_pct_text('weight / target_total')} || ' of ' || target_total || ' ' || lower(target)"
+_OF_SOURCE = (
+    f"{_pct_text('weight / source_total')} || ' of ' || source_total || ' ' || lower(source)"
+)
+_OF_TARGET = (
+    f"{_pct_text('weight / target_total')} || ' of ' || target_total || ' ' || lower(target)"
+)
 ORACLE["state_flow"] = f"{_flow()} SELECT * FROM flow"
 ORACLE["state_flow_by_segment"] = f"{_flow('c_mktsegment')} SELECT * FROM flow"
 ORACLE["state_flow_text"] = f"""{_flow()}

@@ -164,7 +164,8 @@ def _in_hospital(
     )
     compliance = expected.expected_vs_observed(
         enrolled, observations, cfg.schedule, measures=cfg.measures, rules=cfg.day_rules,
-        id_cols=ids, event_col=cfg.event_col, default_state=cfg.day_default, not_expected=cfg.not_expected, by=by,
+        id_cols=ids, event_col=cfg.event_col, default_state=cfg.day_default,
+        not_expected=cfg.not_expected, by=by,
     )
     wear, why, times = device.device_wear(
         inhosp, enrolled, cfg.slot_cols, worn=is_true(F.col("coord_ever") == "Yes"),

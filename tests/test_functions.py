@@ -185,7 +185,10 @@ CUTS = ((">", 0.90, "Excellent"), (">", 0.80, "Okay"))
 
 @pytest.mark.parametrize(
     ("value", "want"),
-    [(0.95, "Excellent"), (0.90, "Okay"), (0.80, "Uh-oh"), (float("nan"), "Uh-oh"), (None, "Uh-oh")],
+    [
+        (0.95, "Excellent"), (0.90, "Okay"), (0.80, "Uh-oh"), (float("nan"), "Uh-oh"),
+        (None, "Uh-oh"),
+    ],
 )
 def test_bands(spark, value, want):
     df = spark.createDataFrame([(value,)], "c double")

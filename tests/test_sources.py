@@ -45,7 +45,9 @@ def test_short_rows(spark, tmp_path):
 def test_many_files_and_schema(spark, tmp_path):
     path = land(tmp_path / "a", "id,n\n1,2\n")
     land(tmp_path / "a", "id,n\n3,\n")
-    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("n", T.IntegerType())])
+    schema = T.StructType(
+        [T.StructField("id", T.StringType()), T.StructField("n", T.IntegerType())]
+    )
     assert rows(read_records(spark, path, schema=schema)) == [("1", 2), ("3", None)]
 
 
