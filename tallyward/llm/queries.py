@@ -6,13 +6,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from tallyward.llm.jaccard import ngram_jaccard
+from tallyward.llm.langid import predict_language, train_dictionaries
+from tallyward.llm.lines import dedup_lines
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(id_col: str, by: int):
+    """crc32 of the id as text, modulo ``by``."""
+    return F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(by))
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without repeated lines: how many went, and what is left."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = dedup_lines(docs)
+    left = F.octet_length("text").cast("long")
+    return out.select("doc_id", "n_lines", "n_dropped", left.alias("n_bytes"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = remainder("doc_id", 4) == 2
+    model = train_dictionaries(docs.where(~held_out))
+    out = predict_language(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents by shingles of five words at a similarity of 0.75."""
     return ngram_jaccard(table(spark, sf_dir, "documents"))
@@ -26,6 +52,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_language_id": op2_language_id,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     # "pipeline": pipeline,
 }
