@@ -1,8 +1,9 @@
 """Language identification by compression with one zstandard dictionary per language.
 
 A dictionary is raw text of its language; a text belongs to the language whose dictionary
-compresses it to the fewest bytes. Long texts are compressed in blocks of which each starts
-afresh, so that the dictionary counts over the whole text and not only at its start.
+compresses it to the fewest bytes. Texts are reduced to their letters in lower case and
+compressed in blocks of which each starts afresh, so that the dictionary counts over the
+whole text and not only at its start.
 """
 
 from __future__ import annotations
@@ -15,10 +16,17 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK, LEVEL = 2048, 1
+BLOCK = 1024
+#: Short matches count: three letters, found by binary trees with lazy choice.
+SEARCH = {"window_log": 20, "chain_log": 17, "hash_log": 17, "search_log": 3, "min_match": 3, "target_length": 32, "strategy": zstandard.STRATEGY_BTLAZY2}
 UNKNOWN = "und"
 
 
+def letters_only(text: Column) -> Column:
+    """Lower case, with a blank for each run of anything but letters."""
+    return F.lower(F.regexp_replace(text, r"\P{L}+", " "))
+
+
 def train_dictionaries(
     labelled: DataFrame,
     text_col: str = "text",
@@ -37,6 +45,7 @@ def train_dictionaries(
     """
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     rows = rows.where("lang is not null and text is not null").where(has_letter(F.col("text")))
+    rows = rows.withColumn("text", letters_only(F.col("text")))
     start = F.greatest(F.lit(1), ((F.length("text") - sample_chars) / 2).cast("int") + 1)
     rows = rows.select("lang", F.xxhash64("text").alias("h"), F.substr("text", start, F.lit(sample_chars)).alias("part"))
     # the least hashes of each language: limited in every task, then in all
@@ -57,8 +66,9 @@ def _sizes(texts: list[bytes], dictionaries: list[bytes]) -> np.ndarray:
     blocks = [[t[i : i + BLOCK] for i in range(0, len(t), BLOCK)] for t in texts]
     for k, data in enumerate(dictionaries):
         model = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        model.precompute_compress(level=LEVEL)
-        press = zstandard.ZstdCompressor(dict_data=model, write_checksum=False, write_content_size=False, write_dict_id=False).compress
+        search = zstandard.ZstdCompressionParameters(**SEARCH, write_content_size=False, write_checksum=False, write_dict_id=False)
+        model.precompute_compress(compression_params=search)
+        press = zstandard.ZstdCompressor(dict_data=model, compression_params=search).compress
         out[:, k] = [sum([len(press(b)) for b in bs]) for bs in blocks]
     return out
 
@@ -97,7 +107,7 @@ def predict_language(
     judged = F.arrow_udf(judge, "struct<lang:string,score:double>")
     text = F.col(text_col).cast("string")
     letters = F.coalesce(has_letter(text), F.lit(False))
-    out = docs.withColumn("lang_pred", F.when(letters, judged(text)))
+    out = docs.withColumn("lang_pred", F.when(letters, judged(letters_only(text))))
     return out.withColumns(
         {
             "lang_pred": F.coalesce("lang_pred.lang", F.lit(UNKNOWN)),

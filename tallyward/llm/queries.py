@@ -11,6 +11,13 @@ from pyspark.sql import functions as F
 from tallyward.llm.jaccard import ngram_jaccard
 from tallyward.llm.langid import predict_language, train_dictionaries
 from tallyward.llm.lines import dedup_lines
+from tallyward.llm.mixing import mix_sources
+from tallyward.llm.pieces import decoded, encoded, load_pieces
+from tallyward.llm.shards import shard_rows
+from tallyward.llm.wordpieces import greedy_pieces, token_counts
+
+#: The public tokenizer file that the queries read.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +51,36 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard(table(spark, sf_dir, "documents"))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards."""
+    return shard_rows(table(spark, sf_dir, "documents"), 24)
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = load_pieces(PIECES)
+    out = docs.withColumn("ids", encoded(pieces, docs, F.col("text")))
+    out = out.withColumn("back", decoded(pieces, docs, F.col("ids")))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"), F.col("back").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy word pieces of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = docs.withColumn("c", token_counts(greedy_pieces(load_pieces(PIECES)), docs, F.col("text")))
+    return counted.select("doc_id", "c.n_words", "c.n_tokens")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the targets of their sources."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mix, words, targets = mix_sources(docs)
+    wanted = spark.createDataFrame([(s, words[s], float(targets[s])) for s in words], "source string, source_size long, target double")
+    mix = mix.withColumn("source", F.get("sources", 0)).join(wanted.withColumnRenamed("source", "name"), F.col("source").eqNullSafe(F.col("name")))
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py over all documents."""
     import corpus_pipeline
@@ -55,6 +92,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_language_id": op2_language_id,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_sharding": op4_sharding,
+    "op5_sentencepiece": op5_sentencepiece,
+    "op7_token_counts": op7_token_counts,
+    "op9_mixing": op9_mixing,
     # "pipeline": pipeline,
 }
 
