@@ -2,15 +2,16 @@
 
 The incidence matrix is dealt to tasks by blocks of its columns (n-grams). Only the columns
 that a size-derived bound asks for enter the product: in one order of all n-grams, two sets
-of Jaccard similarity t or more share one of the first ``n - ceil(t n) + 1`` n-grams of
-each. The order puts n-grams seen often last, so that passages of many documents seldom
-enter. Overlaps found in the blocks are summed per pair and pairs below the bound dropped;
-what remains is counted over the whole sets.
-
-Documents of equal sets are one class. A first product joins only neighbours and the first
-document of each column, which links the members of large groups without all their pairs;
-the second takes every pair whose documents are not yet in one component, so no link that
-matters to a component is lost.
+of Jaccard similarity t or more have ``k`` in common among the first ``n - ceil(t n) + k``
+n-grams of each; here ``k`` is a twentieth of n. The order puts n-grams seen often last, so
+that passages of many documents seldom enter. Overlaps found in the blocks are summed per
+pair, and pairs below the smaller ``k`` are dropped; what remains is counted over the whole
+sets.
+
+Documents of equal sets are one class. Columns of up to ``SHORT`` classes give all their
+pairs. Longer ones first give pairs of neighbours and pairs with the column's first class,
+which link the members of large groups; then every pair whose documents are not in one
+component by then. So large groups don't give all their pairs, and no group is split.
 """
 
 from __future__ import annotations
@@ -26,6 +27,10 @@ from tallyward.llm.common import components, mixed, saved, shingle_sets
 
 #: Kept n-grams of a task before it counts them, and the least count that it reports.
 HELD, REPORTED = 4_000_000, 4
+#: Classes of a column that gives all its pairs at once.
+SHORT = 12
+#: One part in so many of a set that a partner has among its first n-grams.
+COMMON = 20
 
 
 def fingerprint(grams: np.ndarray) -> int:
@@ -65,11 +70,16 @@ def _often(texts: DataFrame, size: int, most: int) -> tuple[np.ndarray, np.ndarr
     return grams[at], rows["n"].to_numpy()[at]
 
 
-def needed(n: np.ndarray, percent: int) -> np.ndarray:
+def needed(n: int, percent: int) -> int:
     """Least overlap of a set of n with any set that it may link with."""
     return -(-percent * n // 100)
 
 
+def common(n: int) -> int:
+    """Least overlap that the first n-grams of a set of n must have."""
+    return -(-n // COMMON)
+
+
 def ngram_jaccard(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -94,72 +104,96 @@ def ngram_jaccard(
     known, weight = _often(texts.select("text"), size, often)
     shared = spark.sparkContext.broadcast((known, weight))
 
+    def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = shingle_sets(batch.column(1), size)
+            yield pa.record_batch(
+                [batch.column(0), pa.array(list(map(len, sets)), pa.int64()), pa.array(list(map(fingerprint, sets)), pa.int64())], ["doc_id", "n", "mark"]
+            )
+
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, weight = shared.value
+        seen: set[int] = set()
         for batch in batches:
             sets = shingle_sets(batch.column(1), size)
             marks, sizes, firsts = [], [], []
             for grams in sets:
-                n = len(grams)
-                first = n - int(needed(np.int64(n), percent)) + 1 if n else 0
+                n, mark = len(grams), fingerprint(grams)
+                if not n or mark in seen:
+                    continue
+                if len(seen) >= 1_000_000:  # forgotten ones are told again and meet below
+                    seen.clear()
+                seen.add(mark)
+                first = n - int(needed(n, percent)) + int(common(n))
                 at = np.searchsorted(known, grams)
                 hot = np.zeros(n, bool) if not len(known) else known[np.minimum(at, len(known) - 1)] == grams
                 cold = grams[~hot]
                 if len(cold) < first:
                     last = grams[hot][np.lexsort((grams[hot], weight[at[hot]]))]
                     cold = np.concatenate((cold, last))
-                marks.append(fingerprint(grams))
+                marks.append(mark)
                 sizes.append(n)
                 firsts.append(cold[:first].view(np.int64))
-            ends = np.cumsum([0, *map(len, firsts)]).astype(np.int32)
-            flat = np.concatenate(firsts) if firsts else np.zeros(0, np.int64)
-            yield pa.record_batch(
-                [batch.column(0), pa.array(np.array(sizes, np.int64)), pa.array(np.array(marks, np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                ["doc_id", "n", "mark", "firsts"],
-            )
-
-    table = saved(texts.mapInArrow(prefixes, "doc_id long, n long, mark long, firsts array<long>"))
+            if marks:
+                lengths = list(map(len, firsts))
+                yield pa.record_batch(
+                    [pa.array(np.concatenate(firsts)), pa.array(np.repeat(np.array(marks, np.int64), lengths)), pa.array(np.repeat(np.array(sizes, np.int32), lengths))],
+                    ["gram", "mark", "n"],
+                )
+
+    table = saved(texts.mapInArrow(summary, "doc_id long, n long, mark long"))
     classes = table.where("n > 0 and doc_id is not null").groupBy("mark").agg(F.min("doc_id").alias("rep"))
 
-    # the columns of the product: one row for a document of each class and n-gram, and of
-    # those only columns of two classes or more; n, mark order them alike in every column
-    columns = table.where("n > 0 and doc_id is not null").select("mark", "n", "firsts")
-    columns = columns.mapInArrow(_one_of_each, "gram long, mark long, n int")
-    order = Window.partitionBy("gram").orderBy("n", "mark")
+    # the columns of the product: one row for a class and n-gram, and of those only columns
+    # of two classes or more; (n, mark) orders the classes alike in every column
+    columns = texts.where("doc_id is not null").mapInArrow(prefixes, "gram long, mark long, n int")
+    columns = columns.withColumn("at", F.struct("n", "mark")).drop("n", "mark")
+    order = Window.partitionBy("gram").orderBy("at")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    columns = columns.select("*", F.lag("mark").over(order).alias("before"), F.first("mark").over(whole).alias("head"), F.last("mark").over(whole).alias("tail"))
-    columns = saved(columns.where("head != tail and (before is null or before != mark)").drop("tail"))
-
-    # whole sets of the documents that share a column
-    wanted = columns.select("mark").distinct().join(classes, "mark").select(F.col("rep").alias("doc_id"))
-    sets = saved(
-        texts.join(wanted, "doc_id", "left_semi")
-        .select("doc_id", "text")
-        .mapInArrow(lambda batches: _sets(batches, size), "mark long, n long, grams binary")
-        .dropDuplicates(["mark"])
-    )
-    near = columns.select("mark", F.explode(F.array("before", "head")).alias("b")).where("b != mark")
-    near = near.select(F.least("mark", "b").alias("a"), F.greatest("mark", "b").alias("b")).distinct()
-    links = saved(_verified(near, sets, percent))
+    columns = columns.select(
+        "*", F.lag("at").over(order).alias("before"), F.first("at").over(whole).alias("head"),
+        F.last("at").over(whole).alias("tail"), F.count(F.lit(1)).over(whole).alias("classes"),
+    )
+    columns = saved(columns.where("head != tail and (before is null or before != at)").drop("tail"))
+
+    # summed overlaps of pairs, and the bound
+    alike = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
+    short = columns.where(F.col("classes") <= SHORT).groupBy("gram").agg(F.array_sort(F.collect_list("at")).alias("all"))
+    pair = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    later = lambda x, i: F.transform(F.filter(F.slice("all", i + 2, SHORT), lambda y: alike(x["n"], y["n"])), lambda y: pair(x, y))
+    told = short.select(F.explode(F.flatten(F.transform("all", later))).alias("p"), F.lit(1).alias("overlap"))
+    long = columns.where(F.col("classes") > SHORT)
+    near = long.select(F.explode(F.array(pair(F.col("before"), F.col("at")), pair(F.col("head"), F.col("at")))).alias("p"), F.lit(0).alias("overlap"))
+    near = near.where("p.x is not null and p.x != p.y").where(alike(F.col("p.x.n"), F.col("p.y.n")))
+    in_long = long.groupBy(F.col("at.mark").alias("mark")).agg(F.count(F.lit(1)).alias("m"))
+    found = told.unionByName(near).groupBy("p").agg(F.sum("overlap").alias("overlap"))
+    found = found.select(F.col("p.x.mark").alias("a"), F.col("p.x.n").alias("na"), F.col("p.y.mark").alias("b"), F.col("p.y.n").alias("nb"), "overlap")
+    for side in "ab":
+        found = found.join(in_long.select(F.col("mark").alias(side), F.col("m").alias("m" + side)), side, "left")
+    # in columns that did not give all pairs, a pair has at most what both have there
+    least = F.least(*(F.ceil(F.col(n) / COMMON) for n in ("na", "nb")))
+    unseen = F.least(F.coalesce("ma", F.lit(0)), F.coalesce("mb", F.lit(0)))
+    found = saved(found.where(F.col("overlap") + unseen >= least).select("a", "b"))
+    links = _verified(found, classes, texts, size, percent)
     part = saved(components(links))
 
-    # every other pair of documents of different components: summed overlaps, then the bound
-    labelled = columns.select("gram", "mark", "n").join(part.withColumnRenamed("node", "mark"), "mark", "left")
+    # every other pair of the long columns, of documents of different components
+    labelled = long.select("gram", "at.mark", "at.n").join(part.withColumnRenamed("node", "mark"), "mark", "left")
     labelled = saved(labelled.select("gram", "mark", "n", F.coalesce("component", "mark").alias("c")))
     several = labelled.groupBy("gram").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x != y")
     labelled = labelled.join(several.select("gram"), "gram", "left_semi")
     left, right = (labelled.select("gram", *(F.col(c).alias(c + side) for c in ("mark", "n", "c"))) for side in "ab")
-    beyond = F.greatest(F.ceil(F.col("na") * percent / 100), F.ceil(F.col("nb") * percent / 100)) - 1
     pairs = (
         left.join(right, "gram")
         .where("ca < cb")
-        .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+        .where(alike(F.col("na"), F.col("nb")))
         .groupBy(F.col("marka").alias("a"), F.col("markb").alias("b"), "na", "nb")
         .agg(F.count(F.lit(1)).alias("overlap"))
-        .where((F.col("overlap") + beyond) * (100 + percent) >= (F.col("na") + F.col("nb")) * percent)
+        .where(F.col("overlap") >= least)
         .select("a", "b")
     )
-    linked = part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(_verified(pairs, sets, percent))
+    more = _verified(saved(pairs), classes, texts, size, percent)
+    linked = part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
     final = components(linked).withColumnRenamed("node", "mark")
 
     # components are named by a fingerprint so far: name them by their least document
@@ -171,39 +205,17 @@ def ngram_jaccard(
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
-def _one_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Columns of each class once per task."""
-    seen: set[int] = set()
-    for batch in batches:
-        marks = batch.column(0).to_numpy()
-        new = []
-        for i, mark in enumerate(marks.tolist()):
-            if mark not in seen:
-                seen.add(mark)
-                new.append(i)
-        if len(seen) > 1_000_000:
-            seen.clear()
-        if new:
-            rows = batch.take(pa.array(new))
-            lists = rows.column(2)
-            lengths = np.diff(lists.offsets.to_numpy())
-            yield pa.record_batch(
-                [lists.flatten(), pa.array(np.repeat(rows.column(0).to_numpy(), lengths)), pa.array(np.repeat(rows.column(1).to_numpy(), lengths).astype(np.int32))],
-                ["gram", "mark", "n"],
-            )
-
-
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = shingle_sets(batch.column(1), size)
         yield pa.record_batch(
-            [pa.array([fingerprint(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())],
-            ["mark", "n", "grams"],
+            [pa.array([fingerprint(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())],
+            ["mark", "grams"],
         )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets meet the similarity."""
+def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose whole sets meet the similarity."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,13 +228,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * overlap >= percent * (len(x) + len(y) - overlap))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    sizes = sets.select("mark", "n")
-    bounded = (
-        pairs.join(sizes.select(F.col("mark").alias("a"), F.col("n").alias("na")), "a")
-        .join(sizes.select(F.col("mark").alias("b"), F.col("n").alias("nb")), "b")
-        .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        .select("a", "b")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("mark")).distinct().join(classes, "mark")
+    wanted = wanted.select(F.col("rep").alias("doc_id"))
+    sets = saved(
+        texts.join(wanted, "doc_id", "left_semi")
+        .select("doc_id", "text")
+        .mapInArrow(lambda batches: _sets(batches, size), "mark long, grams binary")
     )
-    with_a = bounded.join(sets.select(F.col("mark").alias("a"), F.col("grams").alias("x")), "a")
+    with_a = pairs.join(sets.select(F.col("mark").alias("a"), F.col("grams").alias("x")), "a")
     with_b = with_a.join(sets.select(F.col("mark").alias("b"), F.col("grams").alias("y")), "b")
-    return with_b.select("a", "b", "x", "y").mapInArrow(count, "a long, b long")
+    return saved(with_b.select("a", "b", "x", "y").mapInArrow(count, "a long, b long"))

@@ -115,9 +115,12 @@ def mix_sources(
     share: float = 1.5,
     repeats: int = 2,
     seed: int = 0,
+    carry: bool = False,
 ) -> tuple[DataFrame, dict, dict]:
     """(doc_id, sources, size, taken) of all rows, and words and target of each source.
 
+    With ``carry`` each row also has ``row``, the whole row of ``docs`` as a struct.
+
     ``source_col`` is a name or an array of names; null, or an empty array, is the source
     null. ``size`` is the number of words (null or empty text: 0), ``taken`` the words that
     the mix takes: whole documents, each at most ``repeats`` times. A pattern's words miss
@@ -132,7 +135,7 @@ def mix_sources(
     sources = F.when(F.size(sources) > 0, sources).otherwise(F.array(F.lit(None).cast("string")))
     rows = docs.select(
         F.col(id_col).alias("doc_id"), sources.alias("sources"), words_in(F.col(text_col)).alias("size"),
-        F.xxhash64(F.lit(seed), id_col, text_col).alias("u"),
+        F.xxhash64(F.lit(seed), id_col, text_col).alias("u"), *([F.struct("*").alias("row")] if carry else []),
     )
     rows = rows.withColumn("pattern", F.to_json(F.struct(F.col("sources").alias("s"))))
     rows = saved(rows.withColumn("tie", F.monotonically_increasing_id()))
@@ -168,7 +171,8 @@ def mix_sources(
     edge = rows.where((at == F.col("low")) & (F.col("size") > 0))
     order = Window.partitionBy("pattern").orderBy("u", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     edge = saved(edge.withColumn("upto", F.sum("size").over(order)).where("upto <= part").select("pattern", "u", "tie", "size"))
-    chosen = saved(rows.join(edge.select("u", "tie", F.lit(1).alias("drawn")), ["u", "tie"], "left").withColumn("more", F.when(at < F.col("low"), 1).otherwise(F.coalesce("drawn", F.lit(0)))))
+    chosen = rows.join(edge.select("u", "tie", F.lit(1).alias("drawn")), ["u", "tie"], "left")
+    chosen = chosen.withColumn("more", F.when(at < F.col("low"), 1).otherwise(F.coalesce("drawn", F.lit(0))))
     gaps = {p: part[p] for p in part}
     for r in edge.groupBy("pattern").agg(F.sum("size").alias("n")).collect():
         gaps[r["pattern"]] -= r["n"]
@@ -191,7 +195,7 @@ def mix_sources(
         out = out.join(_picks(spark, picked).withColumn("picked", F.lit(1)), ["u", "tie"], "left")
         out = out.withColumn("more", F.greatest("more", F.coalesce("picked", F.lit(0))))
     taken = (F.col("size") * (F.col("full") + F.col("more"))).cast("long")
-    return out.select("doc_id", "sources", "size", taken.alias("taken")), words, targets
+    return out.select("doc_id", "sources", "size", taken.alias("taken"), *(["row"] if carry else [])), words, targets
 
 
 def _table(spark: SparkSession, values: dict[str, tuple], schema: str) -> DataFrame:

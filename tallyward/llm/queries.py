@@ -96,7 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sentencepiece": op5_sentencepiece,
     "op7_token_counts": op7_token_counts,
     "op9_mixing": op9_mixing,
-    # "pipeline": pipeline,
+    "pipeline": pipeline,
 }
 
 #: SQL of the queries that SQL can express.
