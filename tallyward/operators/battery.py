@@ -42,9 +42,13 @@ def completion_flags(
     return entities.withColumns(flags)
 
 
-def battery_flag(battery: Sequence[str]) -> Column:
-    """All instruments in use at the time done? Those not yet in use do not count."""
-    return all_true(F.coalesce(F.col(c), F.lit(True)) for c in battery)
+def battery_flag(battery: Sequence[str], date_col: str = "enroll_date") -> Column:
+    """All instruments in use at the time done? Those not yet in use do not count.
+
+    Null for an undated entity: what was in use for it is not known.
+    """
+    done = all_true(F.coalesce(F.col(c), F.lit(True)) for c in battery)
+    return F.when(F.col(date_col).isNotNull(), done)
 
 
 def battery_completion(
@@ -61,22 +65,23 @@ def battery_completion(
 ) -> tuple[DataFrame, DataFrame]:
     """Share of entities with each full battery, and with each instrument.
 
-    All figures come from one aggregate per group; only that one row goes long.
+    All figures come from one aggregate per group; only that one row goes long, once per
+    table.
     """
     by = list(by)
     flags = completion_flags(entities, instruments, date_col=date_col, done_prefix=done_prefix)
-    full = {f"_b{i}": battery_flag(cols) for i, cols in enumerate(batteries.values())}
+    full = {f"_b{i}": battery_flag(cols, date_col) for i, cols in enumerate(batteries.values())}
     flags = flags.select(*by, *instruments, *(c.alias(n) for n, c in full.items()))
 
-    def figures(cols: Sequence[str]) -> DataFrame:
-        return flags.groupBy(*by).agg(
-            *(F.count(c).alias(f"{c}_n") for c in cols),
-            *(F.count_if(F.col(c)).alias(f"{c}_k") for c in cols),
-        )
+    cols = [*full, *instruments]
+    figures = flags.groupBy(*by).agg(
+        *(F.count(c).alias(f"{c}_n") for c in cols),
+        *(F.count_if(F.col(c)).alias(f"{c}_k") for c in cols),
+    )
 
     def long(cols: Mapping[str, str], key: str) -> DataFrame:
         pairs = {label: (f"{c}_n", f"{c}_k") for label, c in cols.items()}
-        return sums_to_long(figures(list(cols.values())), by, pairs, key, ("n_elig", "n_comp"))
+        return sums_to_long(figures, by, pairs, key, ("n_elig", "n_comp"))
 
     per_battery = long(dict(zip(batteries, full, strict=True)), "battery").select(
         "*",

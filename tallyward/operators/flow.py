@@ -7,51 +7,43 @@ from collections.abc import Collection, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.functions import is_in, percent_text, ratio, recode
+from tallyward.functions import all_true, is_in, percent_text, ratio, recode
 
 
 def link_states(
     rows: DataFrame,
     *,
     id_cols: Sequence[str],
-    first: tuple[Column, Column, Sequence[str]],
-    second: tuple[Column, Column, Sequence[str]],
+    first: tuple[Column, Column],
+    second: tuple[Column, Column],
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Edges from each entity's state at one stage to its state at the next.
 
-    A stage is ``(rows of the stage, state, all states it can have)``. Every second
-    row meets every first row of its entity; a second row without a first one has a
-    null source, and rows without a state make no edge. States are counted per entity
-    and the counts multiplied, so entities with many rows cost no more than others.
+    A stage is ``(rows of the stage, state)``; any state counts. Every second row meets
+    every first row of its entity; a second row without a first one, or without an id,
+    has a null source. First rows without an id and rows without a state make no edge.
+    States are counted per entity and the counts multiplied, so entities with many rows
+    cost no more than others.
     """
-    in1, state1, labels1 = first
-    in2, state2, labels2 = second
     keys = list(dict.fromkeys([*by, *id_cols]))
-    flagged = rows.where(in1 | in2).select(
-        *keys,
-        F.when(in1, state1).alias("_s1"),
-        F.when(in2, state2).alias("_s2"),
-    )
-    counts = flagged.groupBy(*keys).agg(
-        *(F.count_if(F.col("_s1") == s).alias(f"_a{i}") for i, s in enumerate(labels1)),
-        *(F.count_if(F.col("_s2") == s).alias(f"_b{i}") for i, s in enumerate(labels2)),
-    )
+    stages = [
+        F.when(in_stage & state.isNotNull(), F.struct(F.lit(k).alias("stage"), state.alias("state")))
+        for k, (in_stage, state) in enumerate((first, second), 1)
+    ]
+    told = rows.select(*keys, F.explode(F.array_compact(F.array(*stages))).alias("_s"))
+    counts = told.groupBy(*keys, "_s").agg(F.count(F.lit(1)).alias("n"))
 
-    def states(labels: Sequence[str], prefix: str) -> Column:
-        pairs = [
-            F.struct(F.lit(s).alias("state"), F.col(f"{prefix}{i}").alias("n"))
-            for i, s in enumerate(labels)
-        ]
-        return F.filter(F.array(*pairs), lambda p: p["n"] > 0)
+    def states(stage: int) -> Column:
+        own = F.struct(F.col("_s.state").alias("state"), "n")
+        return F.collect_list(F.when(F.col("_s.stage") == stage, own))
 
+    listed = counts.groupBy(*keys).agg(states(1).alias("_a"), states(2).alias("_b"))
     none = F.array(
         F.struct(F.lit(None).cast("string").alias("state"), F.lit(1).cast("long").alias("n"))
     )
-    listed = counts.select(
-        *keys, states(labels1, "_a").alias("_a"), states(labels2, "_b").alias("_b")
-    )
-    sources = F.when(F.size("_a") > 0, F.col("_a")).otherwise(none)
+    known = all_true(F.col(c).isNotNull() for c in id_cols)
+    sources = F.when((F.size("_a") > 0) & known, F.col("_a")).otherwise(none)
     pairs = listed.select(*by, sources.alias("_a"), F.explode("_b").alias("_t")).select(
         *by, F.explode("_a").alias("_f"), "_t"
     )
@@ -68,16 +60,22 @@ def path_edges(
 ) -> DataFrame:
     """Edges of paths that hold one column per stage; a path ends at its first null.
 
-    ``start`` is a common source put before the first stage. One scan gives all
-    stages.
+    ``start`` is a common source put before the first stage. States after a null make
+    no edge. One scan gives all stages.
     """
     cols = [F.col(s) for s in states]
     if start is not None:
         cols = [F.lit(start), *cols]
-    steps = [
-        F.struct(a.alias("source"), b.alias("target"), F.lit(1).cast("long").alias("weight"))
-        for a, b in zip(cols, cols[1:], strict=False)
-    ]
+    steps, going = [], F.lit(True)
+    for a, b in zip(cols, cols[1:], strict=False):
+        going = going & a.isNotNull()
+        steps.append(
+            F.struct(
+                a.alias("source"),
+                F.when(going, b).alias("target"),
+                F.lit(1).cast("long").alias("weight"),
+            )
+        )
     return paths.select(*by, F.inline(F.array(*steps))).where(F.col("target").isNotNull())
 
 

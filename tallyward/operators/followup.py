@@ -269,7 +269,7 @@ def followup_status(
     window_dim: Mapping[int, VisitWindow],
     visits: Sequence[str] | DataFrame,
     as_of: dt.date,
-    no_consent_ids: Collection[str] = (),
+    no_consent_ids: Collection | DataFrame = (),
     merge: bool = False,
     id_cols: Sequence[str] = ("id",),
     visit_col: str = "event",
@@ -286,11 +286,18 @@ def followup_status(
 
     The rows are those of ``followup_windows``, with the records of ``slim_records``.
     Several records of one visit give several rows, or one with ``merge``. ``visits``
-    is a list of names or a record table, as for ``followup_windows``.
+    is a list of names or a record table, as for ``followup_windows``. ``no_consent_ids``
+    is a table with the id columns, or a short list of values of the last of them.
     """
     if len(instruments.all) > 63:
         raise ValueError("at most 63 instruments: their flags are kept as the bits of a long")
     ids = list(id_cols)
+    refuses = F.lit(False)
+    if isinstance(no_consent_ids, DataFrame):
+        marked = no_consent_ids.select(*ids).distinct().withColumn("_no_consent", F.lit(True))
+        entities, refuses = entities.join(marked, ids, "left"), is_true(F.col("_no_consent"))
+    elif no_consent_ids:
+        refuses = is_in(F.col(ids[-1]), no_consent_ids)
     base = _with_visits(entities, visits, window_dim, visit_col, phone_marker, by)
     if merge and not isinstance(visits, DataFrame):
         rows = _merged_records(base, records, ids, visits, visit_col)
@@ -331,7 +338,7 @@ def followup_status(
         ),
         (today < F.col("enter_window"), NOT_YET),
         (status == open_label, None),
-        (phone & is_in(F.col(ids[-1]), no_consent_ids), NO_CONSENT),
+        (phone & refuses, NO_CONSENT),
         (F.col("refused"), REFUSED),
     ]
     rows = rows.withColumn("fu_status", first_match(rules, ELIGIBLE))
@@ -349,7 +356,7 @@ def followup_status(
     rows = rows.withColumn("known", F.col("known").bitwiseOR(F.coalesce(asked, F.lit(0))))
     return rows.withColumns(
         {flag_col(s): _flag(i) for i, s in enumerate(instruments.all)}
-    ).drop("done", "known")
+    ).drop("done", "known", "_no_consent")
 
 
 def _flag(i: int) -> Column:

@@ -19,6 +19,8 @@ from tallyward.functions import (
 from tallyward.operators.joins import join_groups
 
 FLAGS = ("screened", "approached", "refused", "enrolled")
+#: Flags that are also counted among the approached alone, for rates among them.
+AMONG = ("refused", "enrolled")
 
 
 def excluded_flags(df: DataFrame, date_col: str, refusal: Column) -> DataFrame:
@@ -57,7 +59,10 @@ def monthly_funnel(
             month_key(F.col(date_col)).alias("myear"),
             month_label(F.col(date_col)).alias("myear_char"),
         )
-        .agg(*(F.sum(F.col(f).cast("long")).alias(f) for f in FLAGS))
+        .agg(
+            *(F.sum(F.col(f).cast("long")).alias(f) for f in FLAGS),
+            *(F.count_if(F.col(f) & F.col("approached")).alias(f"approached_{f}") for f in AMONG),
+        )
         .orderBy(*by, "myear")
     )
 
@@ -67,18 +72,21 @@ def funnel_kpis(
 ) -> DataFrame:
     """Key figures from the monthly sums: counts, shares and progress to the goal.
 
-    Refused and enrolled rows are always approached ones, so their sums are also
-    the sums among the approached.
+    The shares of refused and enrolled are those among the approached.
     """
-    sums = monthly.groupBy(*by).agg(*(F.sum(f).alias(f"n_{f}") for f in FLAGS))
+    sums = monthly.groupBy(*by).agg(
+        *(F.sum(f).alias(f"n_{f}") for f in FLAGS),
+        *(F.sum(f"approached_{f}").alias(f"_{f}") for f in AMONG),
+    )
     screened, approached = F.col("n_screened"), F.col("n_approached")
     n_goal = F.lit(goal).cast("long")
     return sums.select(
-        "*",
+        *by,
+        *(f"n_{f}" for f in FLAGS),
         ratio(approached, screened).alias("pct_approached"),
         (1 - ratio(approached, screened)).alias("pct_excluded"),
-        ratio(F.col("n_refused"), approached).alias("pct_refused"),
-        ratio(F.col("n_enrolled"), approached).alias("pct_enrolled"),
+        ratio(F.col("_refused"), approached).alias("pct_refused"),
+        ratio(F.col("_enrolled"), approached).alias("pct_enrolled"),
         n_goal.alias("n_goal"),
         percent(F.col("n_enrolled"), n_goal).alias("pct_of_goal"),
     )

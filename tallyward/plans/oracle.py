@@ -6,6 +6,8 @@ the same tables by counting first and joining less.
 
 from __future__ import annotations
 
+from tallyward.plans.icu_study import ICU_STUDY
+
 ORACLE: dict[str, str] = {}
 
 def _month(col: str) -> str:
@@ -40,13 +42,16 @@ _SUMS = ", ".join(
     f"CAST(sum(CAST({f} AS INT)) AS BIGINT) AS {{p}}{f}"
     for f in ("screened", "approached", "refused", "enrolled")
 )
+_AMONG = ", ".join(
+    f"count(*) FILTER ({f} AND approached) AS approached_{f}" for f in ("refused", "enrolled")
+)
 
 
 def _monthly(by: str = "") -> str:
     lead = f"{by}, " if by else ""
     return (
         f"SELECT {lead}{_month('d')} AS myear, {_label('d')} AS myear_char, "
-        f"{_SUMS.format(p='')} FROM flagged GROUP BY ALL"
+        f"{_SUMS.format(p='')}, {_AMONG} FROM flagged GROUP BY ALL"
     )
 
 
@@ -57,17 +62,23 @@ def _kpis(source: str, by: str = "") -> str:
     SELECT {lead}n_screened, n_approached, n_refused, n_enrolled,
            n_approached / n_screened AS pct_approached,
            1 - n_approached / n_screened AS pct_excluded,
-           n_refused / n_approached AS pct_refused,
-           n_enrolled / n_approached AS pct_enrolled,
+           approached_refused / n_approached AS pct_refused,
+           approached_enrolled / n_approached AS pct_enrolled,
            CAST(312 AS BIGINT) AS n_goal,
            round_even(n_enrolled / CAST(312 AS DOUBLE) * 100, 0) AS pct_of_goal
-    FROM (SELECT {lead}{_SUMS.format(p='n_')} FROM {source}{group})"""
+    FROM (SELECT {lead}{_SUMS.format(p='n_')}, {_AMONG} FROM {source}{group})"""
 
 
 ORACLE["screening_funnel_monthly"] = f"WITH {_FLAGGED} {_monthly()}"
 ORACLE["screening_funnel_by_priority"] = f"WITH {_FLAGGED} {_monthly('o_orderpriority')}"
 ORACLE["screening_kpis"] = f"WITH {_FLAGGED} {_kpis('flagged')}"
 ORACLE["screening_kpis_by_priority"] = f"WITH {_FLAGGED} {_kpis('flagged', 'o_orderpriority')}"
+ORACLE["screening_kpis_conditional"] = f"""
+WITH flagged AS (
+  SELECT true AS screened, o_orderpriority <> '1-URGENT' AS approached,
+         o_orderstatus = 'O' AS refused, o_orderstatus = 'F' AS enrolled
+  FROM orders)
+{_kpis('flagged')}"""
 ORACLE["screening_statement"] = f"""
 WITH {_FLAGGED}, k AS ({_kpis('flagged')})
 SELECT 'August 01, 2001' AS as_of_text,
@@ -511,7 +522,7 @@ records AS (
                     BETWEEN v.enter_after AND v.enter_after + v.exit_after
   {group}),
 joined AS (
-  SELECT CAST(e.o_orderkey AS VARCHAR) AS id, e.o_orderpriority, v.visit AS event,
+  SELECT e.o_orderkey AS id, e.o_orderpriority, v.visit AS event,
          v.fu_month, v.phone_only, e.inhosp_status, e.death_date, e.studywd_date,
          e.hospdis_date + v.enter_after AS enter_window,
          e.hospdis_date + v.enter_after + v.exit_after AS exit_window,
@@ -536,7 +547,7 @@ judged AS (
            THEN 'Withdrew before follow-up window ended'
          WHEN DATE '2001-06-30' < enter_window THEN 'Not yet eligible for follow-up'
          WHEN inhosp_status = 'Still in hospital' THEN NULL
-         WHEN phone_only AND id IN ('1', '2', '3', '4', '5', '6', '7')
+         WHEN phone_only AND id IN (1, 2, 3, 4, 5, 6, 7)
            THEN 'Consent did not include phone assessment'
          WHEN refused THEN 'Refused assessment (but did not withdraw)'
          ELSE 'Eligible, but not yet assessed' END AS fu_status
@@ -561,7 +572,7 @@ status AS (
 
 
 ORACLE["followup_windows"] = f"""{_followup()}
-SELECT CAST(o_orderkey AS VARCHAR) AS id, inhosp_status, visit AS event, phone_only,
+SELECT o_orderkey AS id, inhosp_status, visit AS event, phone_only,
        hospdis_date + enter_after AS enter_window,
        hospdis_date + enter_after + exit_after AS exit_window
 FROM entities CROSS JOIN windows
@@ -577,9 +588,9 @@ ORACLE["followup_status_counts"] = _followup() + _COUNTS
 ORACLE["followup_status_counts_all_records"] = _followup(merge=False) + _COUNTS
 
 
-def _totals(by: str = "") -> str:
+def _totals(by: str = "", merge: bool = True) -> str:
     lead = f"{by}, " if by else ""
-    return f"""{_followup()},
+    return f"""{_followup(merge)},
     t AS (SELECT {lead}event, count(*) AS n_elig,
                  count(*) FILTER (fu_comp) AS n_comp
           FROM status WHERE fu_elig GROUP BY ALL),
@@ -592,6 +603,7 @@ def _totals(by: str = "") -> str:
 
 ORACLE["followup_totals"] = _totals()
 ORACLE["followup_totals_by_priority"] = _totals("o_orderpriority")
+ORACLE["followup_totals_all_records"] = _totals(merge=False)
 _INSTRUMENTS_LONG = " UNION ALL ".join(
     f"SELECT event, fu_month, 'line{k}' AS instrument, line{k} AS done "
     f"FROM status WHERE fu_comp AND ({' OR '.join(kinds)})"
@@ -603,7 +615,7 @@ _INSTRUMENTS_LONG = " UNION ALL ".join(
         for k in range(1, 8)
     )
 )
-ORACLE["followup_instruments"] = f"""{_followup()},
+_INSTRUMENT_ROWS = f"""
 t AS (SELECT event, fu_month, instrument, count(*) AS n_elig,
              count(*) FILTER (done) AS n_comp
       FROM ({_INSTRUMENTS_LONG}) GROUP BY ALL),
@@ -616,18 +628,22 @@ SELECT *, asmt_type || ': ' || {_pct_text('round_even(prop_comp, 2)')} AS htext,
          ORDER BY CASE WHEN fu_month IN (3, 12) THEN prop_comp END DESC, asmt_type) AS INT)
          AS x_sorted
 FROM p"""
+ORACLE["followup_instruments"] = f"{_followup()}, {_INSTRUMENT_ROWS}"
+ORACLE["followup_instruments_all_records"] = f"{_followup(merge=False)}, {_INSTRUMENT_ROWS}"
+ORACLE["followup_not_yet_text"] = f"""{_followup(merge=False)},
+due AS (
+  SELECT DISTINCT event, CAST(id AS VARCHAR) AS id FROM status
+  WHERE fu_status = 'Eligible, but not yet assessed'
+    AND event IN ('1 Month Phone Call', '2 Month Phone Call'))
+{_lines_of('due', 'event')}"""
 ORACLE["followup_not_yet_assessed"] = f"""{_followup()}
 SELECT id, event, enter_window, exit_window
 FROM status WHERE fu_status = 'Eligible, but not yet assessed'"""
-_FIRSTS = ", ".join(
-    f"min(CAST(l_shipdate AS DATE)) FILTER (l_linenumber = {k}) AS d{k}" for k in range(1, 8)
-)
-_DS = ", ".join(f"d{k}" for k in range(1, 8))
-ORACLE["first_last_dates"] = f"""
-WITH f AS (SELECT l_orderkey, {_FIRSTS} FROM lineitem GROUP BY l_orderkey)
-SELECT l_orderkey, least({_DS}) AS first_asmt, greatest({_DS}) AS last_asmt,
-       {" + ".join(f"CAST(d{k} IS NOT NULL AS INT)" for k in range(1, 8))} AS n_dates
-FROM f"""
+ORACLE["first_last_dates"] = """
+SELECT l_orderkey, min(CAST(l_shipdate AS DATE)) AS first_asmt,
+       max(CAST(l_shipdate AS DATE)) AS last_asmt,
+       CAST(count(DISTINCT l_linenumber) AS INT) AS n_dates
+FROM lineitem WHERE l_linenumber BETWEEN 1 AND 7 GROUP BY l_orderkey"""
 
 # -- Flow --------------------------------------------------------------------------
 
@@ -640,15 +656,14 @@ def _flow(by: str = "") -> str:
     ) + " END"
     return f"""
 WITH nth AS (
-  SELECT o_custkey, o_orderstatus,
-         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n
+  SELECT *, CASE WHEN year(o_orderdate) < 1997 THEN 1 WHEN year(o_orderdate) < 2000 THEN 2
+                 ELSE 3 END AS n
   FROM orders),
 steps AS (
   SELECT {lead}CASE WHEN b.n = 1 THEN 'Start' ELSE a.o_orderstatus || ', ' || a.n END AS source,
          b.o_orderstatus || ', ' || b.n AS target
   FROM nth b LEFT JOIN nth a ON a.o_custkey = b.o_custkey AND a.n = b.n - 1
-  {join.replace('o_custkey', 'b.o_custkey')}
-  WHERE b.n <= 3),
+  {join.replace('o_custkey', 'b.o_custkey')}),
 edges AS (SELECT {lead}source, target, count(*) AS weight FROM steps GROUP BY ALL),
 flow AS (
   SELECT *, {_big(f'sum(weight) OVER (PARTITION BY {lead}source)')} AS source_total,
@@ -672,6 +687,92 @@ SELECT *, '<b>' || source || ' -> ' || target || ':</b><br>N = ' || weight || '<
           WHEN source IN ('O, 2') THEN {_OF_TARGET}
           ELSE {_OF_SOURCE} || '<br>' || {_OF_TARGET} END AS flow_text
 FROM flow"""
+_RANK = "CASE {0} WHEN 'Start' THEN 0 " + " ".join(
+    f"WHEN '{s}, {k}' THEN {3 * k + i}" for k in (1, 2, 3) for i, s in enumerate("FOP")
+) + " END"
+ORACLE["state_paths"] = f"""
+WITH nth AS (
+  SELECT *, CASE WHEN year(o_orderdate) < 1997 THEN 1 WHEN year(o_orderdate) < 2000 THEN 2
+                 ELSE 3 END AS n
+  FROM orders),
+ends AS (
+  SELECT o_custkey, n, o_orderstatus || ', ' || n AS state FROM nth
+  QUALIFY row_number() OVER (PARTITION BY o_custkey, n ORDER BY o_orderdate DESC, o_orderkey DESC) = 1),
+steps AS (
+  SELECT 'Start' AS source, state AS target FROM ends WHERE n = 1
+  UNION ALL
+  SELECT a.state, b.state FROM ends a JOIN ends b ON a.o_custkey = b.o_custkey AND a.n = b.n - 1
+  WHERE a.n = 1 OR EXISTS (SELECT 1 FROM ends c WHERE c.o_custkey = a.o_custkey AND c.n = 1)),
+edges AS (SELECT source, target, count(*) AS weight FROM steps GROUP BY ALL)
+SELECT *, {_big('sum(weight) OVER (PARTITION BY source)')} AS source_total,
+       {_big('sum(weight) OVER (PARTITION BY target)')} AS target_total,
+       CAST({_RANK.format('source')} AS INT) AS source_rank,
+       CAST({_RANK.format('target')} AS INT) AS target_rank
+FROM edges"""
+
+
+def _study_flow(by: str = "") -> str:
+    """Three stages in plain joins over every record of the follow-up."""
+    lead = f"{by}, " if by else ""
+    nodes = """CASE fu_status WHEN 'Died before follow-up window ended' THEN 'Died'
+        WHEN 'Withdrew before follow-up window ended' THEN 'Withdrew'
+        WHEN 'Assessment fully or partially completed' THEN 'Assessed'
+        WHEN 'Eligible, but not yet assessed' THEN 'Not assessed'
+        WHEN 'Refused assessment (but did not withdraw)' THEN 'Not assessed'
+        WHEN 'Not yet eligible for follow-up' THEN 'Not yet eligible' END"""
+    stay = """CASE inhosp_status WHEN 'Discharged alive' THEN 'Discharged'
+        WHEN 'Died in hospital' THEN 'Died, hospital'
+        WHEN 'Withdrew in hospital' THEN 'Withdrew, hospital'
+        WHEN 'Still in hospital' THEN 'Hospitalized' END"""
+
+    def rank(col: str, names: str) -> str:
+        listed = names.split("; ")
+        return "CASE " + col + " " + " ".join(f"WHEN '{n}' THEN {i}" for i, n in enumerate(listed)) + " END"
+
+    sources = (
+        "Enrolled; Discharged; Withdrew, hospital; Died, hospital; Assessed, 3m; Not assessed, 3m; "
+        "Not yet eligible, 3m; Withdrew, 3m; Died, 3m"
+    )
+    targets = (
+        "Hospitalized; Discharged; Withdrew, hospital; Died, hospital; Assessed, 3m; Not assessed, 3m; "
+        "Not yet eligible, 3m; Withdrew, 3m; Died, 3m; Assessed, 12m; Not assessed, 12m; "
+        "Not yet eligible, 12m; Withdrew, 12m; Died, 12m"
+    )
+    return f"""{_followup(merge=False)},
+early AS (
+  SELECT {lead}id, {stay} AS stay,
+         CASE WHEN inhosp_status = 'Died in hospital'
+                OR fu_status = 'Died before follow-up window ended' THEN 'Died, 3m'
+              WHEN inhosp_status = 'Withdrew in hospital' THEN 'Withdrew, 3m'
+              ELSE coalesce({nodes} || ', 3m', 'Missing') END AS node
+  FROM status WHERE event = '3 Month Assessment' AND inhosp_status <> 'Still in hospital'),
+late AS (
+  SELECT {lead}id, coalesce({nodes} || ', 12m', 'Missing') AS node
+  FROM status WHERE event = '12 Month Assessment' AND inhosp_status <> 'Still in hospital'),
+steps AS (
+  SELECT {lead}'Enrolled' AS source, {stay} AS target FROM entities
+  UNION ALL SELECT {lead}stay, node FROM early
+  UNION ALL SELECT {'late.' + lead if lead else ''}early.node, late.node FROM late LEFT JOIN early USING (id)),
+edges AS (SELECT {lead}source, target, count(*) AS weight FROM steps GROUP BY ALL),
+flow AS (
+  SELECT *, {_big(f'sum(weight) OVER (PARTITION BY {lead}source)')} AS source_total,
+         {_big(f'sum(weight) OVER (PARTITION BY {lead}target)')} AS target_total,
+         CAST({rank('source', sources)} AS INT) AS source_rank,
+         CAST({rank('target', targets)} AS INT) AS target_rank
+  FROM edges)
+SELECT *, '<b>' || source || ' -> ' || target || ':</b><br>N = ' || weight || '<br>'
+  || CASE WHEN target IN ({_in(ICU_STUDY.one_source)}) THEN {_OF_SOURCE}
+          WHEN source IN ({_in(ICU_STUDY.one_target)}) THEN {_OF_TARGET}
+          ELSE {_OF_SOURCE} || '<br>' || {_OF_TARGET} END AS flow_text
+FROM flow"""
+
+
+def _in(names) -> str:
+    return ", ".join(f"'{n}'" for n in names) or "NULL"
+
+
+ORACLE["study_flow"] = _study_flow()
+ORACLE["study_flow_by_priority"] = _study_flow("o_orderpriority")
 ORACLE["linked_state_flow"] = """
 WITH edges AS (
   SELECT a.o_orderstatus AS source, b.o_orderstatus AS target, count(*) AS weight

@@ -103,7 +103,7 @@ def study_products(
         out["fu_not_assessed"].select(*by, *visit, "id").distinct(), by=[*by, *visit]
     )
     edges = flow.state_flow(
-        _flow_stages(enrolled, fu_status, cfg),
+        flow_stages(enrolled, fu_status, cfg),
         source_rank=cfg.source_rank, target_rank=cfg.target_rank, by=by,
     )
     out["flow_edges"] = flow.with_flow_text(
@@ -235,7 +235,7 @@ def _visit_nodes(suffix: str) -> dict[str, str]:
     return {status: f"{node}, {suffix}" for status, node in NODES.items()}
 
 
-def _flow_stages(enrolled: DataFrame, fu_status: DataFrame, cfg: StudyConfig) -> list[DataFrame]:
+def flow_stages(enrolled: DataFrame, fu_status: DataFrame, cfg: StudyConfig) -> list[DataFrame]:
     """Enrolled -> end of stay -> early visit -> late visit.
 
     Those still in hospital take part in the first stage only. A death or withdrawal
@@ -266,8 +266,8 @@ def _flow_stages(enrolled: DataFrame, fu_status: DataFrame, cfg: StudyConfig) ->
         left,
         id_cols=ids,
         by=by,
-        first=(early, early_node, [*dict.fromkeys(early_nodes.values()), NO_NODE]),
-        second=(late, late_node, [*dict.fromkeys(late_nodes.values()), NO_NODE]),
+        first=(early, early_node),
+        second=(late, late_node),
     )
     return [first, second, third]
 

@@ -7,10 +7,11 @@ query reads its whole tables.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyward.functions import (
@@ -34,6 +35,8 @@ from tallyward.functions import (
 )
 from tallyward.operators import battery, charts, columns, device, expected, flow, followup
 from tallyward.operators import funnel, reasons, reshape, status
+from tallyward.plans.icu_study import ICU_STUDY
+from tallyward.plans.study import flow_stages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -157,6 +160,21 @@ def orders_without_lines(spark: SparkSession, sf: str) -> DataFrame:
     return funnel.id_lines(ids, by=["myear"])
 
 
+@query
+def screening_kpis_conditional(spark: SparkSession, sf: str) -> DataFrame:
+    """Rates among the approached, where some refused and some enrolled were not approached."""
+    state, urgency = F.col("o_orderstatus"), F.col("o_orderpriority")
+    flagged = _orders(spark, sf).withColumns(
+        {
+            "screened": F.lit(True),
+            "approached": urgency != "1-URGENT",
+            "refused": state == "O",
+            "enrolled": state == "F",
+        }
+    )
+    return funnel.funnel_kpis(funnel.monthly_funnel(flagged, date_col="order_date"), goal=312)
+
+
 @query
 def screening_month_axis(spark: SparkSession, sf: str) -> DataFrame:
     return charts.with_month_axis(screening_funnel_monthly(spark, sf))
@@ -533,7 +551,7 @@ def _order_entities(spark: SparkSession, sf: str) -> DataFrame:
     state, urgency, date = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("order_date")
     late = (state == "P") & urgency.isin("1-URGENT", "3-MEDIUM")
     entities = _orders(spark, sf).select(
-        F.col("o_orderkey").cast("string").alias("id"),
+        F.col("o_orderkey").alias("id"),
         urgency,
         F.when(~late, date).alias("hospdis_date"),
         F.when((state == "P") & (urgency == "1-URGENT"), date)
@@ -567,7 +585,7 @@ def _visit_lines(spark: SparkSession, sf: str) -> DataFrame:
         _lines(spark, sf)
         .join(orders, "l_orderkey")
         .select(
-            F.col("l_orderkey").cast("string").alias("id"),
+            F.col("l_orderkey").alias("id"),
             visit.alias("event"),
             "l_linenumber",
             "ship_date",
@@ -596,14 +614,17 @@ def _line_records(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _followup(spark: SparkSession, sf: str, merge: bool) -> DataFrame:
+def _followup(
+    spark: SparkSession, sf: str, merge: bool, visits: DataFrame | None = None, no_consent=range(1, 8)
+) -> DataFrame:
     records = followup.slim_records(
         _line_records(spark, sf), LINES, refusal=F.col("gq_rsn") == "Patient refusal"
     )
     return followup.followup_status(
         _order_entities(spark, sf), records, LINES,
-        anchor_col="hospdis_date", window_dim=WINDOWS, visits=list(VISITS.values()),
-        as_of=FOLLOWUP_AS_OF, merge=merge, no_consent_ids=[str(i) for i in range(1, 8)],
+        anchor_col="hospdis_date", window_dim=WINDOWS,
+        visits=list(VISITS.values()) if visits is None else visits,
+        as_of=FOLLOWUP_AS_OF, merge=merge, no_consent_ids=no_consent,
     )
 
 
@@ -658,6 +679,30 @@ def followup_instruments(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def followup_totals_all_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Each record counts, and the ids without phone consent are a table."""
+    listed = _orders(spark, sf).where(F.col("o_orderkey").between(1, 7)).select(F.col("o_orderkey").alias("id"))
+    return followup.followup_totals(_followup(spark, sf, merge=False, no_consent=listed))
+
+
+@query
+def followup_instruments_all_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Each record counts; the visits are those that occur in the records."""
+    visits = _visit_lines(spark, sf).select("event").distinct()
+    return followup.followup_instruments(
+        _followup(spark, sf, merge=False, visits=visits), LINES, WINDOWS, labels={"line1": "First"}
+    )
+
+
+@query
+def followup_not_yet_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids due but not yet assessed at the first two visits, as text per visit."""
+    ids = followup.not_yet_assessed(_followup(spark, sf, merge=False))
+    ids = ids.where(F.col("event").isin(VISITS[1], VISITS[2])).select("event", F.col("id").cast("string").alias("id"))
+    return funnel.id_lines(ids.distinct(), by=["event"])
+
+
 @query
 def followup_not_yet_assessed(spark: SparkSession, sf: str) -> DataFrame:
     return followup.not_yet_assessed(_followup(spark, sf, merge=True))
@@ -665,19 +710,26 @@ def followup_not_yet_assessed(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def first_last_dates(spark: SparkSession, sf: str) -> DataFrame:
-    """First and last of the first ship dates per line number, across columns."""
+    """First and last ship date of an order over all dates of its line numbers, across columns."""
     number = F.col("l_linenumber")
-    firsts = (
+    folds = {"a": F.min, "z": F.max}
+    dates = (
         _lines(spark, sf)
         .groupBy("l_orderkey")
-        .agg(*(F.min(F.when(number == k, F.col("ship_date"))).alias(f"d{k}") for k in LINE_NUMBERS))
+        .agg(
+            *(
+                fold(F.when(number == k, F.col("ship_date"))).alias(f"{end}{k}")
+                for end, fold in folds.items()
+                for k in LINE_NUMBERS
+            )
+        )
     )
-    cols = [F.col(f"d{k}") for k in LINE_NUMBERS]
-    return firsts.select(
+    first, last = ([F.col(f"{end}{k}") for k in LINE_NUMBERS] for end in folds)
+    return dates.select(
         "l_orderkey",
-        F.least(*cols).alias("first_asmt"),
-        F.greatest(*cols).alias("last_asmt"),
-        count_done(c.isNotNull() for c in cols).alias("n_dates"),
+        F.least(*first).alias("first_asmt"),
+        F.greatest(*last).alias("last_asmt"),
+        count_done(c.isNotNull() for c in first).alias("n_dates"),
     )
 
 
@@ -690,37 +742,53 @@ NODE_RANK = {
 }
 
 
-def _order_paths(spark: SparkSession, sf: str) -> DataFrame:
-    """Each customer's first three order states.
-
-    The rank limit is applied before the shuffle as well, so a customer with very
-    many orders sends three rows per task.
-    """
-    first = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    nth = (
-        table(spark, sf, "orders")
-        .withColumn("nth", F.row_number().over(first))
-        .where(F.col("nth") <= 3)
-    )
-    return nth.groupBy("o_custkey").agg(
-        *(
-            F.max(
-                F.when(F.col("nth") == k, F.concat(F.col("o_orderstatus"), F.lit(f", {k}")))
-            ).alias(f"state_{k}")
-            for k in (1, 2, 3)
-        )
-    )
+def _period() -> Column:
+    """1 before 1997, 2 up to 1999, 3 from 2000 on."""
+    year = F.year("o_orderdate")
+    return F.when(year < 1997, 1).when(year < 2000, 2).otherwise(3)
 
 
 def _order_flow(spark: SparkSession, sf: str, by: list[str]) -> DataFrame:
-    paths = _order_paths(spark, sf)
+    """Order states over three periods: each order counts, against all of the period before."""
+    orders = table(spark, sf, "orders").withColumn("period", _period())
     if by:
         customers = table(spark, sf, "customer").select(
             F.col("c_custkey").alias("o_custkey"), *by
         )
-        paths = paths.join(customers, "o_custkey")
-    edges = flow.path_edges(paths, ["state_1", "state_2", "state_3"], start="Start", by=by)
-    return flow.state_flow([edges], source_rank=NODE_RANK, target_rank=NODE_RANK, by=by)
+        orders = orders.join(customers, "o_custkey")
+
+    def stage(k: int) -> tuple[Column, Column]:
+        return F.col("period") == k, F.concat(F.col("o_orderstatus"), F.lit(f", {k}"))
+
+    in_first, node = stage(1)
+    edges = [orders.where(in_first).select(*by, F.lit("Start").alias("source"), node.alias("target"))]
+    edges += [
+        flow.link_states(orders, id_cols=["o_custkey"], first=stage(k), second=stage(k + 1), by=by)
+        for k in (1, 2)
+    ]
+    return flow.state_flow(edges, source_rank=NODE_RANK, target_rank=NODE_RANK, by=by)
+
+
+@query
+def state_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Each customer's last state in every period; a path ends at a period without orders."""
+    last = F.struct("o_orderdate", "o_orderkey")
+    paths = (
+        table(spark, sf, "orders")
+        .withColumn("period", _period())
+        .groupBy("o_custkey")
+        .agg(
+            *(
+                F.max_by(
+                    F.when(F.col("period") == k, F.concat(F.col("o_orderstatus"), F.lit(f", {k}"))),
+                    F.when(F.col("period") == k, last),
+                ).alias(f"state_{k}")
+                for k in (1, 2, 3)
+            )
+        )
+    )
+    edges = flow.path_edges(paths, ["state_1", "state_2", "state_3"], start="Start")
+    return flow.state_flow([edges], source_rank=NODE_RANK, target_rank=NODE_RANK)
 
 
 @query
@@ -742,6 +810,24 @@ def state_flow_text(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def study_flow(spark: SparkSession, sf: str) -> DataFrame:
+    """Enrolled, end of stay, 3-month and 12-month status of all orders, every record counted."""
+    return _study_flow(spark, sf)
+
+
+@query
+def study_flow_by_priority(spark: SparkSession, sf: str) -> DataFrame:
+    return _study_flow(spark, sf, "o_orderpriority")
+
+
+def _study_flow(spark: SparkSession, sf: str, *by: str) -> DataFrame:
+    cfg = dataclasses.replace(ICU_STUDY, event_col="event", by=by)
+    stages = flow_stages(_order_entities(spark, sf), _followup(spark, sf, merge=False), cfg)
+    edges = flow.state_flow(stages, source_rank=cfg.source_rank, target_rank=cfg.target_rank, by=by)
+    return flow.with_flow_text(edges, one_source=cfg.one_source, one_target=cfg.one_target)
+
+
 @query
 def linked_state_flow(spark: SparkSession, sf: str) -> DataFrame:
     """Customers' order states before 1998 against those from 1998 on, all pairs counted."""
@@ -749,8 +835,8 @@ def linked_state_flow(spark: SparkSession, sf: str) -> DataFrame:
     edges = flow.link_states(
         table(spark, sf, "orders"),
         id_cols=["o_custkey"],
-        first=(early, F.col("o_orderstatus"), ORDER_STATES),
-        second=(~early, F.col("o_orderstatus"), ORDER_STATES),
+        first=(early, F.col("o_orderstatus")),
+        second=(~early, F.col("o_orderstatus")),
     )
     return flow.state_flow([edges])
 

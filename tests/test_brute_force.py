@@ -324,7 +324,7 @@ def test_linked_states(spark, rng):
     edges = flow.state_flow([
         flow.link_states(
             spark.createDataFrame(data, "id string, stage int, state string"), id_cols=["id"],
-            first=(stage == 1, state, ["a", "b"]), second=(stage == 2, state, ["a", "b"]),
+            first=(stage == 1, state), second=(stage == 2, state),
         )
     ])
     assert rows(edges, "source", "target", "weight") == sorted(

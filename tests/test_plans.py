@@ -11,8 +11,8 @@ from conftest import SF, d, rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tallyward.operators import device, expected, flow, followup, funnel
-from tallyward.plans.warehouse import BEFORE_DISCHARGE, PERMANENT
+from tallyward.operators import battery, device, expected, flow, followup, funnel
+from tallyward.plans.warehouse import BEFORE_DISCHARGE, PERMANENT, QUERIES
 
 
 @contextmanager
@@ -36,7 +36,7 @@ def shuffles(text):
     return len(re.findall(r"\bExchange (?:hash|range|Single)", text))
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(entry.queries()[name](spark, SF))
     assert not re.search(r"Python|ArrowEval|MapInPandas|CartesianProduct|NestedLoop", text)
@@ -44,7 +44,7 @@ def test_no_python_and_no_cross_join(spark, name):
         assert scan.count(",") < 9, scan  # never the whole of a wide table
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_generated_methods_are_small_enough_to_be_compiled(spark, name):
     """The JVM leaves methods of more than 8000 bytes of bytecode uncompiled."""
     with conf(
@@ -71,12 +71,13 @@ MOST_SHUFFLES = {
     "removal_histogram": 3,
     "device_wear_kpis": 1,
     "battery_completion": 3,
-    "followup_status_counts": 5,
-    "followup_status_counts_all_records": 9,
-    "followup_totals": 5,
+    "followup_status_counts": 4,
+    "followup_status_counts_all_records": 7,
+    "followup_totals": 4,
+    "followup_rows": 3,
     "first_last_dates": 1,
-    "linked_state_flow": 5,
-    "state_flow": 5,
+    "linked_state_flow": 6,
+    "state_flow": 9,
 }
 
 
@@ -93,10 +94,21 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "o_totalprice" not in orders
 
 
-def test_first_rows_are_cut_before_the_shuffle(spark):
-    text = plan(entry.queries()["state_flow"](spark, SF))
-    assert text.count("WindowGroupLimit") == 2  # one on each side of the exchange
-    assert text.rindex("WindowGroupLimit") > text.rindex("Exchange hash")
+def test_all_orders_take_part_in_the_flow(spark):
+    """Every order of the first period is one edge from the start; the others weigh in pairs."""
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    n_first = orders.where(F.year("o_orderdate") < 1997).count()
+    edges = entry.queries()["state_flow"](spark, SF).toPandas()
+    assert edges[edges.source == "Start"].weight.sum() == n_first
+    per = orders.groupBy("o_custkey").agg(
+        F.count_if(F.year("o_orderdate") < 1997).alias("a"),
+        F.count_if(F.year("o_orderdate").between(1997, 1999)).alias("b"),
+        F.count_if(F.year("o_orderdate") >= 2000).alias("c"),
+    )
+    pairs = per.agg(
+        F.sum(F.greatest("a", F.lit(1)) * F.col("b")), F.sum(F.greatest("b", F.lit(1)) * F.col("c"))
+    ).first()
+    assert edges.weight.sum() == n_first + sum(pairs)
 
 
 def test_boolean_batteries_use_hash_aggregates(spark):
@@ -257,8 +269,8 @@ def test_linked_states_count_pairs_without_making_them(spark):
         [
             flow.link_states(
                 df, id_cols=["id"],
-                first=(stage == 1, F.col("state"), ["a", "b"]),
-                second=(stage == 2, F.col("state"), ["a", "b"]),
+                first=(stage == 1, F.col("state")),
+                second=(stage == 2, F.col("state")),
             )
         ]
     )
@@ -267,6 +279,40 @@ def test_linked_states_count_pairs_without_making_them(spark):
     ]
 
 
+def test_any_state_is_linked_and_rows_without_id_never_match(spark):
+    data = [
+        ("3", 1, "a"), ("3", 2, "new"), ("2", 1, "new"), ("2", 2, "b"), ("1", 1, None),
+        ("1", 2, "b"), (None, 1, "a"), (None, 2, "c"), (None, 2, "c"),
+    ]
+    df = spark.createDataFrame(data, "id string, stage int, state string")
+    stage, state = F.col("stage"), F.col("state")
+    edges = flow.link_states(df, id_cols=["id"], first=(stage == 1, state), second=(stage == 2, state))
+    assert rows(flow.state_flow([edges]), "source", "target", "weight") == [
+        ("a", "new", 1), ("new", "b", 1), (None, "b", 1), (None, "c", 2),
+    ]
+
+
+def test_a_path_ends_at_its_first_gap(spark):
+    paths = spark.createDataFrame(
+        [("x", None, "z"), (None, "y", "z"), ("x", "y", "z")], "s1 string, s2 string, s3 string"
+    )
+    edges = flow.path_edges(paths, ["s1", "s2", "s3"], start="Start")
+    assert rows(edges, "source", "target") == [
+        ("Start", "x"), ("Start", "x"), ("x", "y"), ("y", "z"),
+    ]
+    edges = flow.path_edges(paths, ["s1", "s2", "s3"])
+    assert rows(edges, "source", "target") == [("x", "y"), ("y", "z")]
+
+
+def test_an_undated_entity_has_no_battery_flag(spark):
+    rows_ = spark.createDataFrame(
+        [(None, "Yes", "No"), (d("2020-01-01"), "Yes", "Yes")], "enroll_date date, a string, b string"
+    )
+    flags = battery.completion_flags(rows_, {"a": None, "b": d("2020-01-01")})
+    got = flags.select(battery.battery_flag(["a", "b"]).alias("full")).collect()
+    assert [r.full for r in got] == [None, True]
+
+
 # -- Repeated records, order of rows -----------------------------------------------
 
 
