@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from tallyward.llm.jaccard import ngram_jaccard
 from tallyward.llm.langid import predict_language, train_dictionaries
 from tallyward.llm.lines import dedup_lines
+from tallyward.llm.lm import score_texts
 from tallyward.llm.mixing import mix_sources
 from tallyward.llm.pieces import decoded, encoded, load_pieces
 from tallyward.llm.shards import shard_rows
+from tallyward.llm.vectors import near_duplicates, nearest
 from tallyward.llm.wordpieces import greedy_pieces, token_counts
 
 #: The public tokenizer file that the queries read.
@@ -65,6 +67,12 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"), F.col("back").eqNullSafe(F.col("text")).alias("round_trip"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of all documents, learned from six sevenths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_texts(docs, remainder("doc_id", 7) != 2)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy word pieces of all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -72,6 +80,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "c.n_words", "c.n_tokens")
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors at a cosine of 0.9."""
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the targets of their sources."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -81,6 +94,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of every hundredth vector among all."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, F.col("vec_id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py over all documents."""
     import corpus_pipeline
@@ -94,10 +113,57 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_sharding": op4_sharding,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_token_counts": op7_token_counts,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_mixing": op9_mixing,
+    "op10_nearest_neighbours": op10_nearest_neighbours,
     "pipeline": pipeline,
 }
 
-#: SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+#: SQL of the queries that SQL can express; the others are tested against brute force.
+ORACLE: dict[str, str] = {
+    "op3_ngram_jaccard_join": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(
+             generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' ')))
+           WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+  FROM words),
+rows AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM rows a JOIN rows b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT a AS doc_id, a AS other FROM both_ways
+  UNION SELECT r.doc_id, l.b FROM reach r JOIN both_ways l ON l.a = r.other)
+SELECT s.doc_id, CAST(coalesce(len(s.s), 0) AS BIGINT) AS n_shingles,
+       coalesce(min(r.other), s.doc_id) AS component_id
+FROM sets s LEFT JOIN reach r USING (doc_id) GROUP BY s.doc_id, s.s""",
+    "op8_embedding_near_dedup": """
+WITH RECURSIVE rows AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+usable AS (
+  SELECT vec_id, v FROM rows
+  WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+reach AS (
+  SELECT a AS vec_id, a AS other FROM links
+  UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.other),
+least AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+       vec_id = coalesce(component_id, vec_id) AS kept
+FROM rows LEFT JOIN counts USING (vec_id) LEFT JOIN least USING (vec_id)""",
+}

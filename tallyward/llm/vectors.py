@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tallyward.llm.common import components, saved
 
 #: Cell width, random vectors met per bucket, chance to miss a pair at the limit, rows of a block.
-WIDTH, MET, MISSED, BLOCK = 2.0, 100, 0.002, 2048
+WIDTH, MET, MISSED, BLOCK = 2.0, 100, 1e-4, 2048
 
 
 def usable(vector: Column) -> Column:
