@@ -1,0 +1,41 @@
+"""The pipeline on small tables, and the queries' registration."""
+
+from __future__ import annotations
+
+import corpus_pipeline
+from conftest import SF
+
+import __spark_entry__ as entry
+from tallyward.llm.common import saved
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_every_operator_has_one_query():
+    names = [n for n in entry.queries() if n.startswith("op") and n[2].isdigit()]
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert "pipeline" in entry.queries()
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_stages_on_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 150")
+    counts = [docs.count()]
+    for name, stage in corpus_pipeline.STAGES:
+        docs = saved(stage(spark, docs, SF))
+        counts.append(docs.count())
+        if name != "sentencepiece":
+            assert docs.columns == COLUMNS
+    assert docs.columns == ["doc_id", "source", "n_tokens", "ids"]
+    before, languages, lines, near, mixed, last = counts
+    assert before >= languages > 0.95 * before
+    assert languages >= lines >= near > 0.7 * before
+    assert last == mixed > near
+
+
+def test_stages_on_empty_and_odd_rows(spark):
+    rows = [(1, None, None, None, None), (2, "", "en", None, 0), (3, "one two three\nfour five six", "en", "s", 28), (3, "one two three\nfour five six", "en", "s", 28)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for some in (docs, docs.limit(0)):
+        for _, stage in corpus_pipeline.STAGES:
+            stage(spark, some, SF).collect()
