@@ -16,8 +16,12 @@ def parse_datetime(col: Column, fmt: str = DATETIME_FORMAT) -> Column:
 
 
 def parse_date(col: Column, fmt: str = DATE_FORMAT) -> Column:
-    """Year-month-day text, zero-padded or not, to date; null if it does not fit."""
-    return F.try_to_date(col, fmt)
+    """Year-month-day text, zero-padded or not, to date; null if it does not fit.
+
+    Years of two digits are not guessed at: they do not fit.
+    """
+    date = F.try_to_date(col, fmt)
+    return F.when(F.year(date) >= 100, date)
 
 
 def date_parts(col: Column) -> dict[str, Column]:
