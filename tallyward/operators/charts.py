@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.functions import percent_text, threshold_band
+from tallyward.functions import as_text, percent_text, threshold_band
 
 COMPLETION_CUTS = ((">", 0.90, "Excellent"), (">", 0.80, "Okay"))
 COMPLETION_REST = "Uh-oh"
@@ -39,6 +39,34 @@ def with_completion_text(df: DataFrame, label: str, share: str = "prop_comp") ->
     )
 
 
+def with_count_texts(df: DataFrame, label: str, counts: Mapping[str, str]) -> DataFrame:
+    """A text per count column, such as ``Mar 2018, Screened: 12``; ``counts`` names them."""
+    return df.withColumns(
+        {
+            f"{column}_text": F.concat(
+                as_text(F.col(label)), F.lit(f", {name}: "), as_text(F.col(column))
+            )
+            for column, name in counts.items()
+        }
+    )
+
+
+def with_share_text(
+    df: DataFrame, label: str, category: str, whole_percent: str, out: str = "share_text"
+) -> DataFrame:
+    """Text of a point of a line, such as ``Mar 2018, Prisoner: 12%``."""
+    value = as_text(F.col(whole_percent).cast("long"))
+    return df.withColumn(
+        out,
+        F.concat(as_text(F.col(label)), F.lit(", "), F.col(category), F.lit(": "), value, F.lit("%")),
+    )
+
+
+def with_box_text(df: DataFrame, whole_percent: str, out: str = "value_text") -> DataFrame:
+    """Text of a figure box, such as ``12%``."""
+    return df.withColumn(out, F.concat(as_text(F.col(whole_percent).cast("long")), F.lit("%")))
+
+
 def with_chart_order(
     df: DataFrame, within: Sequence[str], label: str, share: str = "prop_comp"
 ) -> DataFrame:

@@ -384,7 +384,21 @@ def _wear(by: str = "") -> str:
 
 
 ORACLE["device_wear_kpis"] = _wear()
+_BOXES = "box, pct, alert, CAST(CAST(pct AS BIGINT) AS VARCHAR) || '%' AS value_text"
 ORACLE["device_wear_kpis_by_status"] = _wear("l_linestatus")
+ORACLE["reason_line_texts"] = f"""
+SELECT myear, reason, coalesce(myear_char, 'NA') || ', ' || reason || ': '
+       || CAST(CAST(percent AS BIGINT) AS VARCHAR) || '%' AS share_text
+FROM ({ORACLE['reason_share']})"""
+ORACLE["exclusions_title"] = """
+SELECT 'Cumulative Exclusions (Total: ' || format('{:,}', count(*)) || ')' AS title FROM lineitem"""
+ORACLE["screening_bar_texts"] = f"""
+SELECT myear, coalesce(myear_char, 'NA') || ', Screened: ' || screened AS screened_text,
+       coalesce(myear_char, 'NA') || ', Approached: ' || approached AS approached_text,
+       coalesce(myear_char, 'NA') || ', Enrolled: ' || enrolled AS enrolled_text
+FROM ({ORACLE['screening_two_sources']})"""
+ORACLE["still_open_sentence"] = f"""
+SELECT line, 'Patients currently in hospital: ' || ids AS sentence FROM ({ORACLE['still_open_ids']})"""
 ORACLE["removal_histogram"] = f"""
 WITH {_DAYS},
 counts AS (
@@ -417,6 +431,11 @@ s AS (SELECT battery, count(ok) AS n_elig, count(*) FILTER (ok) AS n_comp FROM b
 SELECT *, n_comp / n_elig AS prop_comp, round_even(n_comp / n_elig * 100, 0) AS pct_comp,
        CASE WHEN round_even(n_comp / n_elig * 100, 0) < 80 THEN 'warn' ELSE 'ok' END AS alert
 FROM s"""
+ORACLE["figure_boxes"] = f"""
+SELECT {_BOXES} FROM (
+  SELECT 'worn' AS box, pct_accel_worn AS pct, accel_worn_alert AS alert
+  FROM ({ORACLE['device_wear_kpis']})
+  UNION ALL SELECT battery, pct_comp, alert FROM ({ORACLE['battery_completion']}))"""
 
 _BAND = (
     "CASE WHEN prop_comp > 0.90 THEN 'Excellent' WHEN prop_comp > 0.80 THEN 'Okay' "

@@ -180,6 +180,14 @@ def screening_month_axis(spark: SparkSession, sf: str) -> DataFrame:
     return charts.with_month_axis(screening_funnel_monthly(spark, sf))
 
 
+@query
+def screening_bar_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts of the monthly bars."""
+    bars = {"screened": "Screened", "approached": "Approached", "enrolled": "Enrolled"}
+    out = charts.with_count_texts(screening_two_sources(spark, sf), "myear_char", bars)
+    return out.select("myear", *(f"{b}_text" for b in bars))
+
+
 # -- Reasons -----------------------------------------------------------------------
 
 LINE_REASONS = {
@@ -222,6 +230,22 @@ def reason_totals(spark: SparkSession, sf: str) -> DataFrame:
     return reasons.reason_totals(_lines_with_reasons(spark, sf), LINE_REASONS)
 
 
+@query
+def reason_line_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts of the points of the reasons' lines."""
+    out = charts.with_share_text(reason_share(spark, sf), "myear_char", "reason", "percent")
+    return out.select("myear", "reason", "share_text")
+
+
+@query
+def exclusions_title(spark: SparkSession, sf: str) -> DataFrame:
+    """Number of excluded, with thousands separators, in a title."""
+    total = thousands(F.max("n_patients_exc"))
+    return reason_totals(spark, sf).agg(
+        F.concat(F.lit("Cumulative Exclusions (Total: "), total, F.lit(")")).alias("title")
+    )
+
+
 @query
 def reason_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
     return reasons.reason_hierarchy(_lines_with_reasons(spark, sf), LINE_REASONS)
@@ -290,6 +314,14 @@ def still_open_ids(spark: SparkSession, sf: str) -> DataFrame:
     return funnel.id_lines(still_in.select(F.col("user_id").alias("id")), empty="None")
 
 
+@query
+def still_open_sentence(spark: SparkSession, sf: str) -> DataFrame:
+    """The lines of open ids with their lead-in."""
+    return still_open_ids(spark, sf).select(
+        "line", F.concat(F.lit("Patients currently in hospital: "), "ids").alias("sentence")
+    )
+
+
 def _timeline(spark: SparkSession, sf: str, as_of: dt.date | None = None) -> DataFrame:
     return status.daily_status_timeline(
         _users(spark, sf, LOW), "start_date", range(1, 30), DAY_RULES,
@@ -443,6 +475,16 @@ def device_wear_kpis(spark: SparkSession, sf: str) -> DataFrame:
     return device.wear_kpis(_device_days(spark, sf), worn=F.col("worn"), removals_col="removals")
 
 
+@query
+def figure_boxes(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts and alerts of the boxes: full batteries, days worn, permanent removals."""
+    worn = device_wear_kpis(spark, sf).select(
+        F.lit("worn").alias("box"), F.col("pct_accel_worn").alias("pct"), F.col("accel_worn_alert").alias("alert")
+    )
+    full = battery_completion(spark, sf).select(F.col("battery").alias("box"), F.col("pct_comp").alias("pct"), "alert")
+    return charts.with_box_text(worn.unionByName(full), "pct")
+
+
 @query
 def device_wear_kpis_by_status(spark: SparkSession, sf: str) -> DataFrame:
     return device.wear_kpis(
