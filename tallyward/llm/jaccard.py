@@ -9,9 +9,8 @@ pair, and pairs below the smaller ``k`` are dropped; what remains is counted ove
 sets.
 
 Documents of equal sets are one class. Columns of up to ``SHORT`` classes give all their
-pairs. Longer ones first give pairs of neighbours and pairs with the column's first class,
-which link the members of large groups; then every pair whose documents are not in one
-component by then. So large groups don't give all their pairs, and no group is split.
+pairs. Longer ones first give pairs with the class that shares most, the centre of a group,
+which link its members; then every pair whose documents are not in one component by then. So large groups don't give all their pairs, and no group is split.
 """
 
 from __future__ import annotations
@@ -29,6 +28,8 @@ from tallyward.llm.common import components, mixed, saved, shingle_sets
 HELD, REPORTED = 4_000_000, 4
 #: Classes of a column that gives all its pairs at once.
 SHORT = 12
+#: Classes of a block of the product.
+BLOCK = 2048
 #: One part in so many of a set that a partner has among its first n-grams.
 COMMON = 20
 
@@ -151,10 +152,10 @@ def ngram_jaccard(
     order = Window.partitionBy("gram").orderBy("at")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     columns = columns.select(
-        "*", F.lag("at").over(order).alias("before"), F.first("at").over(whole).alias("head"),
+        "gram", "at", F.lag("at").over(order).alias("before"), F.first("at").over(whole).alias("head"),
         F.last("at").over(whole).alias("tail"), F.count(F.lit(1)).over(whole).alias("classes"),
     )
-    columns = saved(columns.where("head != tail and (before is null or before != at)").drop("tail"))
+    columns = saved(columns.where("head != tail and (before is null or before != at)").drop("tail", "before"))
 
     # summed overlaps of pairs, and the bound
     alike = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
@@ -163,8 +164,13 @@ def ngram_jaccard(
     later = lambda x, i: F.transform(F.filter(F.slice("all", i + 2, SHORT), lambda y: alike(x["n"], y["n"])), lambda y: pair(x, y))
     told = short.select(F.explode(F.flatten(F.transform("all", later))).alias("p"), F.lit(1).alias("overlap"))
     long = columns.where(F.col("classes") > SHORT)
-    near = long.select(F.explode(F.array(pair(F.col("before"), F.col("at")), pair(F.col("head"), F.col("at")))).alias("p"), F.lit(0).alias("overlap"))
-    near = near.where("p.x is not null and p.x != p.y").where(alike(F.col("p.x.n"), F.col("p.y.n")))
+    # the more of a class is shared, and by more, the nearer it is to a group's centre
+    own, column = Window.partitionBy("at.mark"), Window.partitionBy("gram")
+    rows = long.select("gram", "at", F.count(F.lit(1)).over(own).alias("m"), F.sum("classes").over(own).alias("shared"))
+    rows = rows.where(F.col("m") >= F.ceil(F.col("at.n") * percent / (100 * COMMON)))
+    rows = saved(rows.withColumn("head", F.max(F.struct("shared", "at")).over(column)["at"]))
+    near = rows.where("head != at").where(alike(F.col("head.n"), F.col("at.n"))).select(pair(F.col("head"), F.col("at")).alias("p")).distinct()
+    near = near.withColumn("overlap", F.lit(0))
     in_long = long.groupBy(F.col("at.mark").alias("mark")).agg(F.count(F.lit(1)).alias("m"))
     found = told.unionByName(near).groupBy("p").agg(F.sum("overlap").alias("overlap"))
     found = found.select(F.col("p.x.mark").alias("a"), F.col("p.x.n").alias("na"), F.col("p.y.mark").alias("b"), F.col("p.y.n").alias("nb"), "overlap")
@@ -172,26 +178,41 @@ def ngram_jaccard(
         found = found.join(in_long.select(F.col("mark").alias(side), F.col("m").alias("m" + side)), side, "left")
     # in columns that did not give all pairs, a pair has at most what both have there
     least = F.least(*(F.ceil(F.col(n) / COMMON) for n in ("na", "nb")))
+    past = F.greatest(*(F.ceil(F.col(n) * percent / 100) - F.ceil(F.col(n) / COMMON) for n in ("na", "nb")))
+    asked = F.greatest(least, F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent)) - past)
     unseen = F.least(F.coalesce("ma", F.lit(0)), F.coalesce("mb", F.lit(0)))
-    found = saved(found.where(F.col("overlap") + unseen >= least).select("a", "b"))
+    found = saved(found.where(F.col("overlap") + unseen >= asked).select("a", "b"))
     links = _verified(found, classes, texts, size, percent)
     part = saved(components(links))
 
-    # every other pair of the long columns, of documents of different components
-    labelled = long.select("gram", "at.mark", "at.n").join(part.withColumnRenamed("node", "mark"), "mark", "left")
-    labelled = saved(labelled.select("gram", "mark", "n", F.coalesce("component", "mark").alias("c")))
-    several = labelled.groupBy("gram").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x != y")
-    labelled = labelled.join(several.select("gram"), "gram", "left_semi")
-    left, right = (labelled.select("gram", *(F.col(c).alias(c + side) for c in ("mark", "n", "c"))) for side in "ab")
-    pairs = (
-        left.join(right, "gram")
-        .where("ca < cb")
-        .where(alike(F.col("na"), F.col("nb")))
-        .groupBy(F.col("marka").alias("a"), F.col("markb").alias("b"), "na", "nb")
-        .agg(F.count(F.lit(1)).alias("overlap"))
-        .where(F.col("overlap") >= least)
-        .select("a", "b")
-    )
+    # every other pair of the long columns: first with the centre of what is not in the
+    # component of the column's centre, then of all documents of different components
+    for last in (False, True):
+        named = part.select(F.col("node").alias("mark"), F.col("component").alias("c"))
+        labelled = rows.select("gram", "at.mark", "at", "shared", F.col("head.mark").alias("top"), "m").join(named, "mark", "left")
+        labelled = labelled.withColumn("c", F.coalesce("c", "mark"))
+        if last:
+            break
+        top = F.max(F.when(F.col("mark") == F.col("top"), F.col("c"))).over(column)
+        apart = labelled.withColumn("of_top", top).where("c != of_top")
+        apart = apart.withColumn("head", F.max(F.struct("shared", "at")).over(column)["at"]).where("head != at")
+        apart = apart.where(alike(F.col("head.n"), F.col("at.n"))).select(F.col("head.mark").alias("a"), F.col("mark").alias("b"))
+        apart = apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        more = _verified(saved(apart), classes, texts, size, percent)
+        part = saved(components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)))
+    labelled = labelled.select("gram", "mark", "at.n", "c", "top", F.col("m"))
+    labelled = labelled.withColumns({"x": F.min("c").over(column), "y": F.max("c").over(column)})
+    labelled = labelled.where("x != y").drop("x", "y")
+    # columns of one centre are a block of the product; its documents are cut into blocks too
+    held = labelled.groupBy("top").agg(F.count_distinct("mark").alias("classes")).where(F.col("classes") > BLOCK)
+    held = held.select("top", F.ceil(F.col("classes") / BLOCK).cast("int").alias("blocks"))
+    blocks = labelled.join(held, "top", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    blocks = blocks.withColumn("own", F.pmod(F.xxhash64("mark"), F.col("blocks")).cast("int"))
+    blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    blocks = blocks.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+    blocks = blocks.select("top", "low", "high", "own", "gram", "mark", "n", "c", "m")
+    blocks = blocks.repartition("top", "low", "high").sortWithinPartitions("top", "low", "high", "gram")
+    pairs = blocks.mapInArrow(lambda batches: _product(batches, percent), "a long, b long").distinct()
     more = _verified(saved(pairs), classes, texts, size, percent)
     linked = part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
     final = components(linked).withColumnRenamed("node", "mark")
@@ -205,6 +226,49 @@ def ngram_jaccard(
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
+def _product(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of classes of different components that the overlaps in one block don't rule out."""
+    held: list[np.ndarray] | None = None
+    for batch in batches:
+        columns = [c.to_numpy() for c in batch.columns]
+        starts = np.flatnonzero(np.concatenate(([True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns[:3]]))))
+        for low, high in zip(starts, [*starts[1:], batch.num_rows]):
+            piece = [c[low:high] for c in columns]
+            if held is not None and all(x[0] == y[0] for x, y in zip(held[:3], piece[:3])):
+                held = [np.concatenate(z) for z in zip(held, piece)]
+                continue
+            if held is not None:
+                yield _block_pairs(held, percent)
+            held = piece
+    if held is not None:
+        yield _block_pairs(held, percent)
+
+
+def _block_pairs(block: list[np.ndarray], percent: int) -> pa.RecordBatch:
+    _, low, high, own, gram, mark, n, c, m = block
+    names, first, row = np.unique(mark, return_index=True, return_inverse=True)
+    own, n, c, m = own[first], n[first].astype(np.int64), c[first], m[first]
+    k = len(names)
+    _, column = np.unique(gram, return_inverse=True)
+    overlap = np.zeros((k, k), np.float32)
+    width = max(1, 8_000_000 // k)
+    for start in range(0, int(column.max()) + 1, width):
+        some = (column >= start) & (column < start + width)
+        part = np.zeros((k, min(width, int(column.max()) + 1 - start)), np.float32)
+        part[row[some], column[some] - start] = 1
+        overlap += part @ part.T
+    outside = m - np.bincount(row, minlength=k)  # columns of a class in other blocks
+    least = -(-n // COMMON)
+    past = -(-n * percent // 100) - least
+    a, b = np.nonzero(np.triu(overlap > 0, 1))
+    asked = np.maximum(np.minimum(least[a], least[b]), -(-(n[a] + n[b]) * percent // (100 + percent)) - np.maximum(past[a], past[b]))
+    keep = (c[a] != c[b]) & (overlap[a, b] + np.minimum(outside[a], outside[b]) >= asked)
+    keep &= np.minimum(n[a], n[b]) * 100 >= np.maximum(n[a], n[b]) * percent
+    if low[0] != high[0]:
+        keep &= own[a] != own[b]
+    return pa.record_batch([pa.array(names[a[keep]]), pa.array(names[b[keep]])], ["a", "b"])
+
+
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = shingle_sets(batch.column(1), size)
