@@ -5,7 +5,8 @@ once for free and again at a cost that rises with each repetition, to the source
 belongs to, up to their quotas. The network has a node per pattern and source, never one
 per document. Each pattern's flow is then drawn from its documents in an order given by a
 seeded hash: cut at a place found from sums per range of hashes, so no task sees a whole
-pattern.
+pattern. A document that no longer fits is left out and the draw goes on after it among
+those that fit, until there is none.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from tallyward.llm.common import saved
 
 #: Bits of the hash that one level of sums resolves, and the levels.
 STEP, LEVELS = 12, 2
-#: Documents per pattern that fill what the cut leaves open.
-FILLS = 3
+#: Place after all rows.
+LAST = ((1 << 63) - 1, (1 << 63) - 1)
 
 
 def words_in(text: Column) -> Column:
@@ -124,7 +125,7 @@ def mix_sources(
     ``source_col`` is a name or an array of names; null, or an empty array, is the source
     null. ``size`` is the number of words (null or empty text: 0), ``taken`` the words that
     the mix takes: whole documents, each at most ``repeats`` times. A pattern's words miss
-    its flow by less than its smallest fitting document. The draw depends on the seed, id
+    its flow by less than any of its documents that could be taken once more. The draw depends on the seed, id
     and text alone; rows equal in both are interchangeable, ties between others fall by
     hash. An empty table gives no rows. Sources and patterns are small sets: their sums are
     handled on the driver. Other columns are ignored.
@@ -135,7 +136,7 @@ def mix_sources(
     sources = F.when(F.size(sources) > 0, sources).otherwise(F.array(F.lit(None).cast("string")))
     rows = docs.select(
         F.col(id_col).alias("doc_id"), sources.alias("sources"), words_in(F.col(text_col)).alias("size"),
-        F.xxhash64(F.lit(seed), id_col, text_col).alias("u"), *([F.struct("*").alias("row")] if carry else []),
+        F.shiftrightunsigned(F.xxhash64(F.lit(seed), id_col, text_col), 1).alias("u"), *([F.struct("*").alias("row")] if carry else []),
     )
     rows = rows.withColumn("pattern", F.to_json(F.struct(F.col("sources").alias("s"))))
     rows = saved(rows.withColumn("tie", F.monotonically_increasing_id()))
@@ -152,48 +153,24 @@ def mix_sources(
 
     # whole rounds of a pattern, and the words that a part of it gives once more
     full = {key[p]: flow[p] // size if size else 0 for p, size in patterns.items()}
-    part = {key[p]: flow[p] - full[key[p]] * size for p, size in patterns.items()}
-    lows = {p: 0 for p in part}  # ranges of hashes: low bits below which all are in
-    open_rows = rows.where("size > 0")
-    place = lambda level: F.shiftrightunsigned("u", 64 - STEP * level).cast("long")
-    for level in range(1, LEVELS + 1):
-        table = _table(spark, {p: (lows[p], part[p]) for p in part}, "low long, part long")
-        cells = open_rows.join(table, "pattern").where(F.lit(level == 1) | (place(max(level - 1, 1)) == F.col("low")))
-        cells = cells.groupBy("pattern", place(level).alias("cell"), "part").agg(F.sum("size").alias("n"))
-        order = Window.partitionBy("pattern").orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        cells = cells.withColumn("upto", F.sum("n").over(order)).where("upto > part")
-        cut = {r["pattern"]: (r["cell"], r["part"] - (r["upto"] - r["n"])) for r in cells.groupBy("pattern").agg(F.min_by(F.struct("cell", "part", "upto", "n"), "cell").alias("r")).select("pattern", "r.*").collect()}
-        for p in part:  # without a cut the whole range is in
-            lows[p], part[p] = cut.get(p, ((1 << STEP * level), 0))
-    table = _table(spark, {p: (full[p], lows[p], part[p]) for p in part}, "full long, low long, part long")
-    rows = rows.join(table, "pattern")
-    at = place(LEVELS)
-    edge = rows.where((at == F.col("low")) & (F.col("size") > 0))
-    order = Window.partitionBy("pattern").orderBy("u", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edge = saved(edge.withColumn("upto", F.sum("size").over(order)).where("upto <= part").select("pattern", "u", "tie", "size"))
-    chosen = rows.join(edge.select("u", "tie", F.lit(1).alias("drawn")), ["u", "tie"], "left")
-    chosen = chosen.withColumn("more", F.when(at < F.col("low"), 1).otherwise(F.coalesce("drawn", F.lit(0))))
-    gaps = {p: part[p] for p in part}
-    for r in edge.groupBy("pattern").agg(F.sum("size").alias("n")).collect():
-        gaps[r["pattern"]] -= r["n"]
-    picked: list[tuple] = []
-    for _ in range(FILLS):
-        gaps = {p: g for p, g in gaps.items() if g > 0}
-        if not gaps:
-            break
-        table = _table(spark, {p: (g,) for p, g in gaps.items()}, "gap long")
-        free = chosen.where("more = 0 and size > 0").join(table, "pattern").where("size <= gap")
-        if picked:
-            free = free.join(_picks(spark, picked), ["u", "tie"], "left_anti")
-        best = free.groupBy("pattern").agg(F.max_by(F.struct("u", "tie", "size"), F.struct("size", "u", "tie")).alias("b")).select("pattern", "b.*").collect()
-        for r in best:
-            picked.append((r["u"], r["tie"]))
-            gaps[r["pattern"]] -= r["size"]
-        gaps = {r["pattern"]: gaps[r["pattern"]] for r in best}
-    out = chosen
-    if picked:
-        out = out.join(_picks(spark, picked).withColumn("picked", F.lit(1)), ["u", "tie"], "left")
-        out = out.withColumn("more", F.greatest("more", F.coalesce("picked", F.lit(0))))
+    gaps = {key[p]: flow[p] - full[key[p]] * size for p, size in patterns.items()}
+    gaps = {p: gap for p, gap in gaps.items() if gap > 0}
+    stretches: dict[str, list[tuple]] = {p: [] for p in full}
+    starts = dict.fromkeys(gaps, (-1, -1))
+    sized = rows.where("size > 0").select("pattern", "u", "tie", "size")
+    while gaps:
+        free = sized.join(_table(spark, {p: (gap, *starts[p]) for p, gap in gaps.items()}, "gap long, u0 long, t0 long"), "pattern")
+        free = free.where("size <= gap").where(_after("u0", "t0"))
+        left, ends = {}, _first_too_many(spark, free, gaps)
+        for p, (end, before) in ends.items():
+            stretches[p].append((*starts[p], *end, gaps[p]))
+            if end != LAST and gaps[p] > before:
+                left[p], starts[p] = gaps[p] - before, end
+        gaps = left
+    table = _table(spark, {p: (full[p], stretches[p]) for p in full}, "full long, stretches array<struct<u0:long,t0:long,u1:long,t1:long,most:long>>")
+    chosen = rows.join(table, "pattern")
+    drawn = F.exists("stretches", lambda s: (F.col("size") <= s["most"]) & _after(s["u0"], s["t0"]) & ~_after(s["u1"], s["t1"], True))
+    out = chosen.withColumn("more", F.when((F.col("size") > 0) & drawn, 1).otherwise(0))
     taken = (F.col("size") * (F.col("full") + F.col("more"))).cast("long")
     return out.select("doc_id", "sources", "size", taken.alias("taken"), *(["row"] if carry else [])), words, targets
 
@@ -202,5 +179,34 @@ def _table(spark: SparkSession, values: dict[str, tuple], schema: str) -> DataFr
     return spark.createDataFrame([(p, *v) for p, v in values.items()], f"pattern string, {schema}")
 
 
-def _picks(spark: SparkSession, picked: list[tuple]) -> DataFrame:
-    return spark.createDataFrame(picked, "u long, tie long")
+def _after(u: Column | str, tie: Column | str, also: bool = False) -> Column:
+    """Whether a row comes after a place in the order of the draw, or ``also`` lies at it."""
+    u, tie = (F.col(c) if isinstance(c, str) else c for c in (u, tie))
+    return (F.col("u") > u) | ((F.col("u") == u) & (F.col("tie") >= tie if also else F.col("tie") > tie))
+
+
+def _first_too_many(spark: SparkSession, free: DataFrame, gaps: dict[str, int]) -> dict[str, tuple]:
+    """Per pattern with rows: place of the first row whose running sum is over the gap, and the sum before it.
+
+    ``LAST`` where all rows fit. Sums per range of hashes narrow the place down, so only the
+    rows of one range are put in order.
+    """
+    place = lambda level: F.shiftright("u", 63 - STEP * level)
+    whole = Window.partitionBy("pattern")
+    upto = lambda *order: F.sum("n").over(whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out: dict[str, tuple] = {}
+    lows = {p: (0, 0) for p in gaps}  # the range that the gap ends in, and the sum before it
+    for level in range(1, LEVELS + 1):
+        cells = free.join(_table(spark, lows, "low long, before long"), "pattern").where(F.lit(level == 1) | (place(level - 1) == F.col("low")))
+        cells = cells.groupBy("pattern", "gap", "before", place(level).alias("cell")).agg(F.sum("size").alias("n"))
+        cells = cells.withColumn("upto", F.col("before") + upto("cell"))
+        over = F.when(F.col("upto") > F.col("gap"), F.struct("cell", (F.col("upto") - F.col("n")).alias("sum")))
+        cuts = cells.groupBy("pattern").agg(F.min(over).alias("cut"), F.max("upto").alias("all")).collect()
+        lows = {r["pattern"]: tuple(r["cut"]) for r in cuts if r["cut"] is not None}
+        out |= {r["pattern"]: (LAST, r["all"]) for r in cuts if r["cut"] is None}
+        if not lows:
+            return out
+    edge = free.join(_table(spark, lows, "low long, before long"), "pattern").where(place(LEVELS) == F.col("low")).withColumn("n", F.col("size"))
+    edge = edge.withColumn("upto", F.col("before") + upto("u", "tie")).where("upto > gap")
+    edge = edge.groupBy("pattern").agg(F.min(F.struct("u", "tie", (F.col("upto") - F.col("n")).alias("sum"))).alias("cut")).select("pattern", "cut.*")
+    return out | {r["pattern"]: ((r["u"], r["tie"]), r["sum"]) for r in edge.collect()}

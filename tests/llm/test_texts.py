@@ -423,3 +423,19 @@ def test_spelling_tree_is_a_distribution():
     share[-1] = lm.SYMBOLS - (len(share) - 1)
     assert (10.0 ** tree.log.astype(float) * share).sum(axis=1) == pytest.approx(1, abs=1e-5)
     assert tree.score([b"ab", b"zz"])[0] > tree.score([b"ab", b"zz"])[1]
+
+
+def test_mixing_goes_on_after_a_document_that_does_not_fit(spark):
+    """A document of half the words: the others still fill the target."""
+    rows = [(i, "w " * 10, "s") for i in range(100)] + [(100, "w " * 1000, "s")]
+    rows += [(200 + i, "w " * n, "t") for i, n in enumerate([7] * 60 + [3, 2, 1, 400, 150, 80])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    size = {i: len(t.split()) for i, t, _ in rows}
+    for seed in range(4):
+        mix, _, targets = mixing.mix_sources(df, seed=seed, weights=(1,), share=1.5)
+        got = mix.collect()
+        assert all(r.taken in (size[r.doc_id], 2 * size[r.doc_id]) for r in got)
+        for s, target in targets.items():
+            gap = round(target) - sum(r.taken for r in got if r.sources[0] == s)
+            left = [r["size"] for r in got if r.sources[0] == s and r.taken == r["size"]]
+            assert 0 <= gap < min(left, default=gap + 1)
