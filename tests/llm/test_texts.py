@@ -439,3 +439,12 @@ def test_mixing_goes_on_after_a_document_that_does_not_fit(spark):
             gap = round(target) - sum(r.taken for r in got if r.sources[0] == s)
             left = [r["size"] for r in got if r.sources[0] == s and r.taken == r["size"]]
             assert 0 <= gap < min(left, default=gap + 1)
+
+
+def test_line_dedup_of_unicode_punctuation(spark):
+    """Quotes, dashes, ellipses, guillemets, bullets and no-break spaces part words as blanks do; alone they are no line."""
+    same = ["she said yes and left", "“She said: yes” – and left…", "«she said» yes — and left", "• She said yes – and left。"]
+    marks = ["———", "• •", "…"]
+    df = spark.createDataFrame([(i, "\n".join([x, *marks])) for i, x in enumerate(same)], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in lines.dedup_lines(df).collect()}
+    assert got == {i: "\n".join([same[0], *marks] if i == 0 else marks) for i in range(len(same))}
