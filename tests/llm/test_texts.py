@@ -448,3 +448,15 @@ def test_line_dedup_of_unicode_punctuation(spark):
     df = spark.createDataFrame([(i, "\n".join([x, *marks])) for i, x in enumerate(same)], "doc_id long, text string")
     got = {r.doc_id: r.text for r in lines.dedup_lines(df).collect()}
     assert got == {i: "\n".join([same[0], *marks] if i == 0 else marks) for i in range(len(same))}
+
+
+def test_language_model_does_not_depend_on_partitions(spark):
+    """Phrases that occur once in each of many tasks count as they do in one task."""
+    rng = random.Random(21)
+    phrases = ["alpha beta gamma", "delta beta epsilon"]
+    data = [(i, f"{sentence(rng, 6, 3000)} {phrases[i % 2]} {sentence(rng, 6, 3000)}") for i in range(64)]
+    scores = []
+    for n in (1, 64):
+        df = spark.createDataFrame(spark.sparkContext.parallelize(data, n), "doc_id long, text string")
+        scores.append({r.doc_id: r.score for r in lm.score_texts(df, F.col("doc_id") % 7 != 2).collect()})
+    assert scores[0] == pytest.approx(scores[1], abs=1e-6)
