@@ -460,3 +460,47 @@ def test_language_model_does_not_depend_on_partitions(spark):
         df = spark.createDataFrame(spark.sparkContext.parallelize(data, n), "doc_id long, text string")
         scores.append({r.doc_id: r.score for r in lm.score_texts(df, F.col("doc_id") % 7 != 2).collect()})
     assert scores[0] == pytest.approx(scores[1], abs=1e-6)
+
+
+def test_language_model_against_plain_python(spark, monkeypatch):
+    """All states and next words count, also when tasks know only the ten hottest."""
+    monkeypatch.setattr(lm, "OFTEN", 10)
+    monkeypatch.setattr(lm, "HOT", 10)
+    rng = random.Random(31)
+    phrases = [sentence(rng, 5, 30) for _ in range(30)]
+    texts = [" ".join(rng.choice(phrases) for _ in range(4)) for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in lm.score_texts(df, F.col("doc_id") % 7 != 2).collect()}
+    words = {i: [*t.split(), "\n"] for i, t in enumerate(texts)}
+    learned = [w for i, w in words.items() if i % 7 != 2]
+    counts = Counter(w for ws in learned for w in ws)
+    total, kinds = sum(counts.values()), len(counts)
+    spelled = lm.grow(spark.createDataFrame([(w.encode(), n) for w, n in counts.items() if w != "\n"], "word binary, n long"), len(learned))
+    spelling = lambda w: 10.0 ** (spelled.end if w == "\n" else spelled.score([w.encode()])[0])
+    root = {w: (n + kinds * spelling(w)) / (total + kinds) for w, n in counts.items()}
+    after = defaultdict(Counter)
+    for ws in learned:
+        for i, w in enumerate(ws):
+            for d in range(1, min(i, lm.WORDS) + 1):
+                after[tuple(ws[i - d : i])][w] += 1
+    states = set()
+
+    def chance(context, w):
+        if not context:
+            return root[w]
+        base = chance(context[1:], w)
+        if context not in states:
+            return base
+        n = after[context]
+        return (n[w] + len(n) * base) / (n.total() + len(n))
+
+    for context in sorted(after, key=len):
+        n = after[context]
+        if n.total() >= lm.LEAST:
+            base = {w: chance(context[1:], w) for w in n}
+            gain = sum(n[w] * np.log((n[w] + len(n) * base[w]) / (n.total() + len(n)) / base[w]) for w in n)
+            if gain > len(n) / 2 * np.log(total):
+                states.add(context)
+    assert {len(c) for c in states} >= {1, 2}
+    want = {i: sum(log10(chance(tuple(ws[max(0, k - lm.WORDS) : k]), w)) for k, w in enumerate(ws)) for i, ws in words.items()}
+    assert got == pytest.approx(want, abs=1e-4)
