@@ -176,7 +176,7 @@ def mix_sources(
 
 
 def _table(spark: SparkSession, values: dict[str, tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame([(p, *v) for p, v in values.items()], f"pattern string, {schema}")
+    return F.broadcast(spark.createDataFrame([(p, *v) for p, v in values.items()], f"pattern string, {schema}"))  # it comes from the driver
 
 
 def _after(u: Column | str, tie: Column | str, also: bool = False) -> Column:
