@@ -10,49 +10,89 @@ from pyspark.sql import functions as F
 from tallyward.functions import all_true, is_in, percent_text, ratio, recode
 
 
-def link_states(
+def stage_edges(
     rows: DataFrame,
     *,
     id_cols: Sequence[str],
-    first: tuple[Column, Column],
-    second: tuple[Column, Column],
+    stages: Sequence[tuple[Column, Column]],
+    origin: Column | None = None,
+    weight: str | None = None,
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Edges from each entity's state at one stage to its state at the next.
+    """Edges from each entity's states at a stage to its states at the next, in one pass.
+
+    A stage is ``(rows of the stage, state)``; any state counts. Every row of a stage
+    meets every row of its entity at the stage before; one without such a row, or without
+    an id, has a null source. Rows without an id lead to no later stage, rows without a
+    state make no edge. Rows of the first stage come from ``origin``, if there is one.
+    ``weight`` is the number of rows that a row stands for.
 
-    A stage is ``(rows of the stage, state)``; any state counts. Every second row meets
-    every first row of its entity; a second row without a first one, or without an id,
-    has a null source. First rows without an id and rows without a state make no edge.
-    States are counted per entity and the counts multiplied, so entities with many rows
-    cost no more than others.
+    States are counted per entity and become one vector of stages, whose counts are
+    multiplied, so entities with many rows cost no more than others and the rows are
+    read once for all stages.
     """
     keys = list(dict.fromkeys([*by, *id_cols]))
-    stages = [
-        F.when(in_stage & state.isNotNull(), F.struct(F.lit(k).alias("stage"), state.alias("state")))
-        for k, (in_stage, state) in enumerate((first, second), 1)
+    one = F.lit(1).cast("long") if weight is None else F.col(weight)
+    before = F.lit(None).cast("string") if origin is None else origin
+    told = [
+        F.when(
+            in_stage & state.isNotNull(),
+            F.struct(
+                F.lit(k).alias("stage"),
+                state.alias("state"),
+                (before if k == 0 else F.lit(None).cast("string")).alias("origin"),
+            ),
+        )
+        for k, (in_stage, state) in enumerate(stages)
     ]
-    told = rows.select(*keys, F.explode(F.array_compact(F.array(*stages))).alias("_s"))
-    counts = told.groupBy(*keys, "_s").agg(F.count(F.lit(1)).alias("n"))
-
-    def states(stage: int) -> Column:
-        own = F.struct(F.col("_s.state").alias("state"), "n")
-        return F.collect_list(F.when(F.col("_s.stage") == stage, own))
-
-    listed = counts.groupBy(*keys).agg(states(1).alias("_a"), states(2).alias("_b"))
+    told = rows.select(*keys, one.alias("_n"), F.explode(F.array_compact(F.array(*told))).alias("_s"))
+    counts = told.groupBy(*keys, "_s").agg(F.sum("_n").alias("n"))
+    own = F.struct(F.col("_s.state").alias("state"), F.col("_s.origin").alias("origin"), "n")
+    listed = counts.groupBy(*keys).agg(
+        *(
+            F.collect_list(F.when(F.col("_s.stage") == k, own)).alias(f"_stage{k}")
+            for k in range(len(stages))
+        )
+    )
     none = F.array(
-        F.struct(F.lit(None).cast("string").alias("state"), F.lit(1).cast("long").alias("n"))
+        F.struct(
+            F.lit(None).cast("string").alias("state"),
+            F.lit(None).cast("string").alias("origin"),
+            F.lit(1).cast("long").alias("n"),
+        )
     )
     known = all_true(F.col(c).isNotNull() for c in id_cols)
-    sources = F.when((F.size("_a") > 0) & known, F.col("_a")).otherwise(none)
-    pairs = listed.select(*by, sources.alias("_a"), F.explode("_b").alias("_t")).select(
-        *by, F.explode("_a").alias("_f"), "_t"
-    )
-    return pairs.select(
-        *by,
-        F.col("_f.state").alias("source"),
-        F.col("_t.state").alias("target"),
-        (F.col("_f.n") * F.col("_t.n")).alias("weight"),
-    )
+
+    def edge(source: Column, target: Column, n: Column) -> Column:
+        return F.struct(source.alias("source"), target.alias("target"), n.alias("weight"))
+
+    def step(k: int) -> Column:
+        sources = F.when((F.size(f"_stage{k - 1}") > 0) & known, F.col(f"_stage{k - 1}"))
+        pairs = F.transform(
+            F.coalesce(sources, none),
+            lambda f: F.transform(
+                F.col(f"_stage{k}"), lambda t: edge(f["state"], t["state"], f["n"] * t["n"])
+            ),
+        )
+        return F.flatten(pairs)
+
+    steps = [step(k) for k in range(1, len(stages))]
+    if origin is not None:
+        first = F.transform(F.col("_stage0"), lambda t: edge(t["origin"], t["state"], t["n"]))
+        steps = [first, *steps]
+    return listed.select(*by, F.inline(F.concat(*steps)))
+
+
+def link_states(
+    rows: DataFrame,
+    *,
+    id_cols: Sequence[str],
+    first: tuple[Column, Column],
+    second: tuple[Column, Column],
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Edges from each entity's state at one stage to its state at the next."""
+    return stage_edges(rows, id_cols=id_cols, stages=(first, second), by=by)
 
 
 def path_edges(
@@ -98,7 +138,8 @@ def state_flow(
     for part in parts[1:]:
         rows = rows.unionByName(part)
     edges = rows.groupBy(*cols).agg(F.sum("weight").alias("weight"))
-    # From here on there is one row per edge.
+    # From here on there is one row per edge: those of a group meet once, for both totals.
+    edges = edges.repartition(*by) if by else edges.repartition(1)
     return (
         edges.withColumns(
             {

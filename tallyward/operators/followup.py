@@ -184,6 +184,10 @@ FOLDS = {
 }
 """How several records of one visit become one."""
 
+#: What the status asks of a record, and the number of records that agree in it.
+COUNTED = ("done", "known", "refused")
+N_RECORDS = "n_records"
+
 
 def _bits(flags: Iterable[Column]) -> Column:
     """Flags of a row as the bits of a long."""
@@ -226,6 +230,31 @@ def _each_record(
     return matched.unionByName(missing)
 
 
+def _counted_records(
+    base: DataFrame, slim: DataFrame, ids: Sequence[str], visit_col: str
+) -> DataFrame:
+    """Entity, visit and distinct record, with the number of records that are alike.
+
+    Records are counted by what the status asks of them, so a hot entity leaves each map
+    task as a few rows. Those of an entity become one array, which the join meets once;
+    whether a visit has records is read from the array when the visits are laid out.
+    """
+    counted = slim.groupBy(*ids, visit_col, *COUNTED).agg(F.count(F.lit(1)).alias(N_RECORDS))
+    own = F.struct(F.col(visit_col).alias("_visit"), *COUNTED, N_RECORDS)
+    per_entity = counted.groupBy(*ids).agg(F.collect_list(own).alias("_records"))
+    kept = [c for c in base.columns if c != "_visits"]
+    # An outer generator: no filter on the visits, which would have them read again.
+    grid = base.join(per_entity, list(ids), "left").select(
+        *kept, "_records", F.inline_outer("_visits")
+    )
+    grid = grid.where(F.col(visit_col).isNotNull())
+    of_visit = F.filter("_records", lambda r: r["_visit"] == F.col(visit_col))
+    rows = grid.select(*(c for c in grid.columns if c != "_records"), F.inline_outer(of_visit))
+    return rows.drop("_visit").withColumn(
+        N_RECORDS, F.coalesce(N_RECORDS, F.lit(1).cast("long"))
+    )
+
+
 def _merged_records(
     base: DataFrame, slim: DataFrame, ids: Sequence[str], visits: Sequence[str], visit_col: str
 ) -> DataFrame:
@@ -271,6 +300,7 @@ def followup_status(
     as_of: dt.date,
     no_consent_ids: Collection | DataFrame = (),
     merge: bool = False,
+    counted: bool = False,
     id_cols: Sequence[str] = ("id",),
     visit_col: str = "event",
     phone_marker: str = "Phone Call",
@@ -285,10 +315,15 @@ def followup_status(
     """Status of each entity at each visit, and whether it counts as due and as done.
 
     The rows are those of ``followup_windows``, with the records of ``slim_records``.
-    Several records of one visit give several rows, or one with ``merge``. ``visits``
+    Several records of one visit give several rows, or one with ``merge``, or with
+    ``counted`` one per kind of record: those that agree in all flags and the refusal
+    share a row, without dates, and ``n_records`` is their number (1 where a visit has
+    no record). The summaries of this module weigh rows by it. ``visits``
     is a list of names or a record table, as for ``followup_windows``. ``no_consent_ids``
     is a table with the id columns, or a short list of values of the last of them.
     """
+    if merge and counted:
+        raise ValueError("records of a visit are either merged or counted")
     if len(instruments.all) > 63:
         raise ValueError("at most 63 instruments: their flags are kept as the bits of a long")
     ids = list(id_cols)
@@ -299,7 +334,9 @@ def followup_status(
     elif no_consent_ids:
         refuses = is_in(F.col(ids[-1]), no_consent_ids)
     base = _with_visits(entities, visits, window_dim, visit_col, phone_marker, by)
-    if merge and not isinstance(visits, DataFrame):
+    if counted:
+        rows = _counted_records(base, records, ids, visit_col)
+    elif merge and not isinstance(visits, DataFrame):
         rows = _merged_records(base, records, ids, visits, visit_col)
     else:
         if merge:
@@ -365,12 +402,21 @@ def _flag(i: int) -> Column:
     return F.when(F.col("known").bitwiseAND(bit) != 0, F.col("done").bitwiseAND(bit) != 0)
 
 
+def _n_rows(status: DataFrame, when: Column | str | None = None) -> Column:
+    """Number of records, all or those that meet a condition, whichever way they are kept."""
+    one = F.col(N_RECORDS) if N_RECORDS in status.columns else F.lit(1).cast("long")
+    if when is None:
+        return F.sum(one)
+    when = F.col(when) if isinstance(when, str) else when
+    return F.coalesce(F.sum(F.when(when, one)), F.lit(0).cast("long"))
+
+
 def followup_counts(
     status: DataFrame, *, visit_col: str = "event", by: Sequence[str] = ()
 ) -> DataFrame:
     """Rows per visit and status."""
     return status.groupBy(*by, visit_col, "fu_status", "fu_status_ord").agg(
-        F.count("*").alias("n")
+        _n_rows(status).alias("n")
     )
 
 
@@ -388,7 +434,9 @@ def followup_totals(
     # Counting by condition: a filter would have the status worked out twice.
     totals = (
         status.groupBy(*by, visit_col)
-        .agg(F.count_if("fu_elig").alias("n_elig"), F.count_if("fu_comp").alias("n_comp"))
+        .agg(
+            _n_rows(status, "fu_elig").alias("n_elig"), _n_rows(status, "fu_comp").alias("n_comp")
+        )
         .where(F.col("n_elig") > 0)
         .withColumn("prop_comp", ratio(F.col("n_comp"), F.col("n_elig")))
     )
@@ -421,8 +469,11 @@ def followup_instruments(
     counts = (
         status.groupBy(*keys)
         .agg(
-            F.count_if(comp).alias("n_elig"),
-            *(F.count_if(comp & F.col(flag_col(s))).alias(flag_col(s)) for s in instruments.all),
+            _n_rows(status, comp).alias("n_elig"),
+            *(
+                _n_rows(status, comp & F.col(flag_col(s))).alias(flag_col(s))
+                for s in instruments.all
+            ),
         )
         .where(F.col("n_elig") > 0)
     )

@@ -239,7 +239,8 @@ def flow_stages(enrolled: DataFrame, fu_status: DataFrame, cfg: StudyConfig) ->
     """Enrolled -> end of stay -> early visit -> late visit.
 
     Those still in hospital take part in the first stage only. A death or withdrawal
-    in hospital carries over to the early visit whatever its status there.
+    in hospital carries over to the early visit whatever its status there. All edges
+    after the end of stay come from one pass over the status.
     """
     by, ids = list(cfg.by), cfg.ids
     in_hospital, state = F.col("inhosp_status"), F.col("fu_status")
@@ -259,17 +260,16 @@ def flow_stages(enrolled: DataFrame, fu_status: DataFrame, cfg: StudyConfig) ->
     )
     late_node = recode(state, late_nodes, F.lit(NO_NODE))
 
-    left = fu_status.where(in_hospital != cfg.terminal_open)
     early, late = (F.col(cfg.event_col) == v for v in (cfg.early_visit, cfg.late_visit))
-    second = left.where(early).select(*by, node.alias("source"), early_node.alias("target"))
-    third = flow.link_states(
-        left,
+    later = flow.stage_edges(
+        fu_status.where(in_hospital != cfg.terminal_open),
         id_cols=ids,
         by=by,
-        first=(early, early_node),
-        second=(late, late_node),
+        stages=((early, early_node), (late, late_node)),
+        origin=node,
+        weight=followup.N_RECORDS if followup.N_RECORDS in fu_status.columns else None,
     )
-    return [first, second, third]
+    return [first, later]
 
 
 def run_study(

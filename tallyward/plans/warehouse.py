@@ -659,6 +659,7 @@ def _line_records(spark: SparkSession, sf: str) -> DataFrame:
 def _followup(
     spark: SparkSession, sf: str, merge: bool, visits: DataFrame | None = None, no_consent=range(1, 8)
 ) -> DataFrame:
+    """Status with the records of a visit merged, or else counted by what they hold."""
     records = followup.slim_records(
         _line_records(spark, sf), LINES, refusal=F.col("gq_rsn") == "Patient refusal"
     )
@@ -666,7 +667,7 @@ def _followup(
         _order_entities(spark, sf), records, LINES,
         anchor_col="hospdis_date", window_dim=WINDOWS,
         visits=list(VISITS.values()) if visits is None else visits,
-        as_of=FOLLOWUP_AS_OF, merge=merge, no_consent_ids=no_consent,
+        as_of=FOLLOWUP_AS_OF, merge=merge, counted=not merge, no_consent_ids=no_consent,
     )
 
 
@@ -700,7 +701,7 @@ def followup_status_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def followup_status_counts_all_records(spark: SparkSession, sf: str) -> DataFrame:
-    """Every record of a visit gives a row of its own."""
+    """Every record of a visit counts on its own."""
     return followup.followup_counts(_followup(spark, sf, merge=False))
 
 
@@ -802,13 +803,10 @@ def _order_flow(spark: SparkSession, sf: str, by: list[str]) -> DataFrame:
     def stage(k: int) -> tuple[Column, Column]:
         return F.col("period") == k, F.concat(F.col("o_orderstatus"), F.lit(f", {k}"))
 
-    in_first, node = stage(1)
-    edges = [orders.where(in_first).select(*by, F.lit("Start").alias("source"), node.alias("target"))]
-    edges += [
-        flow.link_states(orders, id_cols=["o_custkey"], first=stage(k), second=stage(k + 1), by=by)
-        for k in (1, 2)
-    ]
-    return flow.state_flow(edges, source_rank=NODE_RANK, target_rank=NODE_RANK, by=by)
+    edges = flow.stage_edges(
+        orders, id_cols=["o_custkey"], stages=[stage(k) for k in (1, 2, 3)], origin=F.lit("Start"), by=by
+    )
+    return flow.state_flow([edges], source_rank=NODE_RANK, target_rank=NODE_RANK, by=by)
 
 
 @query
