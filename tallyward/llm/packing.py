@@ -8,62 +8,20 @@ batches of equal shape are taken.
 
 from __future__ import annotations
 
-import os
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.llm.common import saved
+from tallyward.llm.wordids import WordIds, model_tables, slices
 
-#: Characters that are tokenized at once, and words whose ids a task keeps at hand.
-CHUNK, KEPT = 1 << 21, 1 << 18
 #: Parts of a bucket that are numbered on their own.
 CELLS = 1024
 
-PIECES = "array<struct<start:long,length:int,ids:array<int>>>"
-
-
-class WordIds:
-    """Ids of texts by a tokenizer whose pre-tokens never cross ASCII white space.
-
-    Each distinct word of a chunk is looked up, or else encoded, once; the ids of the text
-    are gathered from them.
-    """
-
-    def __init__(self, model: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one core
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(model)
-        self.kept: dict[str, np.ndarray] = {}
-
-    def words(self, words: list[str]) -> list[np.ndarray]:
-        new = [w for w in words if w not in self.kept]
-        found = dict(zip(new, (np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch(new, add_special_tokens=False))))
-        out = [self.kept[w] if w in self.kept else found[w] for w in words]
-        if len(self.kept) + len(found) > KEPT:
-            self.kept = {}
-        if len(found) <= KEPT:
-            self.kept.update(found)
-        return out
-
-    def __call__(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, with ``end`` after each text, and where each text's ids begin."""
-        lists = pc.ascii_split_whitespace(texts.fill_null(""))
-        coded = lists.flatten().dictionary_encode()
-        bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        ids = [*self.words(coded.dictionary.to_pylist()), np.array([end], np.int32)]
-        size = np.array([len(x) for x in ids], np.int64)
-        first = np.cumsum(size) - size
-        word = np.insert(coded.indices.to_numpy().astype(np.int64), bounds[1:], len(ids) - 1)
-        ends = np.cumsum(size[word])
-        flat = np.concatenate(ids)[np.repeat(first[word] - (ends - size[word]), size[word]) + np.arange(ends[-1] if len(ends) else 0)]
-        return flat, np.concatenate(([0], ends))[bounds + np.arange(len(bounds))]
+PIECES = "array<struct<start:long,length:int,ids:binary>>"
 
 
 def binary_pieces(n: int, longest: int) -> list[int]:
@@ -72,42 +30,33 @@ def binary_pieces(n: int, longest: int) -> list[int]:
     return [longest] * (n // longest) + [1 << b for b in range(longest.bit_length() - 2, -1, -1) if rest >> b & 1]
 
 
-def _slices(texts: pa.Array) -> Iterator[pa.Array]:
-    """Neighbouring texts of about a chunk."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(texts.cast(pa.large_string())), 0).to_numpy(zero_copy_only=False))
-    low = 0
-    while low < len(texts):
-        before = ends[low - 1] if low else 0
-        high = max(low + 1, int(np.searchsorted(ends, before + CHUNK, "right")))
-        yield texts.slice(low, high - low)
-        low = high
-
-
 def cut_documents(docs: DataFrame, tokenizer_file: str, text_col: str = "text", longest: int = 2048, end: int = 1) -> DataFrame:
     """A row per piece: the columns of ``docs``, then ``start``, ``length``, ``ids`` and ``doc_tokens``.
 
-    A document's tokens are those of the public tokenizer in ``tokenizer_file`` (one that
-    cuts at ASCII white space), then ``end``; each lies in exactly one piece. ``start``
-    counts the document's tokens before the piece, ``doc_tokens`` all of them. A null text
-    counts as empty, an empty one has the one piece of its end. Repeated rows are each cut.
+    A document's tokens are those of the public tokenizer in ``tokenizer_file``, then
+    ``end``; each lies in exactly one piece. ``ids`` are little-endian unsigned 32-bit
+    numbers, as training files hold them. ``start`` counts the document's tokens before the
+    piece, ``doc_tokens`` all of them. A null text counts as empty, an empty one has the one
+    piece of its end. Repeated rows are each cut.
     Very long texts are read whole. Columns of these names are replaced, all others stay.
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("the longest piece must be a power of two")
     with open(tokenizer_file, encoding="utf-8") as file:
-        model = docs.sparkSession.sparkContext.broadcast(file.read())
+        model = docs.sparkSession.sparkContext.broadcast(model_tables(file.read()))
 
     def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = WordIds(model.value)
         for batch in batches:
-            for texts in _slices(batch):
+            for texts in slices(batch):
                 flat, bounds = encode(texts, end)
                 lengths = [binary_pieces(n, longest) for n in np.diff(bounds).tolist()]
                 counts = np.array([len(x) for x in lengths], np.int64)
                 size = np.array([n for x in lengths for n in x], np.int64)
                 ends = np.cumsum(size)
                 starts = ends - size - np.repeat(bounds[:-1], counts)
-                ids = pa.ListArray.from_arrays(np.concatenate(([0], ends)).astype(np.int32), pa.array(flat, pa.int32()))
+                offsets = (np.concatenate(([0], ends)) * 4).astype(np.int32)
+                ids = pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(flat.astype("<u4"))])
                 pieces = pa.StructArray.from_arrays([pa.array(starts), pa.array(size, pa.int32()), ids], ["start", "length", "ids"])
                 yield pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(counts))).astype(np.int32), pieces)
 
@@ -156,15 +105,3 @@ def with_batches(sequences: DataFrame, tokens: int) -> DataFrame:
     per_batch = F.greatest(F.lit(1), F.floor(F.lit(tokens) / F.col("length")))
     batch = F.floor((F.col("sequence_id") - F.col("__least")) / per_batch).cast("long")
     return sequences.drop("batch").join(first, "length").withColumn("batch", batch).drop("__least")
-
-
-def ids_crc32(ids: Column) -> Column:
-    """Unsigned crc32 of ids as little-endian unsigned 32-bit numbers; null for null."""
-
-    def crc(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for lists in batches:
-            raw = memoryview(lists.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes())
-            at = (lists.offsets.to_numpy() * 4).tolist()
-            yield pa.array([zlib.crc32(raw[a:b]) for a, b in zip(at[:-1], at[1:])], pa.int64(), mask=lists.is_null().to_numpy(zero_copy_only=False))
-
-    return F.arrow_udf(crc, "long")(ids)

@@ -14,7 +14,7 @@ from tallyward.llm.langid import predict_language, train_dictionaries
 from tallyward.llm.lines import dedup_lines
 from tallyward.llm.lm import score_texts
 from tallyward.llm.mixing import mix_sources
-from tallyward.llm.packing import bucketed, cut_documents, ids_crc32
+from tallyward.llm.packing import bucketed, cut_documents
 from tallyward.llm.pieces import decoded, encoded, load_pieces
 from tallyward.llm.shards import shard_rows
 from tallyward.llm.spelling import counted, runs, spelling_groups, without_point
@@ -107,7 +107,7 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents cut into sequences of up to 2048 tokens."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    pieces = cut_documents(docs, WORDS).select("doc_id", "start", "length", ids_crc32(F.col("ids")).alias("ids_crc32"), "doc_tokens")
+    pieces = cut_documents(docs, WORDS).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
     return bucketed(pieces)
 
 

@@ -10,10 +10,11 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallyward.llm import divergence, packing, spelling
+from tallyward.llm import divergence, packing, spelling, wordids
 from tallyward.llm.queries import WORDS
 
 ODD = ["", None, "   \n", "a", "It's  O'Neill’s <|endoftext|> x́ ́y", "ÀÉ straße Σας ΣΑΣ", "x" * 5000, "1234 5.6e7 --== \x0b\x1c z", " a\u0085b", "日本語 テスト 🙂🙂"]
@@ -37,8 +38,8 @@ def packed(spark):
     data = [(i, t) for i, t in enumerate(texts)]
     data += [(7, texts[7]), (12, texts[12]), (None, texts[12])]
     df = clashing(spark.createDataFrame(data, "doc_id long, text string")).repartition(3)
-    rows = packing.bucketed(packing.cut_documents(df, WORDS)).withColumn("crc", packing.ids_crc32(F.col("ids")))
-    return data, rows.collect()
+    rows = packing.bucketed(packing.cut_documents(df, WORDS)).withColumn("crc", F.crc32("ids"))
+    return data, [Row(**r.asDict() | {"ids": np.frombuffer(r.ids, "<u4").tolist()}) for r in rows.collect()]
 
 
 def test_packing_holds_every_token_once(packed):
@@ -102,6 +103,22 @@ def test_packing_same_numbers_again(spark):
     assert runs[0] == runs[1]
 
 
+def test_word_ids_equal_the_library():
+    with open(WORDS, encoding="utf-8") as file:
+        encode = wordids.WordIds(wordids.model_tables(file.read()))
+    library = Tokenizer.from_file(WORDS)
+    rng = random.Random(1)
+    signs = "abcdeABCDEéÉßÿ÷×Ññ'.,-1239 \n\t<|>_\u0301́ŁłИи日\x00\x1fſİK"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(60))) for _ in range(3000)]
+    texts += ODD + ["aaaa aaaaa hahahahaha", "x" * 3 + " " + "xy" * 4000, "Ã", " É", "<|startoftext|>A"]
+    for some in (texts, [], [""], [None]):
+        flat, at = encode(pa.array(some, pa.string()), 1)
+        want = [[*e.ids, 1] for e in library.encode_batch([t or "" for t in some], add_special_tokens=False)]
+        assert [flat[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want
+    with pytest.raises(ValueError, match="not a byte-level"):
+        wordids.model_tables('{"model": {"type": "Unigram"}}')
+
+
 # --- spelling variants -----------------------------------------------------------------
 
 
