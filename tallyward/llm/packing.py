@@ -21,7 +21,7 @@ from tallyward.llm.wordids import WordIds, model_tables, slices
 #: Parts of a bucket that are numbered on their own.
 CELLS = 1024
 
-PIECES = "array<struct<start:long,length:int,ids:binary>>"
+PIECES = "array<struct<start:long,length:long,ids:binary,doc_tokens:long>>"
 
 
 def binary_pieces(n: int, longest: int) -> list[int]:
@@ -57,16 +57,13 @@ def cut_documents(docs: DataFrame, tokenizer_file: str, text_col: str = "text",
                 starts = ends - size - np.repeat(bounds[:-1], counts)
                 offsets = (np.concatenate(([0], ends)) * 4).astype(np.int32)
                 ids = pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(flat.astype("<u4"))])
-                pieces = pa.StructArray.from_arrays([pa.array(starts), pa.array(size, pa.int32()), ids], ["start", "length", "ids"])
+                whole = pa.array(np.repeat(np.diff(bounds), counts))
+                pieces = pa.StructArray.from_arrays([pa.array(starts), pa.array(size), ids, whole], ["start", "length", "ids", "doc_tokens"])
                 yield pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(counts))).astype(np.int32), pieces)
 
     kept = [c for c in docs.columns if c not in ("start", "length", "ids", "doc_tokens")]
-    cuts = docs.select(*kept, F.arrow_udf(cut, PIECES)(F.col(text_col).cast("string")).alias("__pieces"))
-    last = F.element_at("__pieces", -1)
-    whole = (last["start"] + last["length"]).alias("doc_tokens")
-    return cuts.select(*kept, whole, F.explode("__pieces").alias("__piece")).select(
-        *kept, F.col("__piece.start").alias("start"), F.col("__piece.length").cast("long").alias("length"), F.col("__piece.ids").alias("ids"), "doc_tokens"
-    )
+    pieces = F.arrow_udf(cut, PIECES)(F.col(text_col).cast("string"))
+    return docs.select(*kept, F.explode(pieces).alias("__piece")).select(*kept, "__piece.*")
 
 
 def bucketed(pieces: DataFrame, seed: int = 0) -> DataFrame:
