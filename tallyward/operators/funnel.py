@@ -16,7 +16,7 @@ from tallyward.functions import (
     ratio,
     thousands,
 )
-from tallyward.operators.joins import join_groups
+from tallyward.operators.positions import text_pages
 
 FLAGS = ("screened", "approached", "refused", "enrolled")
 #: Flags that are also counted among the approached alone, for rates among them.
@@ -168,42 +168,26 @@ def id_lines(
     per_line: int = 1000,
     empty: str | None = None,
 ) -> DataFrame:
-    """Ids of a group as sorted text, with the count of ids and the line number.
+    """Ids of a group as text in sorted order, with the count of ids and the line number.
 
-    A group of up to ``per_line`` ids is one line. A larger one is spread by id
-    hash over as many lines as it needs, so no task holds a whole group and no id is
-    left out. ``ids`` holds distinct ids, as ``undated_ids`` gives them. Without
-    ``by``, ``empty`` is the text of the one line given when there are no ids.
+    A line holds ``per_line`` ids, the last one of a group what is left; lines are cut by
+    the place in the sorted group, whatever its size. No id is left out, repeated ids stay.
+    Without ``by``, ``empty`` is the text of the one line given when there are no ids.
     """
     by = list(by)
     if by and empty is not None:
         raise ValueError("a text for 'no ids' needs a report without groups")
-    size = ids.groupBy(*by).agg(F.count("*").alias("n_ids"))
-    n_lines = F.ceil(F.col("n_ids") / per_line)
-    if by:
-        sized = join_groups(ids, size, by, "inner")
-    else:
-        sized = ids.withColumn("n_ids", size.scalar())
-    # The first 32 bits of the MD5 sum: any system can repeat the split.
-    digest = F.substring(F.md5(F.col(id_col).cast("string")), 1, 8)
-    number = F.coalesce(F.conv(digest, 16, 10).cast("long"), F.lit(0))
-    line = (number % n_lines).cast("int")
-    lines = (
-        sized.groupBy(*by, line.alias("line"), "n_ids")
-        .agg(
-            F.array_join(
-                F.array_sort(F.collect_list(F.coalesce(F.col(id_col).cast("string"), F.lit("NA")))),
-                sep,
-            ).alias(text_col)
-        )
-        .select(*by, "line", "n_ids", text_col)
+    lines = text_pages(ids, id_col, by=by, per_page=per_line, sep=sep).select(
+        *by, F.col("page").alias("line"), "n_ids", F.col("ids").alias(text_col)
     )
     if empty is None:
         return lines
-    none = size.where(F.col("n_ids") == 0).select(
-        F.lit(0).alias("line"), "n_ids", F.lit(empty).alias(text_col)
+    # One row without group, the only one where there are no lines.
+    none = lines.agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == 0)
+    zero = F.lit(0).cast("long").alias("n_ids")
+    return lines.unionByName(
+        none.select(F.lit(0).alias("line"), zero, F.lit(empty).alias(text_col))
     )
-    return lines.unionByName(none)
 
 
 def undated_message(

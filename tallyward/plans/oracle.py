@@ -121,15 +121,14 @@ ORACLE["undated_ids"] = f"WITH {_TWO}, {_UNDATED} SELECT id FROM undated"
 
 
 def _lines_of(ids: str, by: str = "") -> str:
-    """Ids as text lines: 1000 ids a line, spread by the first 32 bits of the MD5 sum."""
+    """Ids in sorted order as text lines of 1000 ids."""
     lead = f"{by}, " if by else ""
     over = f"PARTITION BY {by}" if by else ""
     return f"""
     SELECT {lead}line, n_ids, string_agg(id, '; ' ORDER BY id) AS ids
-    FROM (SELECT {lead}id, n_ids,
-                 CAST(('0x' || substring(md5(id), 1, 8))::UBIGINT
-                      % CAST(ceil(n_ids / 1000) AS BIGINT) AS INT) AS line
-          FROM (SELECT {lead}id, count(*) OVER ({over}) AS n_ids FROM {ids}))
+    FROM (SELECT {lead}id, count(*) OVER ({over}) AS n_ids,
+                 CAST((row_number() OVER ({over} ORDER BY id) - 1) // 1000 AS INT) AS line
+          FROM {ids})
     GROUP BY {lead}line, n_ids"""
 
 
@@ -652,8 +651,7 @@ ORACLE["followup_instruments_all_records"] = f"{_followup(merge=False)}, {_INSTR
 ORACLE["followup_not_yet_text"] = f"""{_followup(merge=False)},
 due AS (
   SELECT DISTINCT event, CAST(id AS VARCHAR) AS id FROM status
-  WHERE fu_status = 'Eligible, but not yet assessed'
-    AND event IN ('1 Month Phone Call', '2 Month Phone Call'))
+  WHERE fu_status = 'Eligible, but not yet assessed')
 {_lines_of('due', 'event')}"""
 ORACLE["followup_not_yet_assessed"] = f"""{_followup()}
 SELECT id, event, enter_window, exit_window

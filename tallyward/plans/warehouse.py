@@ -740,9 +740,9 @@ def followup_instruments_all_records(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def followup_not_yet_text(spark: SparkSession, sf: str) -> DataFrame:
-    """Ids due but not yet assessed at the first two visits, as text per visit."""
+    """Ids due but not yet assessed, as text per visit."""
     ids = followup.not_yet_assessed(_followup(spark, sf, merge=False))
-    ids = ids.where(F.col("event").isin(VISITS[1], VISITS[2])).select("event", F.col("id").cast("string").alias("id"))
+    ids = ids.select("event", F.col("id").cast("string").alias("id"))
     return funnel.id_lines(ids.distinct(), by=["event"])
 
 

@@ -11,8 +11,9 @@ from conftest import SF, d, rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tallyward.operators import battery, device, expected, flow, followup, funnel
+from tallyward.operators import battery, device, expected, flow, followup, funnel, positions
 from tallyward.plans.warehouse import BEFORE_DISCHARGE, PERMANENT, QUERIES
+from tallyward.sources import staging
 
 
 @contextmanager
@@ -274,14 +275,47 @@ def test_removals_of_a_hot_entity(spark):
     ]
 
 
-def test_long_id_list_is_spread_and_whole(spark):
-    ids = spark.range(5_000).select(F.format_string("P%05d", "id").alias("id"))
-    lines = funnel.id_lines(ids, per_line=500).collect()
-    assert len(lines) == 10
+def test_long_id_list_is_cut_by_place(spark):
+    """One form for any size: sorted pages, spread over tasks, repeated ids kept."""
+    ids = spark.range(5_000).select(F.format_string("P%05d", F.col("id") % 4_990).alias("id"))
+    lines = sorted(funnel.id_lines(ids.repartition(7), per_line=500).collect(), key=lambda r: r.line)
+    assert [(r.line, r.n_ids, r.ids.count("; ")) for r in lines] == [(i, 5_000, 499) for i in range(10)]
     found = [i for line in lines for i in line.ids.split("; ")]
-    assert sorted(found) == [f"P{i:05d}" for i in range(5_000)]
-    assert max(line.ids.count("; ") + 1 for line in lines) < 700
-    assert all(line.ids.split("; ") == sorted(line.ids.split("; ")) for line in lines)
+    assert found == sorted(f"P{i % 4_990:05d}" for i in range(5_000))
+    assert rows(funnel.id_lines(ids.limit(3), per_line=500))[0][:2] == (0, 3)
+
+
+def test_positions_of_groups_over_many_ranges(spark):
+    """A hot group, a missing group, ties and nulls; places are those of the sorted group."""
+    data = [("hot", i % 700) for i in range(3_000)] + [(None, 5), (None, None), ("a", 1), ("b", 2), ("b", 2)]
+    df = spark.createDataFrame(data, "g string, x int").repartition(5)
+    with conf(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        placed = positions.with_positions(df, ["x"], by=["g"]).collect()
+    got = {}
+    for r in placed:
+        got.setdefault(r.g, []).append((r.position, r.x))
+        assert r.group_size == sum(g == r.g for g, _ in data)
+    for group, found in got.items():
+        want = sorted((x for g, x in data if g == group), key=lambda x: (x is not None, x))
+        assert sorted(found) == list(enumerate(want))
+    assert positions.with_positions(df.limit(0), ["x"], by=["g"]).collect() == []
+
+
+def test_staging_needs_a_shared_folder_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.shared_folder(Session())
 
 
 def test_id_list_of_nobody(spark):
