@@ -24,6 +24,8 @@ from tallyward.functions.numbers import percent, percent_text, ratio, round_half
 from tallyward.functions.text import (
     as_text,
     contains_any_case,
+    cut_ending,
+    cut_first,
     leading_integer,
     remove_first,
     replace_first,
@@ -31,7 +33,7 @@ from tallyward.functions.text import (
 
 __all__ = [
     "alert_above", "alert_below", "all_true", "as_text", "contains_any_case", "count_done",
-    "date_parts", "date_text", "days_between", "filled", "first_match", "is_in", "is_true",
+    "cut_ending", "cut_first", "date_parts", "date_text", "days_between", "filled", "first_match", "is_in", "is_true",
     "leading_integer", "month_key", "month_label", "not_null_and_prefix", "parse_date",
     "parse_datetime", "percent", "percent_text", "ratio", "recode", "remove_first",
     "replace_first", "round_half_even", "thousands", "threshold_band",

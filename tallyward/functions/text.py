@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Collection
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,6 +34,20 @@ def remove_first(col: Column, pattern: str) -> Column:
     return replace_first(col, pattern, "")
 
 
+def cut_first(col: Column, phrases: Collection[str]) -> Column:
+    """Drop the first occurrence of any of some plain phrases."""
+    if not phrases:
+        return col
+    return remove_first(col, "|".join(re.escape(p) for p in phrases))
+
+
+def cut_ending(col: Column, ending: str) -> Column:
+    """Drop a plain ending, where a text has it."""
+    if not ending:
+        return col
+    return F.when(col.endswith(ending), F.left(col, F.length(col) - len(ending))).otherwise(col)
+
+
 def leading_integer(col: Column) -> Column:
     """The integer a label starts with, if a space follows it; else null."""
     return F.nullif(F.regexp_extract(col, r"^(\d+)(?= )", 1), F.lit("")).try_cast("int")

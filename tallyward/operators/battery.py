@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from tallyward.functions import (
     alert_below,
     all_true,
+    cut_ending,
     not_null_and_prefix,
     percent,
     ratio,
     recode,
-    remove_first,
 )
 from tallyward.operators.charts import with_chart_order, with_completion_text
 from tallyward.operators.reshape import sums_to_long
@@ -59,12 +59,13 @@ def battery_completion(
     date_col: str = "enroll_date",
     done_prefix: str = "Yes",
     labels: Mapping[str, str] | None = None,
-    strip: str = "_comp_ph$",
+    ending: str = "",
     warn_below: float = 80,
     by: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """Share of entities with each full battery, and with each instrument.
 
+    An instrument without a label is called by its name in capitals, without ``ending``.
     All figures come from one aggregate per group; only that one row goes long, once per
     table.
     """
@@ -90,7 +91,7 @@ def battery_completion(
     )
     per_battery = per_battery.withColumn("alert", alert_below(F.col("pct_comp"), warn_below))
 
-    stem = F.upper(remove_first(F.col("instrument"), strip))
+    stem = F.upper(cut_ending(F.col("instrument"), ending))
     per_instrument = long({c: c for c in instruments}, "instrument").select(
         "*",
         recode(F.col("instrument"), labels or {}, stem).alias("asmt_type"),

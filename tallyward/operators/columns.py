@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,17 +21,16 @@ def rename_all(df: DataFrame, rule: Callable[[str], str]) -> DataFrame:
     return df.toDF(*names)
 
 
-def rename_matching(df: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
-    """Rename by ``(select, find, replace)`` patterns, applied in order.
+def unify_endings(df: DataFrame, endings: Mapping[str, Collection[str]]) -> DataFrame:
+    """Give names that end in several ways one ending: ``{ending: the ways it is spelt}``.
 
-    A column whose name matches ``select`` has the first match of ``find`` replaced.
+    Of the spellings that fit a name the longest counts; other names stay.
     """
+    spelt = {way: ending for ending, ways in endings.items() for way in ways}
 
     def rule(name: str) -> str:
-        for select, find, replace in rules:
-            if re.search(select, name):
-                name = re.sub(find, replace, name, count=1)
-        return name
+        way = max((w for w in spelt if name.endswith(w)), key=len, default="")
+        return name.removesuffix(way) + spelt.get(way, "")
 
     return rename_all(df, rule)
 

@@ -32,17 +32,17 @@ def timed_observations(
     time_cols: Sequence[str],
     *,
     event_col: str = "event",
-    strip: str = "Enrollment/| only",
+    cut: Collection[str] = (),
     sep: str = " and ",
     second_event: str = "Discharge Day",
     second_time: str = "Discharge",
 ) -> DataFrame:
     """Observations with one time label; a label naming two times makes two rows.
 
-    The time label is spread over several columns. ``Day 5 and Discharge`` stands for
+    The time label is spread over several columns; phrases of ``cut`` are no part of it. ``Day 5 and Discharge`` stands for
     the record's own event and for ``second_event``. Rows without a label are left out.
     """
-    label = merge_text([F.col(c) for c in time_cols], strip=strip)
+    label = merge_text([F.col(c) for c in time_cols], cut=cut)
     first, double = split_pair(F.col("_label"), sep)
     own = F.struct(F.col(event_col).alias("event"), first.alias("time"))
     copy = F.struct(F.lit(second_event).alias("event"), F.lit(second_time).alias("time"))

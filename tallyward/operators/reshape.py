@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.functions import is_true, remove_first
+from tallyward.functions import cut_first, is_true
 
 
 def to_long(
@@ -46,13 +46,12 @@ def sums_to_long(
     return df.select(*ids, F.inline(F.array(*rows)))
 
 
-def merge_text(cols: Sequence[Column], sep: str = "", strip: str | None = None) -> Column:
+def merge_text(cols: Sequence[Column], sep: str = "", cut: Collection[str] = ()) -> Column:
     """Join the text columns that are present; null if nothing is left.
 
-    ``strip`` is a pattern whose first match is dropped from the result.
+    ``cut`` are phrases; the first occurrence of any of them is dropped from the result.
     """
-    merged = F.nullif(F.concat_ws(sep, *cols), F.lit(""))
-    return merged if strip is None else remove_first(merged, strip)
+    return cut_first(F.nullif(F.concat_ws(sep, *cols), F.lit("")), cut)
 
 
 def split_pair(col: Column, sep: str) -> tuple[Column, Column]:

@@ -31,9 +31,13 @@ class StudyConfig:
     # exclusions
     reason_dim: Mapping[str, tuple[str | None, str | None]]
     refusal_col: str
+    # names: the ways that endings of column names are spelt
+    record_endings: Mapping[str, Sequence[str]]
+    followup_endings: Mapping[str, Sequence[str]]
     # visits in hospital
     schedule: Sequence[Visit]
     time_cols: Sequence[str]
+    time_cuts: Sequence[str]
     measures: Mapping[str, str]
     not_expected: Sequence[tuple[str, str]]
     # device
@@ -45,10 +49,12 @@ class StudyConfig:
     battery_instruments: Mapping[str, dt.date | None]
     batteries: Mapping[str, Sequence[str]]
     battery_labels: Mapping[str, str]
+    battery_ending: str
     # follow-up
     windows: Mapping[int, VisitWindow]
     instruments: Instruments
     instrument_labels: Mapping[str, str]
+    refusal_reason_col: str
     refusal_reason: str
     no_consent_ids: Sequence[str]
     visits: Sequence[str] | None = None

@@ -72,6 +72,11 @@ ICU_STUDY = StudyConfig(
     goal=312,
     reason_dim={f"exc_rsn_{code}": labels for code, labels in REASONS.items()},
     refusal_col="exc_rsn_14",
+    record_endings={"_date": ("_dttm_date",), "_dt": ("_dttm",)},
+    followup_endings={
+        "_complete": ("_complete", "_complete_yn", "_completed", "_comp_ph"),
+        "_date": ("_date", "_datecomp", "_date_compl", "_date_complete"),
+    },
     schedule=(
         Visit(1, "Enrollment /Trial Day 1", "Day 1", ("In hospital",), or_transition=True),
         Visit(3, "Trial Day 3", "Day 3", ("In hospital",), or_transition=True),
@@ -79,6 +84,7 @@ ICU_STUDY = StudyConfig(
         Visit(29, "Discharge Day", "Discharge", ("In hospital", "Discharged")),
     ),
     time_cols=tuple(f"study_day_specimen_{k}" for k in ("e", "3", "5", "dc")),
+    time_cuts=("Enrollment/", " only"),
     measures={"blue_drawn": "blue", "purple_drawn": "purple"},
     not_expected=(("Day 3", "blue"), ("Day 5", "blue")),
     slot_cols=tuple(f"bed_remove_why_{k}" for k in range(1, 9)),
@@ -95,6 +101,7 @@ ICU_STUDY = StudyConfig(
         "emp_comp_ph": "Employment",
         "zarit_comp_ph": "Zarit",
     },
+    battery_ending="_comp_ph",
     windows={
         1: VisitWindow(30, 14, phone=True),
         2: VisitWindow(60, 14, phone=True),
@@ -121,6 +128,7 @@ ICU_STUDY = StudyConfig(
         "trails": "Trails",
         "zarit": "Zarit",
     },
+    refusal_reason_col="gq_rsn",
     refusal_reason="Patient refusal",
     no_consent_ids=tuple(f"VMO-00{k}" for k in range(1, 8)),
     early_visit="3 Month Assessment",

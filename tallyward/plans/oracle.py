@@ -832,3 +832,10 @@ WITH p AS (
 SELECT o_orderstatus, strftime(day, '%Y') AS year, strftime(day, '%m') AS month, count(*) AS n,
        count(day) AS n_day, count(stamp_day) AS n_stamp, min(stamp_day) AS first_stamp
 FROM p GROUP BY ALL"""
+ORACLE["landed_records"] = """
+SELECT CAST(doc_id AS VARCHAR) AS id,
+       md5(CASE doc_id % 10 WHEN 0 THEN 'NA' WHEN 1 THEN NULL WHEN 2 THEN 'a "b", c'
+           ELSE text || chr(10) || '"' || source || '"' END) AS note_md5,
+       CASE WHEN doc_id % 10 <> 3 THEN lang END AS lang_complete,
+       DATE '2018-01-01' + CAST(doc_id % 400 AS INT) AS lang_date
+FROM documents"""

@@ -24,23 +24,15 @@ Stage = Callable[[str, DataFrame], DataFrame]
 DATETIMES = ("enroll_dttm", "death_dttm", "hospdis_dttm")
 COUNTS = ("blue_drawn", "purple_drawn", "bed_device_num")
 
-# How the exports spell the names of completion and date columns.
-FOLLOWUP_NAMES = (
-    (r"_complete.*$|^pase_comp_ph$", r"_comp.+$", "_complete"),
-    (r"_date.+", r"_date.+", "_date"),
-)
 
-
-def clean_inhosp(raw: DataFrame) -> DataFrame:
+def clean_inhosp(raw: DataFrame, cfg: StudyConfig) -> DataFrame:
     """In-hospital records: no test entities, times and dates parsed, counts as numbers."""
     df = columns.drop_test_entities(raw, "id")
     df = df.withColumn("studywd_date", parse_date(F.col("studywd_dttm"))).drop("studywd_dttm")
     df = columns.with_parsed_datetimes(df, DATETIMES)
     df = columns.with_parsed_dates(df, ["daily_date"])
     df = df.withColumns({c: F.col(c).try_cast("int") for c in COUNTS})
-    return columns.rename_matching(
-        df, [(r"_dttm_date$", r"_dttm_date$", "_date"), (r"_dttm$", r"tm$", "")]
-    )
+    return columns.unify_endings(df, cfg.record_endings)
 
 
 def clean_exclusions(raw: DataFrame) -> DataFrame:
@@ -49,16 +41,11 @@ def clean_exclusions(raw: DataFrame) -> DataFrame:
 
 
 def clean_followup(raw: DataFrame, cfg: StudyConfig) -> DataFrame:
-    """Follow-up records: one spelling of column names, dates parsed."""
-    wanted = columns.matching(
-        raw,
-        suffix=("complete_yn", "datecomp", "date", "date_complete", "date_compl"),
-        any_of=(
-            *cfg.ids, cfg.event_col, "gq_rsn", "rbans_completed", "trails_completed",
-            "pase_comp_ph", "emp_complete", "hus_complete", "bpi_complete",
-        ),
-    )
-    df = columns.rename_matching(raw.select(*wanted), FOLLOWUP_NAMES)
+    """Follow-up records: the columns of the instruments, names spelt one way, dates parsed."""
+    ways = [way for spelt in cfg.followup_endings.values() for way in spelt]
+    own = {f"{stem}{way}" for stem in cfg.instruments.all for way in ways}
+    wanted = columns.matching(raw, any_of=(*cfg.ids, cfg.event_col, cfg.refusal_reason_col, *own))
+    df = columns.unify_endings(raw.select(*wanted), cfg.followup_endings)
     return columns.with_parsed_dates(df, [f"{s}_date" for s in cfg.instruments.dated])
 
 
@@ -74,7 +61,7 @@ def study_products(
     ``stage`` gets each table that several others read and gives back what they read.
     """
     by = list(cfg.by)
-    inhosp = stage("inhosp", clean_inhosp(inputs["inhosp"]))
+    inhosp = stage("inhosp", clean_inhosp(inputs["inhosp"], cfg))
     exc = stage("exc", clean_exclusions(inputs["exc"]))
     fu = stage("fu", clean_followup(inputs["fu"], cfg))
     enrolment = inhosp.where(F.col(cfg.event_col) == cfg.enrol_event)
@@ -161,6 +148,7 @@ def _in_hospital(
     observations = expected.timed_observations(
         inhosp.select(*ids, cfg.event_col, *cfg.time_cols, *cfg.measures),
         cfg.time_cols, event_col=cfg.event_col, second_event=cfg.discharge_event,
+        cut=cfg.time_cuts,
     )
     compliance = expected.expected_vs_observed(
         enrolled, observations, cfg.schedule, measures=cfg.measures, rules=cfg.day_rules,
@@ -179,7 +167,8 @@ def _in_hospital(
         month_label(day).alias("myear_char"), "bed_device_num",
     )
     batteries, instruments = battery.battery_completion(
-        enrolled, cfg.battery_instruments, cfg.batteries, labels=cfg.battery_labels, by=by
+        enrolled, cfg.battery_instruments, cfg.batteries, labels=cfg.battery_labels,
+        ending=cfg.battery_ending, by=by,
     )
     return {
         "status_counts": status.status_counts(enrolled, status="inhosp_status", by=by),
@@ -208,7 +197,7 @@ def _followup_status(
     )
     records = followup.slim_records(
         fu, cfg.instruments, id_cols=cfg.ids, visit_col=cfg.event_col,
-        refusal=F.col("gq_rsn") == cfg.refusal_reason,
+        refusal=F.col(cfg.refusal_reason_col) == cfg.refusal_reason,
     )
     return followup.followup_status(
         entities, records, cfg.instruments,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -37,6 +38,7 @@ from tallyward.operators import battery, charts, columns, device, expected, flow
 from tallyward.operators import funnel, reasons, reshape, status
 from tallyward.plans.icu_study import ICU_STUDY
 from tallyward.plans.study import flow_stages
+from tallyward.sources import load_inputs, read_product, staging, write_product
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -419,7 +421,9 @@ def timed_observations(spark: SparkSession, sf: str) -> DataFrame:
         .alias("time_5"),
         "o_totalprice",
     )
-    rows = expected.timed_observations(orders, ["time_e", "time_5"], event_col="event")
+    rows = expected.timed_observations(
+        orders, ["time_e", "time_5"], event_col="event", cut=["Enrollment/", " only"]
+    )
     return rows.groupBy("event", "specimen_time").agg(
         F.count("*").alias("n"), F.max("o_totalprice").alias("max_price")
     )
@@ -531,7 +535,7 @@ def _orders_with_batteries(spark: SparkSession, sf: str) -> DataFrame:
 def _battery(spark: SparkSession, sf: str, by: list[str]) -> tuple[DataFrame, DataFrame]:
     return battery.battery_completion(
         _orders_with_batteries(spark, sf), LINE_INSTRUMENTS, LINE_BATTERIES,
-        date_col="order_date", labels={"line_1_comp_ph": "General"}, by=by,
+        date_col="order_date", labels={"line_1_comp_ph": "General"}, ending="_comp_ph", by=by,
     )
 
 
@@ -894,6 +898,36 @@ def drop_test_entities(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+RECORD_ENDINGS = {"_complete": ("_complete", "_complete_yn"), "_date": ("_date", "_datecomp")}
+
+
+@query
+def landed_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents landed as CSV and read through the import: quoted breaks and quotes, the text
+    NA, empty fields, names with runs of underscores and several endings, dates as text."""
+    number = F.col("doc_id") % 10
+    text = F.when(number == 0, "NA").when(number == 1, "").when(number == 2, 'a "b", c')
+    day = F.date_add(F.lit(dt.date(2018, 1, 1)), (F.col("doc_id") % 400).cast("int"))
+    docs = table(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("doc___id"),
+        text.otherwise(F.concat("text", F.lit('\n"'), "source", F.lit('"'))).alias("note"),
+        F.when(number != 3, F.col("lang")).alias("lang__complete_yn"),
+        F.date_format(day, "y-M-d").alias("lang_datecomp"),
+        F.lit("x").alias("spare"),
+    )
+    folder = f"{staging.shared_folder(spark)}/landed-{uuid.uuid4().hex}"
+    write_product(docs, f"{folder}/csv", FOLLOWUP_AS_OF, fmt="csv")
+    landed = {"records": f"{folder}/csv/as_of={FOLLOWUP_AS_OF}"}
+    records = load_inputs(spark, landed)["records"].drop("spare")
+    records = columns.with_parsed_dates(
+        columns.unify_endings(records, RECORD_ENDINGS), ["lang_date"]
+    )
+    write_product(records, f"{folder}/parquet", FOLLOWUP_AS_OF)
+    return read_product(spark, f"{folder}/parquet", FOLLOWUP_AS_OF).select(
+        F.col("doc_id").alias("id"), F.md5("note").alias("note_md5"), "lang_complete", "lang_date"
+    )
+
+
 @query
 def text_merge_split(spark: SparkSession, sf: str) -> DataFrame:
     """Status and priority merged into one text, split again, and cut apart."""

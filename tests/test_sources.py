@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import pytest
 from conftest import d, rows
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyward.operators import columns
+from tallyward.plans.icu_study import ICU_STUDY
 from tallyward.sources import (
     load_inputs,
     normalize_names,
@@ -70,14 +72,12 @@ def test_names_that_would_clash_are_refused(spark):
 
 
 def test_rename_patterns(spark):
-    from tallyward.plans.study import FOLLOWUP_NAMES
-
     names = [
         "id", "gq_complete_yn", "rbans_completed", "pase_comp_ph", "emp_complete", "gq_date",
         "sppb_datecomp", "rbans_date_complete", "hus_date_compl", "ph_biadl_complete_yn", "gq_rsn",
     ]
     df = spark.createDataFrame([tuple(names)], names)
-    assert columns.rename_matching(df, FOLLOWUP_NAMES).columns == [
+    assert columns.unify_endings(df, ICU_STUDY.followup_endings).columns == [
         "id", "gq_complete", "rbans_complete", "pase_complete", "emp_complete", "gq_date",
         "sppb_date", "rbans_date", "hus_date", "ph_biadl_complete", "gq_rsn",
     ]
@@ -116,6 +116,33 @@ def test_rerun_replaces_one_date_only(spark, tmp_path):
     assert rows(spark.read.parquet(path), "n", "as_of") == [(1, d("2019-03-01"))]
 
 
+def test_failed_rerun_leaves_the_old_rows(spark, tmp_path):
+    path, day = str(tmp_path / "t"), d("2019-03-08")
+    old = spark.range(10).select(F.col("id").alias("n"))
+    write_product(old, path, day)
+    bad = old.withColumn("n", F.when(F.col("n") == 7, F.raise_error(F.lit("broken"))).otherwise(1))
+    with pytest.raises(Exception, match="broken"):
+        write_product(bad, path, day)
+    assert read_product(spark, path, day).count() == 10
+    assert spark.read.parquet(path).count() == 10
+    # a table may be replaced by one made from it
+    write_product(read_product(spark, path, day).where("n < 3"), path, day)
+    assert rows(read_product(spark, path, day)) == [(0,), (1,), (2,)]
+    # ended between the two renames
+    (tmp_path / "t" / "_replaced").mkdir(exist_ok=True)
+    (tmp_path / "t" / "as_of=2019-03-08").rename(tmp_path / "t" / "_replaced" / "as_of=2019-03-08")
+    assert read_product(spark, path, day).count() == 3
+    write_product(old, path, day)
+    assert read_product(spark, path, day).count() == 10
+
+
+def test_names_that_end_alike_are_refused(spark):
+    df = spark.createDataFrame([(1, 2)], "a_done int, a_did int")
+    with pytest.raises(ValueError, match="a_end"):
+        columns.unify_endings(df, {"_end": ("_done", "_did")})
+    assert columns.unify_endings(df, {"_end": ("_did", "d")}).columns == ["a_done", "a_end"]
+
+
 def test_csv_sink(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([("a,b", None), ('q"', "x")], "s string, t string")
