@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.functions import all_true, is_in, percent_text, ratio, recode
+from tallyward.operators.dimensions import with_dimension
 
 
 def stage_edges(
@@ -119,17 +120,30 @@ def path_edges(
     return paths.select(*by, F.inline(F.array(*steps))).where(F.col("target").isNotNull())
 
 
+Ranks = Mapping[str, int] | DataFrame
+"""Node -> rank, or a table of ``node`` and ``rank``."""
+
+
+def _with_rank(edges: DataFrame, node: str, ranks: Ranks | None) -> DataFrame:
+    rank = f"{node}_rank"
+    if not isinstance(ranks, DataFrame):
+        return edges.withColumn(rank, recode(F.col(node), ranks or {}).cast("int"))
+    dim = ranks.select("node", F.col("rank").cast("int").alias(rank))
+    return with_dimension(edges, dim, {node: "node"}, [rank])
+
+
 def state_flow(
     stages: Sequence[DataFrame],
     *,
-    source_rank: Mapping[str, int] | None = None,
-    target_rank: Mapping[str, int] | None = None,
+    source_rank: Ranks | None = None,
+    target_rank: Ranks | None = None,
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Weight of each edge over all stages, with totals per source and per target.
 
     Stages hold ``source``, ``target`` and, where a row stands for several, ``weight``.
-    Nodes are ordered by rank; those without a rank come last.
+    Nodes are ordered by rank, which a mapping or a table of ``node`` and ``rank`` gives;
+    those without a rank come last.
     """
     one = F.lit(1).cast("long").alias("weight")
     cols = [*by, "source", "target"]
@@ -145,10 +159,10 @@ def state_flow(
             {
                 "source_total": F.sum("weight").over(Window.partitionBy(*by, "source")),
                 "target_total": F.sum("weight").over(Window.partitionBy(*by, "target")),
-                "source_rank": recode(F.col("source"), source_rank or {}).cast("int"),
-                "target_rank": recode(F.col("target"), target_rank or {}).cast("int"),
             }
         )
+        .transform(_with_rank, "source", source_rank)
+        .transform(_with_rank, "target", target_rank)
         .orderBy(
             *by,
             F.asc_nulls_last("source_rank"),

@@ -15,38 +15,68 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions import month_key, month_label, percent
-from tallyward.operators.joins import join_groups
+from tallyward.operators.dimensions import with_dimension
 
-ReasonDim = Mapping[str, tuple[str | None, str]]
-"""Box column -> (label, type)."""
+ReasonDim = Mapping[str, tuple[str | None, str]] | DataFrame
+"""Box column -> (label, type), or a table of ``box``, ``reason`` and ``reason_type``."""
 
 OTHER = "Other exclusions"
 
 
+def _boxes(reason_dim: ReasonDim, boxes: Sequence[str] | None) -> list[str]:
+    """The box columns: those listed, or those of a dimension that is a mapping."""
+    if boxes is not None:
+        return list(boxes)
+    if isinstance(reason_dim, DataFrame):
+        raise ValueError("a dimension table needs the list of box columns")
+    return list(reason_dim)
+
+
 def _with_counts(
-    df: DataFrame, groups: Sequence[Column | str], reason_dim: ReasonDim, *extra: Column
+    df: DataFrame,
+    groups: Sequence[Column | str],
+    reason_dim: ReasonDim,
+    *extra: Column,
+    boxes: Sequence[str] | None = None,
+    entity: Sequence[str] = (),
 ) -> DataFrame:
     """Checked boxes per group and reason, without zero counts.
 
     Boxes that share a label are added up. The result is long, one row per group and
-    reason; the records were only read once.
+    reason; the records were only read once. With ``entity``, the distinct entities of a
+    group are counted on the way, as ``n_entities``: records are combined per group and
+    entity first, and those sums per group.
     """
-    boxes: dict[tuple[str | None, str], list[str]] = {}
-    for box, (label, kind) in reason_dim.items():
-        boxes.setdefault((label, kind or OTHER), []).append(box)
-    counts = [sum((F.count(c) for c in cols), start=F.lit(0)) for cols in boxes.values()]
-    wide = df.groupBy(*groups).agg(
-        *extra, *(n.cast("long").alias(f"_n{i}") for i, n in enumerate(counts))
-    )
+    names = _boxes(reason_dim, boxes)
+    counts = {f"_n{i}": F.count(c) for i, c in enumerate(names)}
+    if entity:
+        own = [F.col(c).alias(f"_id{i}") for i, c in enumerate(entity)]
+        each = df.groupBy(*groups, *own).agg(*(n.alias(c) for c, n in counts.items()))
+        kept = [c for c in each.columns if c not in counts and not c.startswith("_id")]
+        wide = each.groupBy(*kept).agg(
+            F.count(F.lit(1)).alias("n_entities"), *(F.sum(c).alias(c) for c in counts)
+        )
+    else:
+        wide = df.groupBy(*groups).agg(*extra, *(n.alias(c) for c, n in counts.items()))
+    kept = [c for c in wide.columns if c not in counts]
+    if isinstance(reason_dim, DataFrame):
+        rows = [F.struct(F.lit(b).alias("box"), F.col(c).alias("n")) for b, c in zip(names, counts)]
+        long = wide.select(*kept, F.inline(F.array(*rows))).where(F.col("n") > 0)
+        found = with_dimension(long, reason_dim, {"box": "box"}, ["reason", "reason_type"])
+        kind = F.coalesce("reason_type", F.lit(OTHER)).alias("reason_type")
+        return found.groupBy(*kept, kind, "reason").agg(F.sum("n").alias("n"))
+    same: dict[tuple[str | None, str], list[str]] = {}
+    for box, column in zip(names, counts):
+        label, kind = reason_dim[box]
+        same.setdefault((label, kind or OTHER), []).append(column)
     rows = [
         F.struct(
             F.lit(kind).alias("reason_type"),
             F.lit(label).cast("string").alias("reason"),
-            F.col(f"_n{i}").alias("n"),
+            sum((F.col(c) for c in columns[1:]), start=F.col(columns[0])).alias("n"),
         )
-        for i, (label, kind) in enumerate(boxes)
+        for (label, kind), columns in same.items()
     ]
-    kept = wide.columns[: -len(boxes)]
     return wide.select(*kept, F.inline(F.array(*rows))).where(F.col("n") > 0)
 
 
@@ -56,13 +86,14 @@ def reason_share(
     *,
     id_cols: Sequence[str] = ("exc_id",),
     date_col: str = "exc_date",
+    boxes: Sequence[str] | None = None,
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Per month and reason: count, and percent of the month's distinct entities.
 
     An entity may have several reasons, so the percents of a month can add up to
     more than 100. Entities without any reason are not in the denominator; a missing
-    id counts as one entity.
+    id counts as one entity. Counts and entities come from one pass.
     """
     names = [*by, "myear", "myear_char"]
     groups = [
@@ -70,34 +101,24 @@ def reason_share(
         month_key(F.col(date_col)).alias("myear"),
         month_label(F.col(date_col)).alias("myear_char"),
     ]
-    any_reason = reduce(or_, (F.col(c).isNotNull() for c in reason_dim))
-    boxed = excluded.where(any_reason)
-    shares = _with_counts(boxed, groups, reason_dim).withColumnRenamed("n", "n_this_exclusion")
-    entities = (
-        boxed.select(
-            *by, groups[-2], *(F.col(c).alias(f"_id{i}") for i, c in enumerate(id_cols))
-        )
-        .distinct()
-        .groupBy(*by, "myear")
-        .agg(F.count("*").alias("n_all_exclusions"))
-    )
-    # Both sides hold one row per month (and reason).
-    return (
-        join_groups(shares, entities, [*by, "myear"], "left")
-        .select(
-            *names, "reason", "n_this_exclusion", "n_all_exclusions",
-            percent(F.col("n_this_exclusion"), F.col("n_all_exclusions")).alias("percent"),
-        )
-        .orderBy(*by, "myear", "reason")
-    )
+    checked = reduce(or_, (F.col(c).isNotNull() for c in _boxes(reason_dim, boxes)))
+    shares = _with_counts(excluded.where(checked), groups, reason_dim, boxes=boxes, entity=id_cols)
+    n, total = F.col("n").alias("n_this_exclusion"), F.col("n_entities").alias("n_all_exclusions")
+    return shares.select(
+        *names, "reason", n, total, percent(F.col("n"), F.col("n_entities")).alias("percent")
+    ).orderBy(*by, "myear", "reason")
 
 
 def reason_totals(
-    excluded: DataFrame, reason_dim: ReasonDim, *, by: Sequence[str] = ()
+    excluded: DataFrame,
+    reason_dim: ReasonDim,
+    *,
+    boxes: Sequence[str] | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Count per reason over all dates, with its type and the number of excluded rows."""
     n_rows = F.count("*").alias("n_patients_exc")
-    return _with_counts(excluded, list(by), reason_dim, n_rows).select(
+    return _with_counts(excluded, list(by), reason_dim, n_rows, boxes=boxes).select(
         *by, "reason_type", "reason", "n_patients_exc", F.col("n").alias("n_reason")
     )
 
@@ -123,9 +144,27 @@ def hierarchy_totals(
 
 
 def reason_hierarchy(
-    excluded: DataFrame, reason_dim: ReasonDim, *, by: Sequence[str] = ()
+    excluded: DataFrame,
+    reason_dim: ReasonDim,
+    *,
+    boxes: Sequence[str] | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Reason counts per type and reason, with totals per type and overall."""
-    return hierarchy_totals(
-        reason_totals(excluded, reason_dim, by=by), ["reason_type", "reason"], "n_reason", by=by
-    )
+    totals = reason_totals(excluded, reason_dim, boxes=boxes, by=by)
+    return hierarchy_totals(totals, ["reason_type", "reason"], "n_reason", by=by)
+
+
+def coded_totals(
+    events: DataFrame, code_col: str, reason_dim: DataFrame, *, by: Sequence[str] = ()
+) -> DataFrame:
+    """Events in long form by the reason of their code: ``reason_type``, ``reason``, ``n_reason``.
+
+    ``reason_dim`` is a table of ``code``, ``reason`` and ``reason_type``. Events are counted
+    per code first, so that the dimension meets one row per group and code. Codes that it
+    lacks have a null reason, of the type for others.
+    """
+    counts = events.groupBy(*by, code_col).agg(F.count(F.lit(1)).alias("n"))
+    found = with_dimension(counts, reason_dim, {code_col: "code"}, ["reason", "reason_type"])
+    kind = F.coalesce("reason_type", F.lit(OTHER)).alias("reason_type")
+    return found.groupBy(*by, kind, "reason").agg(F.sum("n").alias("n_reason"))

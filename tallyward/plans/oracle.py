@@ -839,3 +839,46 @@ SELECT CAST(doc_id AS VARCHAR) AS id,
        CASE WHEN doc_id % 10 <> 3 THEN lang END AS lang_complete,
        DATE '2018-01-01' + CAST(doc_id % 400 AS INT) AS lang_date
 FROM documents"""
+
+# -- Dimensions given as tables ----------------------------------------------------
+
+_NATIONS = """
+dim AS (
+  SELECT n_nationkey AS code, n_name AS reason,
+         CASE WHEN r_name <> 'ASIA' THEN r_name END AS reason_type
+  FROM nation LEFT JOIN region ON r_regionkey = n_regionkey)"""
+ORACLE["coded_reason_hierarchy"] = f"""
+WITH {_NATIONS},
+totals AS (
+  SELECT coalesce(reason_type, 'Other exclusions') AS reason_type, reason, count(*) AS n_reason
+  FROM customer LEFT JOIN dim ON code = c_nationkey GROUP BY ALL)
+SELECT reason_type, reason, CAST(2 - grouping(reason_type) - grouping(reason) AS INT) AS level,
+       CAST(sum(n_reason) AS BIGINT) AS n_reason
+FROM totals GROUP BY ROLLUP (reason_type, reason)"""
+ORACLE["unmatched_reason_codes"] = f"""
+WITH {_NATIONS}
+SELECT c_mktsegment, c_nationkey, count(*) AS n_rows FROM customer
+WHERE c_nationkey NOT IN (SELECT code FROM dim WHERE reason_type IS NOT NULL) GROUP BY ALL"""
+ORACLE["reason_share_by_table"] = f"""
+WITH {_BOXED},
+dim AS (
+  SELECT CASE o_orderstatus WHEN 'F' THEN 'Discount of 5% or more' ELSE 'Quantity over 40' END AS box,
+         o_orderstatus || ' of ' || format('{{:,}}', count(*)) AS reason
+  FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY o_orderstatus),
+n AS (SELECT {_month('d')} AS myear, {_label('d')} AS myear_char, dim.reason,
+             count(*) AS n_this_exclusion
+      FROM checked LEFT JOIN dim ON box = checked.reason GROUP BY ALL),
+a AS (SELECT {_month('d')} AS myear, count(DISTINCT l_orderkey) AS n_all_exclusions
+      FROM checked GROUP BY ALL)
+SELECT n.*, n_all_exclusions, round_even(n_this_exclusion / n_all_exclusions * 100, 0) AS percent
+FROM n JOIN a USING (myear)"""
+ORACLE["state_flow_by_rank_table"] = f"""{_flow()},
+nodes AS (
+  SELECT period, o_orderstatus || ', ' || period AS node, count(*) AS n
+  FROM (SELECT o_orderstatus, CASE WHEN year(o_orderdate) < 1997 THEN 1
+               WHEN year(o_orderdate) < 2000 THEN 2 ELSE 3 END AS period FROM orders)
+  GROUP BY ALL),
+ranks AS (
+  SELECT node, CAST(row_number() OVER (ORDER BY period, n DESC, node) AS INT) AS rank FROM nodes)
+SELECT flow.* EXCLUDE (source_rank, target_rank), s.rank AS source_rank, t.rank AS target_rank
+FROM flow LEFT JOIN ranks s ON s.node = source LEFT JOIN ranks t ON t.node = target"""

@@ -34,8 +34,8 @@ from tallyward.functions import (
     replace_first,
     thousands,
 )
-from tallyward.operators import battery, charts, columns, device, expected, flow, followup
-from tallyward.operators import funnel, reasons, reshape, status
+from tallyward.operators import battery, charts, columns, device, dimensions, expected, flow
+from tallyward.operators import followup, funnel, reasons, reshape, status
 from tallyward.plans.icu_study import ICU_STUDY
 from tallyward.plans.study import flow_stages
 from tallyward.sources import load_inputs, read_product, staging, write_product
@@ -263,6 +263,54 @@ def status_priority_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
     return reasons.hierarchy_totals(counts, ["o_orderstatus", "o_orderpriority"], "n_orders")
 
 
+def _nation_dim(spark: SparkSession, sf: str) -> DataFrame:
+    """Nations as codes with a label, their regions as types."""
+    regions = table(spark, sf, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    return table(spark, sf, "nation").join(regions, "n_regionkey", "left").select(
+        F.col("n_nationkey").alias("code"),
+        F.col("n_name").alias("reason"),
+        F.when(F.col("r_name") != "ASIA", F.col("r_name")).alias("reason_type"),
+    )
+
+
+@query
+def coded_reason_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers per nation and region, both from the tables; one region has no type."""
+    dim = dimensions.checked_dimension(_nation_dim(spark, sf), ["code"])
+    totals = reasons.coded_totals(table(spark, sf, "customer"), "c_nationkey", dim)
+    return reasons.hierarchy_totals(totals, ["reason_type", "reason"], "n_reason")
+
+
+@query
+def unmatched_reason_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """Codes of customers that a dimension of some regions lacks, per segment."""
+    dim = _nation_dim(spark, sf).where("reason_type is not null")
+    return dimensions.unmatched_codes(
+        table(spark, sf, "customer"), dim, {"c_nationkey": "code"}, by=["c_mktsegment"]
+    )
+
+
+@query
+def reason_share_by_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Shares of boxes whose labels come from a table: priorities, named by what they hold."""
+    lines = _lines_with_reasons(spark, sf)
+    label = F.concat(F.col("o_orderstatus"), F.lit(" of "), F.format_number(F.count("*"), 0))
+    box = F.when(F.col("o_orderstatus") == "F", "discounted").when(
+        F.col("o_orderstatus") == "O", "bulk"
+    )
+    dim = (
+        table(spark, sf, "orders")
+        .groupBy("o_orderstatus")
+        .agg(label.alias("reason"))
+        .select(box.alias("box"), "reason", F.lit("Status").alias("reason_type"))
+        .where("box is not null")
+    )
+    return reasons.reason_share(
+        lines, dimensions.checked_dimension(dim, ["box"]), boxes=list(LINE_REASONS),
+        id_cols=["l_orderkey"], date_col="ship_date",
+    )
+
+
 # -- Status ------------------------------------------------------------------------
 
 USER_RULES = [
@@ -795,7 +843,9 @@ def _period() -> Column:
     return F.when(year < 1997, 1).when(year < 2000, 2).otherwise(3)
 
 
-def _order_flow(spark: SparkSession, sf: str, by: list[str]) -> DataFrame:
+def _order_flow(
+    spark: SparkSession, sf: str, by: list[str], ranks: flow.Ranks = NODE_RANK
+) -> DataFrame:
     """Order states over three periods: each order counts, against all of the period before."""
     orders = table(spark, sf, "orders").withColumn("period", _period())
     if by:
@@ -810,7 +860,7 @@ def _order_flow(spark: SparkSession, sf: str, by: list[str]) -> DataFrame:
     edges = flow.stage_edges(
         orders, id_cols=["o_custkey"], stages=[stage(k) for k in (1, 2, 3)], origin=F.lit("Start"), by=by
     )
-    return flow.state_flow([edges], source_rank=NODE_RANK, target_rank=NODE_RANK, by=by)
+    return flow.state_flow([edges], source_rank=ranks, target_rank=ranks, by=by)
 
 
 @query
@@ -854,6 +904,22 @@ def state_flow_text(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def state_flow_by_rank_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Nodes ranked by a table made from the orders: period, then the number of orders."""
+    node = F.concat("o_orderstatus", F.lit(", "), "period")
+    counts = (
+        table(spark, sf, "orders")
+        .withColumn("period", _period())
+        .groupBy("period", node.alias("node"))
+        .agg(F.count("*").alias("n"))
+    )
+    # One row per node.
+    rank = F.row_number().over(Window.orderBy("period", F.desc("n"), "node"))
+    ranks = dimensions.checked_dimension(counts.select("node", rank.alias("rank")), ["node"])
+    return _order_flow(spark, sf, [], ranks)
+
+
 @query
 def study_flow(spark: SparkSession, sf: str) -> DataFrame:
     """Enrolled, end of stay, 3-month and 12-month status of all orders, every record counted."""

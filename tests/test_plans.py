@@ -63,7 +63,8 @@ MOST_SHUFFLES = {
     "screening_kpis": 2,
     "screening_two_sources": 2,
     "reason_totals": 1,
-    "reason_share": 6,
+    "reason_share": 3,
+    "reason_share_by_line_status": 3,
     "terminal_status_counts": 3,
     "daily_status_counts": 2,
     "daily_status_timeline": 1,
