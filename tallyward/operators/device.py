@@ -13,6 +13,10 @@ from tallyward.operators.joins import join_groups
 from tallyward.operators.reshape import to_long
 
 
+#: Slots that are kept as the bits of one number.
+WORD = 63
+
+
 def wear_kpis(
     days: DataFrame,
     *,
@@ -52,16 +56,16 @@ def removal_events(
 
     Copies of a row fall together before the shuffle: per entity, reason and day the
     slots are kept as bits, and the bits are the distinct rows. What is left for the
-    join is bounded by reasons and calendar days, however many rows an entity has.
+    join is bounded by reasons and calendar days, however many rows an entity has. A
+    number holds 63 slots; more of them make a row per 63 that are used.
     """
-    if len(slot_cols) > 63:
-        raise ValueError("at most 63 slots: they are kept as the bits of a long")
     ids = list(id_cols)
     bits = {c: str(i) for i, c in enumerate(slot_cols)}
     slots = to_long(days, [*ids, day_col], bits, "slot", "reason")
-    one = F.lit(1).cast("long")
-    per_day = slots.groupBy(*ids, day_col, "reason").agg(
-        F.bit_or(F.call_function("shiftleft", one, F.col("slot").cast("int"))).alias("_slots")
+    one, slot = F.lit(1).cast("long"), F.col("slot").cast("int")
+    word = [F.floor(slot / WORD).alias("_word")] if len(slot_cols) > WORD else []
+    per_day = slots.groupBy(*ids, day_col, "reason", *word).agg(
+        F.bit_or(F.call_function("shiftleft", one, slot % WORD)).alias("_slots")
     )
     enrolled = entities.select(*dict.fromkeys([*by, *ids, end_col])).distinct()
     until_end = days_between(F.col(end_col), F.col(day_col))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Collection, Iterable, Mapping, Sequence
+from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -35,6 +35,10 @@ ELIGIBLE = "Eligible, but not yet assessed"
 STATUSES = (ASSESSED, DIED, WITHDREW, NOT_YET, NO_CONSENT, REFUSED, ELIGIBLE)
 
 
+#: Flags that are kept as the bits of one number.
+WORD = 63
+
+
 @dataclass(frozen=True)
 class VisitWindow:
     """Days from the anchor date to the window, and from there to its end."""
@@ -56,6 +60,12 @@ class Instruments:
     def all(self) -> tuple[str, ...]:
         return tuple(dict.fromkeys([*self.phone, *self.full]))
 
+    @property
+    def words(self) -> list[tuple[str, slice]]:
+        """Parts of ``all`` whose flags are the bits of one number, each with a suffix."""
+        n = -(-len(self.all) // WORD)
+        return [(f"_{k}" if n > 1 else "", slice(k * WORD, (k + 1) * WORD)) for k in range(n)]
+
     @property
     def dated(self) -> tuple[str, ...]:
         return tuple(s for s in self.all if s not in self.undated)
@@ -150,7 +160,7 @@ def slim_records(
     """What the status needs of a record: flags, refusal, first and last date.
 
     A text flag is true if it starts with ``done_prefix`` and null if missing. The
-    flags travel as the bits of two numbers, done and known. First and last date are
+    flags travel as the bits of two numbers, done and known (two for each 63 flags). First and last date are
     taken across the columns of the row: no reshape, no shuffle.
     """
     types = dict(records.dtypes)
@@ -170,22 +180,32 @@ def slim_records(
     return records.select(
         *id_cols,
         visit_col,
-        _bits(flags).alias("done"),
-        _bits(c.isNotNull() for c in flags).alias("known"),
+        *(
+            column
+            for word, at in instruments.words
+            for column in (
+                _bits(flags[at]).alias(f"done{word}"),
+                _bits(c.isNotNull() for c in flags[at]).alias(f"known{word}"),
+            )
+        ),
         refused.alias("refused"),
         first.alias("first_asmt"),
         last.alias("last_asmt"),
     )
 
 
-FOLDS = {
-    "done": F.bit_or, "known": F.bit_or, "refused": F.bool_or, "first_asmt": F.min,
-    "last_asmt": F.max,
-}
-"""How several records of one visit become one."""
+def _flag_words(instruments: Instruments) -> list[str]:
+    """The columns of a record that hold its flags."""
+    return [f"{name}{word}" for word, _ in instruments.words for name in ("done", "known")]
 
-#: What the status asks of a record, and the number of records that agree in it.
-COUNTED = ("done", "known", "refused")
+
+def _folds(instruments: Instruments) -> dict[str, Callable[[Column], Column]]:
+    """How several records of one visit become one."""
+    flags = dict.fromkeys(_flag_words(instruments), F.bit_or)
+    return {**flags, "refused": F.bool_or, "first_asmt": F.min, "last_asmt": F.max}
+
+
+#: The number of records that agree in all that the status asks of them.
 N_RECORDS = "n_records"
 
 
@@ -198,13 +218,13 @@ def _bits(flags: Iterable[Column]) -> Column:
     )
 
 
-def _mask(stems: Collection[str], instruments: Instruments) -> Column:
-    """The bits of some of the instruments."""
-    return F.lit(sum(1 << i for i, s in enumerate(instruments.all) if s in stems)).cast("long")
+def _mask(stems: Collection[str], of_word: Sequence[str]) -> Column:
+    """The bits of some of the instruments of a word."""
+    return F.lit(sum(1 << i for i, s in enumerate(of_word) if s in stems)).cast("long")
 
 
 def _each_record(
-    base: DataFrame, slim: DataFrame, ids: Sequence[str], visit_col: str
+    base: DataFrame, slim: DataFrame, ids: Sequence[str], visit_col: str, folds: Sequence[str]
 ) -> DataFrame:
     """Entity, visit and record: a row per record, and one per visit without any.
 
@@ -216,7 +236,7 @@ def _each_record(
     kept = [c for c in base.columns if c != "_visits"]
     own = F.filter("_visits", lambda v: v[visit_col] == F.col("_visit"))
     matched = base.join(slim.withColumnRenamed(visit_col, "_visit"), list(ids), "inner").select(
-        *kept, *FOLDS, F.inline(own)
+        *kept, *folds, F.inline(own)
     )
     seen = slim.groupBy(*ids).agg(F.collect_set(visit_col).alias("_seen"))
     unseen = F.filter(
@@ -224,14 +244,14 @@ def _each_record(
     )
     missing = base.join(seen, list(ids), "left").select(
         *kept,
-        *(F.lit(None).cast(slim.schema[c].dataType).alias(c) for c in FOLDS),
+        *(F.lit(None).cast(slim.schema[c].dataType).alias(c) for c in folds),
         F.inline(unseen),
     )
     return matched.unionByName(missing)
 
 
 def _counted_records(
-    base: DataFrame, slim: DataFrame, ids: Sequence[str], visit_col: str
+    base: DataFrame, slim: DataFrame, ids: Sequence[str], visit_col: str, asked: Sequence[str]
 ) -> DataFrame:
     """Entity, visit and distinct record, with the number of records that are alike.
 
@@ -239,8 +259,8 @@ def _counted_records(
     task as a few rows. Those of an entity become one array, which the join meets once;
     whether a visit has records is read from the array when the visits are laid out.
     """
-    counted = slim.groupBy(*ids, visit_col, *COUNTED).agg(F.count(F.lit(1)).alias(N_RECORDS))
-    own = F.struct(F.col(visit_col).alias("_visit"), *COUNTED, N_RECORDS)
+    counted = slim.groupBy(*ids, visit_col, *asked).agg(F.count(F.lit(1)).alias(N_RECORDS))
+    own = F.struct(F.col(visit_col).alias("_visit"), *asked, N_RECORDS)
     per_entity = counted.groupBy(*ids).agg(F.collect_list(own).alias("_records"))
     kept = [c for c in base.columns if c != "_visits"]
     # An outer generator: no filter on the visits, which would have them read again.
@@ -256,7 +276,12 @@ def _counted_records(
 
 
 def _merged_records(
-    base: DataFrame, slim: DataFrame, ids: Sequence[str], visits: Sequence[str], visit_col: str
+    base: DataFrame,
+    slim: DataFrame,
+    ids: Sequence[str],
+    visits: Sequence[str],
+    visit_col: str,
+    folds: Mapping[str, Callable[[Column], Column]],
 ) -> DataFrame:
     """Entity, visit and all its records as one: a row per entity and visit.
 
@@ -271,7 +296,7 @@ def _merged_records(
             *(
                 fold(F.when(F.col(visit_col) == v, F.col(c))).alias(f"{c}_{i}")
                 for i, v in enumerate(visits)
-                for c, fold in FOLDS.items()
+                for c, fold in folds.items()
             )
         )
     )
@@ -280,7 +305,7 @@ def _merged_records(
         *(
             F.struct(
                 *(F.col("_visits")[i][m].alias(m) for m in meta),
-                *(F.col(f"{c}_{i}").alias(c) for c in FOLDS),
+                *(F.col(f"{c}_{i}").alias(c) for c in folds),
             )
             for i in range(len(visits))
         )
@@ -324,8 +349,6 @@ def followup_status(
     """
     if merge and counted:
         raise ValueError("records of a visit are either merged or counted")
-    if len(instruments.all) > 63:
-        raise ValueError("at most 63 instruments: their flags are kept as the bits of a long")
     ids = list(id_cols)
     refuses = F.lit(False)
     if isinstance(no_consent_ids, DataFrame):
@@ -334,24 +357,33 @@ def followup_status(
     elif no_consent_ids:
         refuses = is_in(F.col(ids[-1]), no_consent_ids)
     base = _with_visits(entities, visits, window_dim, visit_col, phone_marker, by)
+    folds = _folds(instruments)
     if counted:
-        rows = _counted_records(base, records, ids, visit_col)
+        asked = [*_flag_words(instruments), "refused"]
+        rows = _counted_records(base, records, ids, visit_col, asked)
     elif merge and not isinstance(visits, DataFrame):
-        rows = _merged_records(base, records, ids, visits, visit_col)
+        rows = _merged_records(base, records, ids, visits, visit_col, folds)
     else:
         if merge:
             records = records.groupBy(*ids, visit_col).agg(
-                *(fold(c).alias(c) for c, fold in FOLDS.items())
+                *(fold(c).alias(c) for c, fold in folds.items())
             )
-        rows = _each_record(base, records, ids, visit_col)
+        rows = _each_record(base, records, ids, visit_col, list(folds))
     rows = _with_windows(rows, anchor_col)
     phone, today = F.col("phone_only"), F.lit(as_of)
     rows = rows.withColumns(
-        {c: F.coalesce(F.col(c), F.lit(0).cast("long")) for c in ("done", "known")}
+        {c: F.coalesce(F.col(c), F.lit(0).cast("long")) for c in _flag_words(instruments)}
     )
-    phone_set, full_set = (_mask(m, instruments) for m in (instruments.phone, instruments.full))
-    n_phone = F.when(phone, F.bit_count(F.col("done").bitwiseAND(phone_set)))
-    n_full = F.when(~phone, F.bit_count(F.col("done").bitwiseAND(full_set)))
+
+    def n_done(stems: Collection[str]) -> Column:
+        counts = [
+            F.bit_count(F.col(f"done{word}").bitwiseAND(_mask(stems, instruments.all[at])))
+            for word, at in instruments.words
+        ]
+        return sum(counts[1:], start=counts[0])
+
+    n_phone = F.when(phone, n_done(instruments.phone))
+    n_full = F.when(~phone, n_done(instruments.full))
     rows = rows.withColumns(
         {
             "refused": is_true(F.col("refused")),
@@ -389,17 +421,27 @@ def followup_status(
         }
     )
     # Where a visit is due, what it asks for is known: missing is not done.
-    asked = F.when(F.col("fu_elig") & phone, phone_set).when(F.col("fu_elig") & ~phone, full_set)
-    rows = rows.withColumn("known", F.col("known").bitwiseOR(F.coalesce(asked, F.lit(0))))
-    return rows.withColumns(
-        {flag_col(s): _flag(i) for i, s in enumerate(instruments.all)}
-    ).drop("done", "known", "_no_consent")
+    due = {}
+    for word, at in instruments.words:
+        own = instruments.all[at]
+        asked = F.when(F.col("fu_elig") & phone, _mask(instruments.phone, own)).when(
+            F.col("fu_elig") & ~phone, _mask(instruments.full, own)
+        )
+        due[f"known{word}"] = F.col(f"known{word}").bitwiseOR(F.coalesce(asked, F.lit(0)))
+    flags = {
+        flag_col(s): _flag(word, i)
+        for word, at in instruments.words
+        for i, s in enumerate(instruments.all[at])
+    }
+    rows = rows.withColumns(due).withColumns(flags)
+    return rows.drop(*_flag_words(instruments), "_no_consent")
 
 
-def _flag(i: int) -> Column:
+def _flag(word: str, i: int) -> Column:
     """A flag out of its bits."""
     bit = F.lit(1 << i).cast("long")
-    return F.when(F.col("known").bitwiseAND(bit) != 0, F.col("done").bitwiseAND(bit) != 0)
+    known, done = (F.col(f"{name}{word}").bitwiseAND(bit) != 0 for name in ("known", "done"))
+    return F.when(known, done)
 
 
 def _n_rows(status: DataFrame, when: Column | str | None = None) -> Column:

@@ -484,3 +484,49 @@ def test_result_does_not_depend_on_row_order(spark, name, tmp_path):
         df.orderBy(F.rand(7)).repartition(13).write.parquet(f"{tmp_path}/{table}.parquet")
     query = entry.queries()[name]
     assert rows(query(spark, str(tmp_path))) == rows(query(spark, "/root/testdata/sf0.001"))
+
+
+# -- More flags than a number has bits ---------------------------------------------
+
+
+@pytest.mark.parametrize("how", [{}, {"merge": True}, {"counted": True}])
+def test_two_hundred_instruments(spark, how):
+    """Flags beyond the first 63 count and come back as the others do."""
+    stems = [f"i{k}" for k in range(200)]
+    many = followup.Instruments(phone=tuple(stems[:70]), full=tuple(stems[60:]), undated=tuple(stems))
+    done = {"1 Month Phone Call": range(0, 70, 3), "3 Month Assessment": range(60, 200, 7)}
+    data = [("a", visit, *("Yes" if k in some else None for k in range(200))) for visit, some in done.items()]
+    schema = "id string, event string, " + ", ".join(f"{s}_complete string" for s in stems)
+    records = followup.slim_records(spark.createDataFrame(data, schema), many)
+    entities = spark.createDataFrame(
+        [("a", d("2020-01-01"), None, None, "Discharged alive"), ("b", d("2020-01-01"), None, None, "Discharged alive")],
+        "id string, hospdis_date date, death_date date, studywd_date date, inhosp_status string",
+    )
+    status = followup.followup_status(
+        entities, records, many, anchor_col="hospdis_date", window_dim=WINDOWS,
+        visits=list(VISITS), as_of=d("2021-01-01"), **how,
+    )
+    got = {(r.id, r.event): r for r in status.collect()}
+    assert got["a", VISITS[0]].n_asmts_phone == len(done[VISITS[0]])
+    assert got["a", VISITS[1]].n_asmts_full == len(done[VISITS[1]])
+    for visit, asked in zip(VISITS, (range(70), range(60, 200))):
+        row = got["a", visit]
+        for k in range(200):
+            assert row[f"i{k}_complete"] == (k in done[visit] if k in asked else None), k
+    assert got["b", VISITS[1]].i199_complete is False and got["b", VISITS[1]].i0_complete is None
+    with conf(spark, spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold=-1):
+        text = spark._jvm.PythonSQLUtils.explainString(
+            followup.followup_totals(status)._jdf.queryExecution(), "codegen"
+        )
+    assert max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)) <= 8000
+
+
+def test_a_hundred_slots(spark):
+    slots = [f"s{k}" for k in range(100)]
+    data = [("a", d("2020-01-01"), *("Bathing" if k % 3 == 0 else None for k in range(100)))] * 2
+    days = spark.createDataFrame(data, "id string, daily_date date, " + ", ".join(f"{s} string" for s in slots))
+    entities = spark.createDataFrame([("a", d("2020-02-01"))], "id string, hospdis_date date")
+    events = device.removal_events(days, entities, slots, permanent=PERMANENT, prep_label=BEFORE_DISCHARGE)
+    assert rows(events, "reason_mod", "n_events") == [("Bathing", 34)]
+    three = device.removal_events(days, entities, slots[:3], permanent=PERMANENT, prep_label=BEFORE_DISCHARGE)
+    assert rows(three, "reason_mod", "n_events") == [("Bathing", 1)]
