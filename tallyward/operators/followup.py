@@ -71,6 +71,11 @@ class Instruments:
         return tuple(s for s in self.all if s not in self.undated)
 
 
+Windows = Mapping[int, VisitWindow] | DataFrame
+"""Month of a visit -> its window, or a table of the visits of each group: the ``by`` columns,
+the visit, ``fu_month``, ``phone_only``, ``enter_after`` and ``exit_after``."""
+
+
 def flag_col(stem: str) -> str:
     """Name of an instrument's completion flag."""
     return f"{stem}_complete"
@@ -97,8 +102,8 @@ def _visit(
 
 def _with_visits(
     entities: DataFrame,
-    visits: Sequence[str] | DataFrame,
-    window_dim: Mapping[int, VisitWindow],
+    visits: Sequence[str] | DataFrame | None,
+    window_dim: Windows,
     visit_col: str,
     phone_marker: str,
     by: Sequence[str],
@@ -106,8 +111,19 @@ def _with_visits(
     """Entities with the array ``_visits`` of the visits each of them has.
 
     Names taken from a record table are those of the entity's group. They are a short
-    list: one row per group, or a scalar. Listed names are constants of the plan.
+    list: one row per group, or a scalar. Listed names are constants of the plan. A table
+    of windows holds the visits itself.
     """
+    if isinstance(window_dim, DataFrame):
+        if visits is not None:
+            raise ValueError("a table of windows says itself which visits there are")
+        own = F.struct(visit_col, "fu_month", "phone_only", "enter_after", "exit_after")
+        named = window_dim.groupBy(*by).agg(F.collect_list(own).alias("_visits"))
+        if by:
+            return join_groups(entities, named, by, "inner")
+        return entities.withColumn("_visits", named.scalar())
+    if visits is None:
+        raise ValueError("windows by month need the names of the visits")
     if not isinstance(visits, DataFrame):
         listed = (_visit(F.lit(v), window_dim, visit_col, phone_marker) for v in visits)
         return entities.withColumn("_visits", F.array(*listed))
@@ -131,8 +147,8 @@ def _with_windows(rows: DataFrame, anchor_col: str) -> DataFrame:
 def followup_windows(
     entities: DataFrame,
     anchor_col: str,
-    window_dim: Mapping[int, VisitWindow],
-    visits: Sequence[str] | DataFrame,
+    window_dim: Windows,
+    visits: Sequence[str] | DataFrame | None = None,
     *,
     visit_col: str = "event",
     phone_marker: str = "Phone Call",
@@ -141,8 +157,10 @@ def followup_windows(
     """One row per entity and visit, with the visit's window for this entity.
 
     ``visits`` is a list of visit names, or a record table whose distinct visit
-    names are taken, per group if there are groups. Every entity row lays out its
-    list: no cross join.
+    names are taken, per group if there are groups. With a table of windows there is no
+    ``visits``: each group has those of the table, so that studies with other visits run
+    in one job, and entities of a group without any have no row. Every entity row lays
+    out its list: no cross join.
     """
     base = _with_visits(entities, visits, window_dim, visit_col, phone_marker, by)
     return _with_windows(base.select(*entities.columns, F.inline("_visits")), anchor_col)
@@ -320,8 +338,8 @@ def followup_status(
     instruments: Instruments,
     *,
     anchor_col: str,
-    window_dim: Mapping[int, VisitWindow],
-    visits: Sequence[str] | DataFrame,
+    window_dim: Windows,
+    visits: Sequence[str] | DataFrame | None = None,
     as_of: dt.date,
     no_consent_ids: Collection | DataFrame = (),
     merge: bool = False,
@@ -361,7 +379,7 @@ def followup_status(
     if counted:
         asked = [*_flag_words(instruments), "refused"]
         rows = _counted_records(base, records, ids, visit_col, asked)
-    elif merge and not isinstance(visits, DataFrame):
+    elif merge and visits is not None and not isinstance(visits, DataFrame):
         rows = _merged_records(base, records, ids, visits, visit_col, folds)
     else:
         if merge:
@@ -495,7 +513,7 @@ def followup_totals(
 def followup_instruments(
     status: DataFrame,
     instruments: Instruments,
-    window_dim: Mapping[int, VisitWindow],
+    window_dim: Windows,
     *,
     visit_col: str = "event",
     labels: Mapping[str, str] | None = None,
@@ -506,7 +524,7 @@ def followup_instruments(
     Only instruments of the visit's kind, and only visits with a window. Flags are
     counted per visit first; the counts then go long.
     """
-    keys = [*by, visit_col, "fu_month"]
+    keys = [*by, visit_col, "fu_month", "phone_only"]
     comp = F.col("fu_comp")
     counts = (
         status.groupBy(*keys)
@@ -526,10 +544,16 @@ def followup_instruments(
         "instrument",
         ("n_elig", "n_comp"),
     )
-    months = {kind: [m for m, w in window_dim.items() if w.phone == kind] for kind in (True, False)}
-    fits = (
-        is_in(F.col("fu_month"), months[True]) & is_in(F.col("instrument"), instruments.phone)
-    ) | (is_in(F.col("fu_month"), months[False]) & is_in(F.col("instrument"), instruments.full))
+    if isinstance(window_dim, DataFrame):
+        phone, full = F.col("phone_only"), ~F.col("phone_only")
+    else:
+        phone, full = (
+            is_in(F.col("fu_month"), [m for m, w in window_dim.items() if w.phone == kind])
+            for kind in (True, False)
+        )
+    fits = (phone & is_in(F.col("instrument"), instruments.phone)) | (
+        full & is_in(F.col("instrument"), instruments.full)
+    )
     stem = F.upper(remove_first(F.col("instrument"), "_complete$"))
     out = long.where(fits).select(
         "*",
@@ -544,10 +568,10 @@ def followup_instruments(
         ),
     )
     # Full visits are ordered by share, phone visits by label: their share is left out.
-    share = F.when(is_in(F.col("fu_month"), months[False]), F.col("prop_comp"))
+    share = F.when(full, F.col("prop_comp"))
     return with_chart_order(
         out.withColumn("_share", share), [*by, visit_col], "asmt_type", "_share"
-    ).drop("_share")
+    ).drop("_share", "phone_only")
 
 
 def not_yet_assessed(

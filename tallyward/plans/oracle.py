@@ -648,6 +648,31 @@ SELECT *, asmt_type || ': ' || {_pct_text('round_even(prop_comp, 2)')} AS htext,
 FROM p"""
 ORACLE["followup_instruments"] = f"{_followup()}, {_INSTRUMENT_ROWS}"
 ORACLE["followup_instruments_all_records"] = f"{_followup(merge=False)}, {_INSTRUMENT_ROWS}"
+
+
+def _by_group(sql: str) -> str:
+    """The same, with the visits and windows that each priority has of its own."""
+    grid = "FROM entities e CROSS JOIN windows v"
+    assert grid in sql
+    return sql.replace(grid, "FROM entities e JOIN group_windows v USING (o_orderpriority)").replace(
+        "\nbase AS (",
+        """
+group_windows AS (
+  SELECT o_orderpriority, fu_month, visit, phone_only, exit_after,
+         enter_after + 5 * CAST(left(o_orderpriority, 1) AS INT) AS enter_after
+  FROM (SELECT DISTINCT o_orderpriority FROM orders) CROSS JOIN windows
+  WHERE fu_month <= 15 - 3 * CAST(left(o_orderpriority, 1) AS INT)),
+base AS (""",
+        1,
+    )
+
+
+ORACLE["followup_totals_group_windows"] = _by_group(_totals("o_orderpriority", merge=False))
+ORACLE["followup_instruments_group_windows"] = _by_group(
+    ORACLE["followup_instruments_all_records"]
+    .replace("SELECT event, fu_month,", "SELECT o_orderpriority, event, fu_month,")
+    .replace("PARTITION BY event", "PARTITION BY o_orderpriority, event")
+)
 ORACLE["followup_not_yet_text"] = f"""{_followup(merge=False)},
 due AS (
   SELECT DISTINCT event, CAST(id AS VARCHAR) AS id FROM status

@@ -790,6 +790,55 @@ def followup_instruments_all_records(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _group_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows by priority: the lower it is, the fewer visits and the later they are."""
+    number = F.substring("o_orderpriority", 1, 1).cast("int")
+    rows = F.array(
+        *(
+            F.struct(
+                F.lit(VISITS[m]).alias("event"),
+                F.lit(m).alias("fu_month"),
+                F.lit(w.phone).alias("phone_only"),
+                F.lit(w.enter_after).alias("enter_after"),
+                F.lit(w.exit_after).alias("exit_after"),
+            )
+            for m, w in WINDOWS.items()
+        )
+    )
+    each = table(spark, sf, "orders").select("o_orderpriority").distinct()
+    each = each.select("o_orderpriority", number.alias("number"), F.inline(rows))
+    later = each.withColumn("enter_after", F.col("enter_after") + 5 * F.col("number"))
+    return later.where(F.col("fu_month") <= 15 - 3 * F.col("number")).drop("number")
+
+
+def _followup_by_group(spark: SparkSession, sf: str) -> DataFrame:
+    records = followup.slim_records(
+        _line_records(spark, sf), LINES, refusal=F.col("gq_rsn") == "Patient refusal"
+    )
+    windows = dimensions.checked_dimension(
+        _group_windows(spark, sf), ["o_orderpriority", "event"]
+    )
+    return followup.followup_status(
+        _order_entities(spark, sf), records, LINES, anchor_col="hospdis_date",
+        window_dim=windows, as_of=FOLLOWUP_AS_OF, counted=True, no_consent_ids=range(1, 8),
+        by=["o_orderpriority"],
+    )
+
+
+@query
+def followup_totals_group_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups with visits and windows of their own, from a table."""
+    return followup.followup_totals(_followup_by_group(spark, sf), by=["o_orderpriority"])
+
+
+@query
+def followup_instruments_group_windows(spark: SparkSession, sf: str) -> DataFrame:
+    return followup.followup_instruments(
+        _followup_by_group(spark, sf), LINES, _group_windows(spark, sf),
+        labels={"line1": "First"}, by=["o_orderpriority"],
+    )
+
+
 @query
 def followup_not_yet_text(spark: SparkSession, sf: str) -> DataFrame:
     """Ids due but not yet assessed, as text per visit."""
