@@ -23,7 +23,7 @@ REASONS = {
     7: ("Blind, deaf, English", "Patient characteristics"),
     8: ("Death within 24h/hospice", "Medical exclusions"),
     9: ("Prisoner", None),
-    10: ("Lives >150 miles from VUMC", "Geography"),
+    10: ("Lives >150 miles from the hospital", "Geography"),
     11: ("Homeless", "Patient characteristics"),
     12: ("Study with no co-enrollment", None),
     13: ("Attending refusal", "Informed consent"),
@@ -130,7 +130,7 @@ ICU_STUDY = StudyConfig(
     },
     refusal_reason_col="gq_rsn",
     refusal_reason="Patient refusal",
-    no_consent_ids=tuple(f"VMO-00{k}" for k in range(1, 8)),
+    no_consent_ids=tuple(f"PT-00{k}" for k in range(1, 8)),
     early_visit="3 Month Assessment",
     late_visit="12 Month Assessment",
     hospital_states={

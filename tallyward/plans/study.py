@@ -1,6 +1,6 @@
 """From the three record tables of a study to all of its derived tables.
 
-``study_products`` is lazy. ``run_study`` writes: first the cleaned inputs and the
+``study_products`` is lazy, but for the sorted lists of ids. ``run_study`` writes: first the cleaned inputs and the
 entity-level tables, which several summaries read, then the summaries from those. A
 written table prunes columns, and a lost executor does not cost a recompute.
 """
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.functions import first_match, is_true, month_key, month_label, parse_date, recode
-from tallyward.operators import battery, charts, columns, device, expected, flow, followup
+from tallyward.operators import battery, charts, checks, columns, device, expected, flow, followup
 from tallyward.operators import funnel, reasons, status
 from tallyward.plans.config import StudyConfig
 from tallyward.sources.sinks import read_product, write_product
@@ -261,23 +261,60 @@ def flow_stages(enrolled: DataFrame, fu_status: DataFrame, cfg: StudyConfig) ->
     return [first, later]
 
 
+def input_rules(cfg: StudyConfig) -> dict[str, checks.Rules]:
+    """What the staged tables of a study are taken to hold."""
+    day = F.col("daily_date")
+    return {
+        "inhosp": {
+            "id": F.col("id").isNotNull(),
+            "event": F.col(cfg.event_col).isNotNull(),
+            "day_not_before_enrolment": day.isNull() | (day >= F.coalesce("enroll_date", day)),
+        },
+        "exc": {"id": F.col("exc_id").isNotNull(), "date": F.col("exc_date").isNotNull()},
+        "fu": {"id": F.col("id").isNotNull(), "event": F.col(cfg.event_col).isNotNull()},
+        "enrolled": {
+            "death_not_before_enrolment": F.col("death_date").isNull()
+            | (F.col("death_date") >= F.col("enroll_date")),
+        },
+    }
+
+
 def run_study(
     spark: SparkSession,
     inputs: Mapping[str, DataFrame],
     cfg: StudyConfig,
     as_of: dt.date,
     out: str,
+    *,
+    strict: bool = False,
 ) -> list[str]:
-    """Write all derived tables under ``out``, one folder each; returns their names."""
+    """Write all derived tables under ``out``, one folder each; returns their names.
+
+    Rows of the staged tables that break a rule of ``input_rules`` are counted as they are
+    written, in the table ``input_checks``; with ``strict`` the job ends at the first such
+    table.
+    """
     written: list[str] = []
+    found: list[tuple[str, str, int, int]] = []
+    rules = input_rules(cfg)
 
     def stage(name: str, df: DataFrame) -> DataFrame:
         path = f"{out}/{name}"
+        seen = None
+        if name in rules:
+            df, seen = checks.observed(df, rules[name])
         write_product(df, path, as_of)
         written.append(name)
+        if seen is not None:
+            found.extend((name, *row) for row in checks.broken_rules(seen))
+            if strict:
+                checks.assert_rules(name, seen)
         return read_product(spark, path, as_of)
 
     products = study_products(inputs, cfg, as_of, stage=stage)
+    products["input_checks"] = spark.createDataFrame(
+        found, "source string, rule string, n_broken long, n_rows long"
+    )
     for name, df in products.items():
         if name not in written:
             write_product(df, f"{out}/{name}", as_of)

@@ -16,17 +16,17 @@ ENROL = "Enrollment /Trial Day 1"
 
 # id -> enrolment, discharge, death, withdrawal
 STAYS = {
-    "VMO-001": ("2018-03-10", "2018-03-20", None, None),
-    "VMO-020": ("2018-07-01", "2018-07-05", None, None),
-    "VMO-021": ("2018-07-10", None, "2018-07-13", None),
-    "VMO-022": ("2018-08-01", None, None, "2018-08-04"),
-    "VMO-023": ("2018-09-01", "2018-09-10", "2018-09-25", None),
-    "VMO-024": ("2019-02-20", None, None, None),
-    "VMO-025": (None, None, None, None),
-    "VMO-026": ("2018-12-15", "2019-01-20", None, None),
-    "VMO-027": ("2018-10-01", "2018-10-06", None, None),
-    "VMO-028": ("2018-10-02", "2018-10-08", None, None),
-    "VMO-Test1": ("2018-03-11", None, None, None),
+    "PT-001": ("2018-03-10", "2018-03-20", None, None),
+    "PT-020": ("2018-07-01", "2018-07-05", None, None),
+    "PT-021": ("2018-07-10", None, "2018-07-13", None),
+    "PT-022": ("2018-08-01", None, None, "2018-08-04"),
+    "PT-023": ("2018-09-01", "2018-09-10", "2018-09-25", None),
+    "PT-024": ("2019-02-20", None, None, None),
+    "PT-025": (None, None, None, None),
+    "PT-026": ("2018-12-15", "2019-01-20", None, None),
+    "PT-027": ("2018-10-01", "2018-10-06", None, None),
+    "PT-028": ("2018-10-02", "2018-10-08", None, None),
+    "PT-Test1": ("2018-03-11", None, None, None),
 }
 EXCLUDED = {
     "E1": ("2018-03-05", (14,)),
@@ -55,31 +55,31 @@ def inhosp_rows():
         rows.setdefault((pid, event), {}).update(values)
 
     # batteries
-    add("VMO-001", ENROL, **{c: "Yes" for c in (*SURROGATE, *CAREGIVER) if c in SURROGATE})
-    add("VMO-001", ENROL, bdi_comp_ph=None)
-    add("VMO-001", ENROL, **{c: "Yes, fully" for c in CAREGIVER})
-    add("VMO-020", ENROL, **{c: "Yes, partially" for c in SURROGATE})
-    add("VMO-020", ENROL, zarit_comp_ph="Yes", memory_comp_ph="No")
+    add("PT-001", ENROL, **{c: "Yes" for c in (*SURROGATE, *CAREGIVER) if c in SURROGATE})
+    add("PT-001", ENROL, bdi_comp_ph=None)
+    add("PT-001", ENROL, **{c: "Yes, fully" for c in CAREGIVER})
+    add("PT-020", ENROL, **{c: "Yes, partially" for c in SURROGATE})
+    add("PT-020", ENROL, zarit_comp_ph="Yes", memory_comp_ph="No")
     # specimens
-    add("VMO-020", ENROL, study_day_specimen_e="Enrollment/Day 1", blue_drawn="1", purple_drawn="2")
+    add("PT-020", ENROL, study_day_specimen_e="Enrollment/Day 1", blue_drawn="1", purple_drawn="2")
     add(
-        "VMO-020", "Trial Day 5",
+        "PT-020", "Trial Day 5",
         study_day_specimen_5="Day 5 and Discharge", blue_drawn="1", purple_drawn="0",
     )
-    add("VMO-001", ENROL, study_day_specimen_e="Enrollment/Day 1", blue_drawn="0", purple_drawn="1")
-    add("VMO-023", "Trial Day 3", purple_drawn="1")
+    add("PT-001", ENROL, study_day_specimen_e="Enrollment/Day 1", blue_drawn="0", purple_drawn="1")
+    add("PT-023", "Trial Day 3", purple_drawn="1")
     # device
-    add("VMO-020", ENROL, daily_date="2018-07-01", coord_ever="Yes", bed_device_num="0")
+    add("PT-020", ENROL, daily_date="2018-07-01", coord_ever="Yes", bed_device_num="0")
     add(
-        "VMO-020", "Trial Day 4", daily_date="2018-07-04", coord_ever="Yes", bed_device_num="2",
+        "PT-020", "Trial Day 4", daily_date="2018-07-04", coord_ever="Yes", bed_device_num="2",
         bed_remove_why_1="Bathing", bed_remove_why_2="Permanent discontinuation",
     )
     add(
-        "VMO-023", "Trial Day 5", daily_date="2018-09-05", coord_ever="No", bed_device_num="1",
+        "PT-023", "Trial Day 5", daily_date="2018-09-05", coord_ever="No", bed_device_num="1",
         bed_remove_why_1="Permanent discontinuation",
     )
     add(
-        "VMO-024", "Trial Day 3", daily_date="2019-02-22", coord_ever="Yes", bed_device_num="1",
+        "PT-024", "Trial Day 3", daily_date="2019-02-22", coord_ever="Yes", bed_device_num="1",
         bed_remove_why_1="Permanent discontinuation",
     )
     return [{"id": pid, "redcap_event_name": ev, **v} for (pid, ev), v in rows.items()]
@@ -95,12 +95,12 @@ def exc_rows():
 def fu_rows():
     one, three, twelve = "1 Month Phone Call", "3 Month Assessment", "12 Month Assessment"
     return [
-        {"id": "VMO-001", "redcap_event_name": three, "gq_complete_yn": "Yes",
+        {"id": "PT-001", "redcap_event_name": three, "gq_complete_yn": "Yes",
          "gq_date": "2018-06-15", "rbans_date_complete": "2018-6-20"},
-        {"id": "VMO-020", "redcap_event_name": three, "gq_complete_yn": "Yes, partially"},
-        {"id": "VMO-020", "redcap_event_name": one, "ls_complete_yn": "Yes"},
-        {"id": "VMO-027", "redcap_event_name": three, "gq_rsn": "Patient refusal"},
-        {"id": "VMO-001", "redcap_event_name": twelve},
+        {"id": "PT-020", "redcap_event_name": three, "gq_complete_yn": "Yes, partially"},
+        {"id": "PT-020", "redcap_event_name": one, "ls_complete_yn": "Yes"},
+        {"id": "PT-027", "redcap_event_name": three, "gq_rsn": "Patient refusal"},
+        {"id": "PT-001", "redcap_event_name": twelve},
     ]
 
 

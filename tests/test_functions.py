@@ -174,7 +174,7 @@ def test_missing_text_prints_as_na(spark):
 
 
 @pytest.mark.parametrize(
-    ("value", "want"), [("VMO-Test1", True), ("TEST9", True), ("VMO-1", False), (None, False)]
+    ("value", "want"), [("PT-Test1", True), ("TEST9", True), ("PT-1", False), (None, False)]
 )
 def test_contains_any_case(spark, value, want):
     assert text(spark, fn.contains_any_case(C, "test"), value) is want

@@ -94,8 +94,8 @@ def test_matching(spark):
 
 
 def test_drop_test_entities_keeps_rows_without_id(spark):
-    df = spark.createDataFrame([("VMO-Test1",), ("VMO-1",), (None,)], "id string")
-    assert rows(columns.drop_test_entities(df, "id")) == [("VMO-1",), (None,)]
+    df = spark.createDataFrame([("PT-Test1",), ("PT-1",), (None,)], "id string")
+    assert rows(columns.drop_test_entities(df, "id")) == [("PT-1",), (None,)]
 
 
 def test_datetime_columns(spark):

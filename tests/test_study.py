@@ -9,6 +9,7 @@ import pytest
 from conftest import d, rows
 from pyspark.sql import functions as F
 
+from tallyward.operators import checks
 from tallyward.operators import followup as fup
 from tallyward.plans.icu_study import ICU_STUDY
 from tallyward.plans.study import run_study, study_products
@@ -47,6 +48,29 @@ def test_funnel(study):
     )
 
 
+def test_input_checks(study):
+    """Rows that break a rule, counted while the cleaned inputs are written."""
+    found = {(r.source, r.rule): (r.n_broken, r.n_rows) for r in study["input_checks"].collect()}
+    assert found["exc", "date"] == (1, study["exc"].count())
+    assert {k: v[0] for k, v in found.items() if v[0]} == {("exc", "date"): 1}
+    assert found["enrolled", "death_not_before_enrolment"][1] == study["enrolled"].count()
+
+
+def test_strict_study_ends_at_a_broken_rule(spark, tmp_path):
+    inputs = load_inputs(spark, mini_study.land(tmp_path / "landed"))
+    with pytest.raises(ValueError, match="rows of exc break a rule .date: 1 of "):
+        run_study(spark, inputs, ICU_STUDY, mini_study.AS_OF, str(tmp_path / "out"), strict=True)
+
+
+def test_observed_counts_without_another_scan(spark):
+    df = spark.createDataFrame([(1, True), (2, None), (None, False)], "n int, flag boolean")
+    seen_rows, seen = checks.observed(df, {"n": F.col("n") > 1, "flag": F.col("flag")})
+    assert seen_rows.count() == 3
+    assert checks.broken_rules(seen) == [("n", 2, 3), ("flag", 2, 3)]
+    with pytest.raises(ValueError, match="n: 2 of 3; flag: 2 of 3"):
+        checks.assert_rules("t", seen)
+
+
 def test_month_axis(study):
     axis = rows(study["screening_axis"], "myear", "myear_num", "show_label")
     assert [a[1] for a in axis] == [1, 2, 3, 4, 5, 6, 7, 8]
@@ -54,9 +78,9 @@ def test_month_axis(study):
 
 
 def test_undated(study):
-    assert rows(study["undated_ids"]) == [("E4",), ("VMO-025",)]
+    assert rows(study["undated_ids"]) == [("E4",), ("PT-025",)]
     message = study["undated_text"].first().message
-    assert message.endswith("are not included: E4; VMO-025")
+    assert message.endswith("are not included: E4; PT-025")
 
 
 def test_reasons(study):
@@ -65,7 +89,7 @@ def test_reasons(study):
         ("2018-03", "Patient/surrogate refusal", 2, 50.0),
         ("2018-03", "Rapidly resolving organ failure", 2, 50.0),
         ("2018-07", "Prisoner", 1, 100.0),
-        ("NA-NA", "Lives >150 miles from VUMC", 1, 100.0),
+        ("NA-NA", "Lives >150 miles from the hospital", 1, 100.0),
     ]
     types = study["reason_hierarchy"].where("level = 1")
     assert rows(types, "reason_type", "n_reason") == [
@@ -85,7 +109,7 @@ def test_terminal_status(study):
         ("Still in hospital", 1),
         ("Withdrew in hospital", 1),
     ]
-    assert study["still_in_text"].first().ids == "VMO-024"
+    assert study["still_in_text"].first().ids == "PT-024"
 
 
 def test_timeline(study):
@@ -97,9 +121,9 @@ def test_timeline(study):
     assert rows(timeline.where("study_day = 29").groupBy("study_status").count()) == [
         ("Deceased", 2), ("Discharged", 4), ("In hospital", 2), ("Withdrawn", 1),
     ]
-    late_death = timeline.where("id = 'VMO-023' and study_status = 'Deceased'")
+    late_death = timeline.where("id = 'PT-023' and study_status = 'Deceased'")
     assert late_death.agg(F.min("study_day")).first()[0] == 25
-    changes = timeline.where("id = 'VMO-023' and transition_day")
+    changes = timeline.where("id = 'PT-023' and transition_day")
     assert rows(changes, "study_day", "redcap_event_name") == [
         (10, "Trial Day 10"), (25, "Trial Day 25"),
     ]
@@ -129,7 +153,7 @@ def test_device(study):
     assert (permanent.pct_accel_permrm, permanent.accel_permrm_alert) == (20.0, "warn")
     assert rows(study["removal_histogram"]) == [(1, 2), (2, 1), *((k, 0) for k in range(3, 9))]
     assert rows(study["device_days"], "id", "myear_char", "bed_device_num") == [
-        ("VMO-020", "Jul", 0), ("VMO-020", "Jul", 2), ("VMO-023", "Sep", 1), ("VMO-024", "Feb", 1),
+        ("PT-020", "Jul", 0), ("PT-020", "Jul", 2), ("PT-023", "Sep", 1), ("PT-024", "Feb", 1),
     ]
 
 
@@ -152,15 +176,15 @@ def test_followup_status(study):
         (r.id, r.redcap_event_name): r.fu_status for r in study["fu_status"].collect()
     }
     expected = {
-        "VMO-001": (fup.NO_CONSENT, fup.ASSESSED, fup.ELIGIBLE),
-        "VMO-020": (fup.ASSESSED, fup.ASSESSED, fup.NOT_YET),
-        "VMO-021": (fup.DIED,) * 3,
-        "VMO-022": (fup.WITHDREW,) * 3,
-        "VMO-023": (fup.DIED,) * 3,
-        "VMO-024": (None,) * 3,
-        "VMO-026": (fup.ELIGIBLE, fup.NOT_YET, fup.NOT_YET),
-        "VMO-027": (fup.ELIGIBLE, fup.REFUSED, fup.NOT_YET),
-        "VMO-028": (fup.ELIGIBLE, fup.ELIGIBLE, fup.NOT_YET),
+        "PT-001": (fup.NO_CONSENT, fup.ASSESSED, fup.ELIGIBLE),
+        "PT-020": (fup.ASSESSED, fup.ASSESSED, fup.NOT_YET),
+        "PT-021": (fup.DIED,) * 3,
+        "PT-022": (fup.WITHDREW,) * 3,
+        "PT-023": (fup.DIED,) * 3,
+        "PT-024": (None,) * 3,
+        "PT-026": (fup.ELIGIBLE, fup.NOT_YET, fup.NOT_YET),
+        "PT-027": (fup.ELIGIBLE, fup.REFUSED, fup.NOT_YET),
+        "PT-028": (fup.ELIGIBLE, fup.ELIGIBLE, fup.NOT_YET),
     }
     assert status == {
         (pid, visit): s
@@ -170,13 +194,13 @@ def test_followup_status(study):
 
 
 def test_followup_dates_and_windows(study):
-    row = study["fu_status"].where(f"id = 'VMO-001' and redcap_event_name = '{THREE}'").first()
+    row = study["fu_status"].where(f"id = 'PT-001' and redcap_event_name = '{THREE}'").first()
     assert (row.first_asmt, row.last_asmt) == (d("2018-06-15"), d("2018-06-20"))
     assert row.enter_window == d("2018-03-20") + dt.timedelta(83)
     assert row.exit_window == row.enter_window + dt.timedelta(56)
     assert row.in_window and row.n_asmts_full == 1 and row.n_asmts_phone is None
     assert row.any_full and not row.all_full
-    still_in = study["fu_status"].where("id = 'VMO-024'").first()
+    still_in = study["fu_status"].where("id = 'PT-024'").first()
     assert still_in.in_window is None and still_in.fu_elig is False and still_in.fu_comp is None
 
 
@@ -185,10 +209,10 @@ def test_missing_flags_become_not_done_where_due(study):
         where = f"id = '{pid}' and redcap_event_name = '{visit}'"
         return study["fu_status"].where(where).first()[f"{stem}_complete"]
 
-    assert flag("VMO-028", THREE, "gq") is False
-    assert flag("VMO-028", THREE, "ph_biadl") is None  # not asked at this kind of visit
-    assert flag("VMO-026", ONE, "ls") is False
-    assert flag("VMO-026", TWELVE, "gq") is None  # not yet due
+    assert flag("PT-028", THREE, "gq") is False
+    assert flag("PT-028", THREE, "ph_biadl") is None  # not asked at this kind of visit
+    assert flag("PT-026", ONE, "ls") is False
+    assert flag("PT-026", TWELVE, "gq") is None  # not yet due
 
 
 def test_followup_summaries(study):
@@ -204,7 +228,7 @@ def test_followup_summaries(study):
     assert three.where("x_sorted = 1").first().asmt_type == "Gen."
     assert study["fu_instruments"].where(f"redcap_event_name = '{TWELVE}'").count() == 0
     assert rows(study["fu_not_assessed_text"], "redcap_event_name", "ids") == [
-        (ONE, "VMO-026; VMO-027; VMO-028"), (TWELVE, "VMO-001"), (THREE, "VMO-028"),
+        (ONE, "PT-026; PT-027; PT-028"), (TWELVE, "PT-001"), (THREE, "PT-028"),
     ]
 
 
@@ -275,7 +299,7 @@ def test_two_studies_in_one_run_equal_two_runs(spark, study, tmp_path_factory):
     both = study_products(
         load_inputs(spark, paths), replace(ICU_STUDY, by=("study_id",)), mini_study.AS_OF
     )
-    skip = {"inhosp", "exc", "fu"}
+    skip = {"inhosp", "exc", "fu", "input_checks"}
     assert set(both) == set(study) - skip
     for name in sorted(set(both)):
         single = study[name]
