@@ -2,28 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one only where it is unset."""
-    context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not folder:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyward-"))
-        folder = context.getCheckpointDir()
-    return folder
+from tallyward.sources.staging import shared_folder
 
 
 def saved(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back: cut lineage, any executor may be lost."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import random
+from collections import Counter, defaultdict
+
 import corpus_pipeline
+import pytest
+import sentencepiece
+import zstandard
 from conftest import SF
 
 import __spark_entry__ as entry
+from tallyward.llm import langid
 from tallyward.llm.common import saved
+from tallyward.llm.mixing import target_words
+from tallyward.llm.queries import PIECES
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -39,3 +48,156 @@ def test_stages_on_empty_and_odd_rows(spark):
     for some in (docs, docs.limit(0)):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, some, SF).collect()
+
+
+# --- each stage against plain Python, on planted documents ---------------------------
+
+PARTS = {"xx": ["ba", "lo", "mi", "tu", "re"], "yy": ["sch", "ung", "keit", "ver", "ein"]}
+
+
+def planted():
+    """Two languages; exact and near copies, shared and near lines, texts of no language."""
+    rng = random.Random(11)
+    word = lambda lang: "".join(rng.choice(PARTS[lang]) for _ in range(rng.randrange(2, 5)))
+    line = lambda lang, n=12: " ".join(word(lang) for _ in range(n))
+    rows, shared = [], {lang: line(lang) for lang in PARTS}
+    for i in range(60):
+        lang = "xx" if i % 3 else "yy"
+        lines = [line(lang, rng.randrange(8, 20)) for _ in range(rng.randrange(2, 5))]
+        if i % 5 == 0:
+            lines.insert(1, shared[lang])
+        if i % 7 == 0:  # the shared line with one word replaced
+            words = shared[lang].split()
+            words[rng.randrange(len(words))] = word(lang)
+            lines.append(" ".join(words))
+        rows.append((i, "\n".join(lines), lang, f"s{i % 4}"))
+    rows += [(100 + i, rows[i][1], rows[i][2], "s9") for i in range(5)]  # exact copies
+    for i in range(10, 15):  # one long text with a line more: a near copy once lines are gone
+        rows.append((100 + i, rows[i][1] + "\n" + line(rows[i][2], 30), rows[i][2], "s9"))
+    long = line("xx", 60)
+    rows += [(200, long, "xx", "s1"), (201, long.replace(" ", ", ", 1) + " x1 x2", "xx", "s1")]
+    rows += [(300, "12 34", None, "s1"), (301, None, None, "s2"), (302, "", "xx", None)]
+    return rows
+
+
+def plain_languages(rows):
+    sample = defaultdict(set)
+    for _, text, lang, _ in rows:
+        if text and lang:
+            sample[lang].add(text)
+    return sample
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def groups(items, near):
+    """The first of each connected group of a list."""
+    parent = list(range(len(items)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(items)):
+        for j in range(i):
+            if near(items[i], items[j]):
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    return [find(i) for i in range(len(items))]
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    rows = [(*r, len(r[1] or "")) for r in planted()]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    out = [rows]
+    for _, stage in corpus_pipeline.STAGES:
+        docs = saved(stage(spark, docs, SF))
+        out.append([tuple(r) for r in docs.collect()])
+    return out
+
+
+def test_language_stage_against_plain_compression(spark, stages):
+    before, after = stages[0], stages[1]
+    docs = spark.createDataFrame(before, "doc_id long, text string, lang string, source string, n_chars long")
+    models = langid.train_dictionaries(docs)
+    assert set(models) == set(plain_languages(r[:4] for r in before))
+    search = zstandard.ZstdCompressionParameters(**langid.SEARCH, write_content_size=False, write_checksum=False, write_dict_id=False)
+
+    def size(text, lang):
+        raw = "".join(c if c.isalpha() else " " for c in text.lower())
+        raw = " ".join(raw.split(" ")) if raw else raw
+        while "  " in raw:
+            raw = raw.replace("  ", " ")
+        raw = raw.encode()
+        data = zstandard.ZstdCompressionDict(models[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        press = zstandard.ZstdCompressor(dict_data=data, compression_params=search)
+        return sum(len(press.compress(raw[i : i + langid.BLOCK])) for i in range(0, len(raw), langid.BLOCK))
+
+    kept = set()
+    for r in before:
+        if r[1] and any(c.isalpha() for c in r[1]):
+            best, second = sorted(size(r[1], m) for m in models)[:2]
+            if 1 - best / second >= 0.01:
+                kept.add(r)
+    assert set(after) == kept
+    assert {r[0] for r in before} - {r[0] for r in after} >= {300, 301, 302}
+
+
+def test_line_stage_against_edit_distance(stages):
+    before, after = sorted(stages[1]), {r[0]: r for r in stages[2]}
+    norm = lambda x: "".join(c if c.isalnum() else " " for c in x.lower()).split()
+    places = [(r[0], k, " ".join(norm(x))) for r in before for k, x in enumerate(r[1].split("\n"))]
+    places = [p for p in places if p[2]]
+    near = lambda a, b: a[2] == b[2] or (abs(len(a[2]) - len(b[2])) <= 0.2 * max(len(a[2]), len(b[2])) and len(set(a[2].split()) & set(b[2].split())) > 2 and edits(a[2], b[2]) <= int(max(len(a[2]), len(b[2])) * 0.2 + 1e-9))
+    heads = groups(places, near)
+    gone = {places[i][:2] for i, head in enumerate(heads) if head != i}
+    want = {}
+    for r in before:
+        lines = r[1].split("\n")
+        left = [x for k, x in enumerate(lines) if (r[0], k) not in gone]
+        if left:
+            want[r[0]] = (r[0], "\n".join(left), r[2], r[3], len("\n".join(left)))
+    assert after == want
+    assert len(gone) > 20 and not {100, 101, 102} & set(after)
+
+
+def test_near_duplicate_stage_against_all_pairs(stages):
+    before, after = sorted(stages[2]), stages[3]
+    shingles = []
+    for r in before:
+        w = r[1].lower().split()
+        shingles.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)})
+    heads = groups(list(range(len(before))), lambda i, j: 100 * len(shingles[i] & shingles[j]) >= 75 * len(shingles[i] | shingles[j]))
+    assert sorted(after) == [r for i, r in enumerate(before) if heads[i] == i]
+
+
+def test_mixing_stage_keeps_to_the_targets(stages):
+    before, after = stages[3], stages[4]
+    times = Counter(after)
+    assert set(times) <= set(before) and max(times.values()) <= 2
+    sizes = defaultdict(int)
+    for r in before:
+        sizes[r[3]] += len(r[1].split())
+    targets, largest = target_words(dict(sizes)), max(len(r[1].split()) for r in before)
+    for source, target in targets.items():
+        taken = sum(n * len(r[1].split()) for r, n in times.items() if r[3] == source)
+        assert taken <= target + 1e-6 and target - taken <= largest, source
+
+
+def test_encoding_stage_against_the_library(stages):
+    before, after = stages[4], stages[5]
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    want = Counter((r[0], r[3], tuple(model.encode(r[1]))) for r in before)
+    assert Counter((r[0], r[1], tuple(r[3])) for r in after) == want
+    assert all(r[2] == len(r[3]) for r in after)
