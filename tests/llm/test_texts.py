@@ -141,6 +141,7 @@ def distance(a, b):
 
 
 def test_line_dedup(spark):
+    """Equal to linking all pairs by edit similarity alone."""
     rng = random.Random(5)
     long = [sentence(rng, 60) for _ in range(6)]
     near = [t.replace("w1", "w2", 1) for t in long] + [f"{t} w399" for t in long]
@@ -150,20 +151,12 @@ def test_line_dedup(spark):
     out = lines.dedup_lines(table(spark, texts)).collect()
     norm = lambda t: re.sub(r"[\W_]+", " ", t).lower().strip()
     every = sorted({norm(x) for t in texts if t is not None for x in t.split("\n")} - {""})
-    hashed = spark.createDataFrame([(w,) for w in {w for x in every for w in x.split()}], "w string").select("w", F.xxhash64("w").alias("h"))
-    value = {r.w: r.h & ((1 << 63) - 1) for r in hashed.collect()}
-
-    def simhash(line):
-        own = [value[w] for w in set(line.split())]
-        return sum(1 << i for i in range(63) if 2 * sum(h >> i & 1 for h in own) > len(own))
-
-    sims = [simhash(x) for x in every]
     parent = list(range(len(every)))
     links = 0
     for i in range(len(every)):
         for j in range(i):
             most = int(max(len(every[i]), len(every[j])) * 0.2 + 1e-9)
-            if (sims[i] ^ sims[j]).bit_count() <= 3 and distance(every[i], every[j]) <= most:
+            if distance(every[i], every[j]) <= most:
                 a, b = find(parent, i), find(parent, j)
                 parent[max(a, b)] = min(a, b)
                 links += 1
@@ -190,14 +183,106 @@ def test_line_dedup_edges(spark):
     assert lines.dedup_lines(df.limit(0)).collect() == []
 
 
-@pytest.mark.parametrize("n", [255, 256, 700, 3000])
-def test_simhash_of_long_lines(spark, n):
+def test_models_of_another_kind_are_refused(tmp_path):
+    """A model that picks pieces by score, or one that folds blanks, would give other ids."""
+    with open(PIECES, "rb") as file:
+        raw = file.read()
+    scored, folding = raw.replace(b"tok_v0\x18\x02", b"tok_v0\x18\x01"), raw.replace(b"identity\x12\x00\x18\x01 \x00", b"identity\x12\x00\x18\x01 \x01")
+    for k, other in enumerate((scored, folding)):
+        assert other != raw
+        (tmp_path / f"{k}.model").write_bytes(other)
+        with pytest.raises(ValueError, match="in another way"):
+            pieces.load_pieces(str(tmp_path / f"{k}.model"))
+    pieces.load_pieces(PIECES)
+
+
+@pytest.mark.parametrize("times", [1, 2, 3])
+def test_line_dedup_of_repeated_rows(spark, times):
+    """Near copies are found however often their rows are repeated."""
+    rng = random.Random(12)
+    data = []
+    for i in range(20):
+        words = sentence(rng, 150, 10**6).split()
+        data.append((i, " ".join(words)))
+        words[rng.randrange(150)] = "changed"
+        data += [(100 + i, " ".join(words))] * times
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    got = lines.dedup_lines(df).select("doc_id", "n_dropped").collect()
+    assert sorted(map(tuple, got)) == sorted((i, int(i >= 100)) for i, _ in data)
+
+
+def near_lines(rng, n, share):
+    """Pairs of lines of ``n`` words in which a share of the words, at least one, is replaced."""
+    spell = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 10)))
+    words = [spell() for _ in range(n)]
+    other = list(words)
+    for i in rng.sample(range(n), max(1, int(n * share))):
+        other[i] = spell()
+    return " ".join(words), " ".join(other)
+
+
+@pytest.mark.parametrize(("share", "least"), [(0, 0.97), (0.05, 0.95), (0.1, 0.9), (0.15, 0.8)])
+def test_line_dedup_recall(spark, share, least):
+    """Of pairs at an edit similarity of 0.8 or more, told by edit distance alone, those linked."""
+    rng = random.Random(int(share * 100))
+    data, near = [], {}
+    for n in (5, 6, 8, 10, 12, 16, 20, 24, 31, 33, 40, 50, 60):
+        kept = 0
+        while kept < 40:
+            x, y = near_lines(rng, n, share)
+            if distance(x, y) > int(max(len(x), len(y)) * 0.2 + 1e-9):
+                if n * share >= 1 or n > 6:
+                    kept += share > 0.12  # too far apart: counts for nothing, but ends
+                continue
+            near.setdefault(n, []).append(len(data) + 1)
+            data += [x, y]
+            kept += 1
+    df = spark.createDataFrame(list(enumerate(data)), "doc_id long, text string").repartition(4)
+    gone = {r.doc_id for r in lines.dedup_lines(df).collect() if r.n_dropped}
+    found = {n: sum(i in gone for i in ids) / len(ids) for n, ids in near.items()}
+    assert gone <= {i for ids in near.values() for i in ids}
+    assert np.mean([i in gone for ids in near.values() for i in ids]) >= least
+    if share == 0:
+        assert min(found.values()) >= 0.9, found
+
+
+def test_line_buckets_stay_small(spark):
+    """Lines of two words out of many share no bucket for one common word."""
+    rng = random.Random(1)
+    df = spark.createDataFrame([(f"the w{rng.randrange(10**6)}",) for _ in range(3000)], "t string")
+    keys = df.select(F.explode(lines.block_keys(F.split("t", " "))).alias("key"))
+    assert keys.groupBy("key").count().agg(F.max("count")).first()[0] < 5
+
+
+@pytest.mark.parametrize("n", range(1, 8))
+def test_simhash_is_the_majority_of_bits(spark, n):
     rng = random.Random(n)
-    words = [f"w{rng.randrange(50)}" for _ in range(n)]
-    df = spark.createDataFrame([(1, words)], "id long, words array<string>")
-    value = {r.w: r.h & ((1 << 63) - 1) for r in df.select(F.explode("words").alias("w")).distinct().select("w", F.xxhash64("w").alias("h")).collect()}
-    want = sum(1 << i for i in range(63) if 2 * sum(value[w] >> i & 1 for w in words) > n)
-    assert lines.with_simhash(df, ["id"], "words").first().sim == want
+    hashes = [rng.randrange(-(2**63), 2**63) for _ in range(n)]
+    df = spark.createDataFrame([(hashes,)], "x array<long>")
+    sim = df.select(lines.simhash(F.col("x"), F.size("x")).alias("sim")).first().sim
+    assert sim % 2**64 == sum(1 << i for i in range(64) if 2 * sum(x >> i & 1 for x in hashes) > n)
+
+
+def test_line_blocks_against_plain_python(spark):
+    """Blocks are the words that follow the eight places of the ring, in both sizes near an edge."""
+    rng = random.Random(6)
+    texts = [sentence(rng, n, 10**6) for n in (1, 2, 3, 7, 8, 9, 14, 15, 16, 17, 30, 31, 33, 40, 200)]
+    texts += [f"{t} a b cd" for t in texts] + ["a b c d e f g h i j k"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    hashed = {r.w: r.h for r in df.select(F.explode(F.split("t", " ")).alias("w")).select("w", F.xxhash64("w").alias("h")).collect()}
+    got = {r.t: r["keys"] for r in df.select("t", lines.block_keys(F.split("t", " ")).alias("keys")).collect()}
+    for t in texts:
+        every = set(t.split())
+        n, edge = len(every), -(-len(every) // 16)
+        ends = [b for b, _ in lines.BLOCKS[1:]] + [10**9]
+        blocks = set()
+        for (low, m), end in zip(lines.BLOCKS, ends):
+            if n + edge >= low and n - edge < end:
+                long = {w for w in every if len(w) > 3}
+                ring = sorted(hashed[w] for w in (long if m > 2 and len(long) >= 3 else every))
+                places = [sum(x < -(2**63) + (k << 61) for x in ring) % len(ring) for k in range(8)]
+                blocks |= {(m, frozenset((ring * 8)[p:][: min(m, len(ring))])) for p in places}
+        assert len(got[t]) == len(set(got[t])) == len(blocks)
 
 
 def test_language_on_held_out_texts(spark):
