@@ -19,14 +19,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The mark that stands for a blank in pieces (fixed by the model format).
 MARK = "▁"
 BASE = np.uint64(0x9E3779B97F4A7C15)
-#: Text handled at a time, units remembered by a task, slots for tested pairs.
-CHUNK, REMEMBERED, TESTED = 1 << 20, 400_000, 1 << 20
+#: Text handled at a time, units remembered by a task, slots for tested pairs, ids decoded at a time.
+CHUNK, REMEMBERED, TESTED, DECODED = 1 << 22, 200_000, 1 << 20, 1 << 19
 
 
 class Pieces:
@@ -262,7 +263,23 @@ def restored(kind: type, tables: dict):
 
 
 def load_pieces(model_file: str) -> Pieces:
-    return Pieces(model_file)
+    """The tables of a model file; ValueError if it is of another kind than is built here.
+
+    Some texts are encoded in both ways: a model that does not merge pairs, or that
+    normalises text or blanks, gives other ids than these tables do.
+    """
+    import sentencepiece
+
+    pieces = Pieces(model_file)
+    model = sentencepiece.SentencePieceProcessor(model_file=model_file)
+    names = [model.id_to_piece(i).replace(MARK, " ") for i in range(0, pieces.size, max(1, pieces.size // 2000)) if not model.is_byte(i)]
+    texts = [" two  blanks ", "Ａ ﬁ ① é é", "tab\tand\nline", "🙂 日本語", "A" * 50, "".join(names), " ".join(names), *names[-200:]]
+    flat, counts = Encoder(pieces).ids([MARK + t.replace(" ", MARK) for t in texts])
+    own = np.split(flat, np.cumsum(counts)[:-1])
+    for text, ids in zip(texts, own):
+        if ids.tolist() != model.encode(text):
+            raise ValueError(f"the model encodes {text[:40]!r} in another way: not a pair-merging model without normalisation")
+    return pieces
 
 
 def encoded(pieces: Pieces, df: DataFrame, text: Column) -> Column:
@@ -300,6 +317,27 @@ def encoded(pieces: Pieces, df: DataFrame, text: Column) -> Column:
     return F.arrow_udf(encode, "array<int>")(text)
 
 
+def _texts(p: Pieces, ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The texts of rows of ids: all bytes gathered at once, then cut by row."""
+    known = (ids >= 0) & (ids < p.size)
+    row, ids = np.repeat(np.arange(len(sizes)), sizes)[known], ids[known]
+    n = p.raw_size[ids]
+    ends = np.cumsum(n)
+    total = int(ends[-1]) if len(ends) else 0
+    raw = p.raw[np.repeat(p.raw_start[ids] - (ends - n), n) + np.arange(total)]
+    length = np.bincount(row, weights=n, minlength=len(sizes)).astype(np.int64)
+    first = (np.cumsum(length) - length)[length > 0]
+    blank = first[raw[first] == 0x20]  # the one put before a text
+    length[np.searchsorted(np.cumsum(length), blank, "right")] -= 1
+    raw = np.delete(raw, blank)
+    offsets = np.concatenate(([0], np.cumsum(length))).astype(np.int64)
+    cut = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(raw.tobytes())])
+    try:
+        return cut.cast(pa.large_string()).cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([b.decode("utf-8", "replace") for b in cut.to_pylist()], pa.string())
+
+
 def decoded(pieces: Pieces, df: DataFrame, ids: Column) -> Column:
     """The text of ``array<int>`` ids; null for null, unknown or null ids give nothing.
 
@@ -310,21 +348,15 @@ def decoded(pieces: Pieces, df: DataFrame, ids: Column) -> Column:
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         p = restored(Pieces, shared.value)
         for lists in batches:
-            out = []
-            for one in lists:
-                if not one.is_valid:
-                    out.append(None)
-                    continue
-                values = one.values.fill_null(-1).to_numpy(zero_copy_only=False)
-                raw = bytearray()
-                for low in range(0, len(values), CHUNK):
-                    part = values[low : low + CHUNK]
-                    part = part[(part >= 0) & (part < p.size)]
-                    sizes = p.raw_size[part]
-                    ends = np.cumsum(sizes)
-                    total = int(ends[-1]) if len(ends) else 0
-                    raw += p.raw[np.repeat(p.raw_start[part] - (ends - sizes), sizes) + np.arange(total)].tobytes()
-                out.append(bytes(raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace"))
-            yield pa.array(out, pa.string())
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            values = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+            ends, out, low = np.cumsum(sizes), [], 0
+            while low < len(sizes):  # neighbouring rows that together are about a chunk
+                before = int(ends[low - 1]) if low else 0
+                high = max(low + 1, int(np.searchsorted(ends, before + DECODED, "right")))
+                out.append(_texts(p, values[before : int(ends[high - 1])], sizes[low:high]))
+                low = high
+            texts = pa.concat_arrays(out) if out else pa.array([], pa.string())
+            yield pc.if_else(lists.is_valid(), texts, pa.scalar(None, pa.string()))
 
     return F.arrow_udf(decode, "string")(ids)
