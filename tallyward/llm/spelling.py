@@ -158,7 +158,8 @@ def runs(docs: DataFrame, letters: str, text_col: str = "text", least_points: in
     low = F.translate(F.col(text_col).cast("string"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     found = F.regexp_extract_all(low, F.lit(f"[{letters}]{{{least_points},}}"), 0)
     kept = [c for c in docs.columns if c not in (text_col, "run")]
-    return docs.select(*kept, F.explode(found).alias("run"))
+    # an outer generator: no filter works the runs out again
+    return docs.select(*kept, F.explode_outer(found).alias("run")).where("run is not null")
 
 
 def without_point(word: Column, at: Column) -> Column:
