@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.operators.joins import join_groups
+from tallyward.operators.joins import join_groups, tasks_for
 from tallyward.sources.staging import staged
 
 #: Bits of a row's number in its partition, as ``monotonically_increasing_id`` has them.
@@ -24,13 +24,17 @@ def with_positions(
 ) -> DataFrame:
     """``df`` with each row's place in its group, from 0, and the size of the group.
 
-    Rows are dealt to ranges of (group, order) and written once, sorted, with their place
+    The input is worked out once, into a written table, whose size says how many ranges
+    of (group, order) its rows are dealt to. They are written again, sorted, with their place
     in the range. The counts of each range give the places before it, so a group of any
-    size is spread over tasks and the input is read once. Rows that are equal in ``order``
-    have places next to each other; nulls come first, and a missing group is a group.
+    size is spread over tasks. Rows that are equal in ``order`` have places next to each
+    other; nulls come first, and a missing group is a group.
     """
     by, keys = list(by), [*by, *order]
-    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    df = staged(df)
+    tasks = tasks_for(df)
+    ranged = df.repartitionByRange(tasks, *keys) if tasks else df.repartitionByRange(*keys)
+    ranged = ranged.sortWithinPartitions(*keys)
     rows = staged(ranged.withColumn("_place", F.monotonically_increasing_id()))
     part = F.shiftright("_place", IN_PARTITION)
     # In a range, the rows of a group follow each other.

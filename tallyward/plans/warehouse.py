@@ -35,7 +35,7 @@ from tallyward.functions import (
     thousands,
 )
 from tallyward.operators import battery, charts, columns, device, dimensions, expected, flow
-from tallyward.operators import followup, funnel, reasons, reshape, status
+from tallyward.operators import followup, funnel, joins, reasons, reshape, status
 from tallyward.plans.icu_study import ICU_STUDY
 from tallyward.plans.study import flow_stages
 from tallyward.sources import load_inputs, read_product, staging, write_product
@@ -675,9 +675,9 @@ def _visit_lines(spark: SparkSession, sf: str) -> DataFrame:
             for m, w in WINDOWS.items()
         ]
     )
+    lines, orders = joins.dealt_alike(["l_orderkey"], _lines(spark, sf), orders)
     return (
-        _lines(spark, sf)
-        .join(orders, "l_orderkey")
+        lines.join(orders, "l_orderkey")
         .select(
             F.col("l_orderkey").alias("id"),
             visit.alias("event"),
@@ -843,8 +843,9 @@ def followup_instruments_group_windows(spark: SparkSession, sf: str) -> DataFram
 def followup_not_yet_text(spark: SparkSession, sf: str) -> DataFrame:
     """Ids due but not yet assessed, as text per visit."""
     ids = followup.not_yet_assessed(_followup(spark, sf, merge=False))
-    ids = ids.select("event", F.col("id").cast("string").alias("id"))
-    return funnel.id_lines(ids.distinct(), by=["event"])
+    # Distinct before they are text: the rows are dealt by the id as it is.
+    ids = ids.select("event", "id").distinct()
+    return funnel.id_lines(ids, by=["event"])
 
 
 @query

@@ -11,7 +11,8 @@ from conftest import SF, d, rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tallyward.operators import battery, device, expected, flow, followup, funnel, positions
+from tallyward.operators import battery, device, expected, flow, followup, funnel, joins, positions
+from tallyward.plans import warehouse
 from tallyward.plans.warehouse import BEFORE_DISCHARGE, PERMANENT, QUERIES
 from tallyward.sources import staging
 
@@ -286,6 +287,51 @@ def test_long_id_list_is_cut_by_place(spark):
     assert rows(funnel.id_lines(ids.limit(3), per_line=500))[0][:2] == (0, 3)
 
 
+@pytest.mark.parametrize(
+    "name",
+    [
+        "study_flow",
+        "study_flow_by_priority",
+        "followup_not_yet_text",
+        "followup_instruments_all_records",
+        "followup_instruments_group_windows",
+        "followup_totals_group_windows",
+    ],
+)
+def test_tasks_of_the_followup_grow_with_the_tables(spark, tmp_path, monkeypatch, name):
+    orders = [
+        (k, k, "FOP"[k % 3], f"{k % 5 + 1}-{('URGENT', 'HIGH', 'MEDIUM', 'NOT', 'LOW')[k % 5]}", dt.datetime(2000, 1, 1 + k % 28))
+        for k in range(40)
+    ]
+    kinds = "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate timestamp"
+    spark.createDataFrame(orders, kinds).write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [
+        (k, n, "RAN"[(k + n) % 3], day + dt.timedelta(days=20 * n + 15))
+        for k, *_, day in orders
+        for n in (1, 1, 2, 3, 4)
+    ]
+    kinds = "l_orderkey long, l_linenumber int, l_returnflag string, l_shipdate timestamp"
+    spark.createDataFrame(lines, kinds).write.parquet(f"{tmp_path}/lineitem.parquet")
+    few = rows(QUERIES[name](spark, str(tmp_path)))
+    assert "REPARTITION_BY_NUM" not in plan(warehouse._visit_lines(spark, str(tmp_path)))
+    # 240 rows of 16 to a task: 15 tasks, more than the session's 8 shuffle partitions.
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 16)
+    visits = warehouse._visit_lines(spark, str(tmp_path))
+    assert plan(visits).count("15), REPARTITION_BY_NUM") == 2
+    assert visits.rdd.getNumPartitions() == 15
+    assert rows(QUERIES[name](spark, str(tmp_path))) == few
+
+
+def test_many_rows_are_dealt_to_more_ranges(spark, monkeypatch):
+    df = spark.range(100).select((F.col("id") % 3).alias("g"), (97 - F.col("id")).alias("x"))
+    few = rows(positions.with_positions(df, ["x"], by=["g"]))
+    written = []
+    monkeypatch.setattr(positions, "staged", lambda part: written.append(plan(part)) or staging.staged(part))
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 5)
+    assert rows(positions.with_positions(df, ["x"], by=["g"])) == few
+    assert "20), REPARTITION_BY_NUM" in written[-1]
+
+
 def test_positions_of_groups_over_many_ranges(spark):
     """A hot group, a missing group, ties and nulls; places are those of the sorted group."""
     data = [("hot", i % 700) for i in range(3_000)] + [(None, 5), (None, None), ("a", 1), ("b", 2), ("b", 2)]
