@@ -15,6 +15,7 @@ that of the model's own merges.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 MARK = "▁"
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Text handled at a time, units remembered by a task, slots for tested pairs, ids decoded at a time.
-CHUNK, REMEMBERED, TESTED, DECODED = 1 << 22, 200_000, 1 << 20, 1 << 19
+CHUNK, REMEMBERED, TESTED, DECODED = 1 << 21, 200_000, 1 << 20, 1 << 19
 
 
 class Pieces:
@@ -215,13 +216,17 @@ class Encoder:
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and each one's count."""
-        units = [self.units.findall(t) for t in texts]
+        own: defaultdict[str, int] = defaultdict()  # each distinct unit is held once
+        own.default_factory = own.__len__
+        units = [np.fromiter(map(own.__getitem__, us), np.int32, len(us)) for us in map(self.units.findall, texts)]
+        own.default_factory = None  # else it holds itself
         if len(self.known) > REMEMBERED:
             self.reset()
-        new = list(set().union(*units) - self.known.keys())
+        new = [u for u in own if u not in self.known]
         if new:
             self.learn(new)
-        at = np.fromiter((self.known[u] for us in units for u in us), np.int64, sum(map(len, units)))
+        places = np.fromiter(map(self.known.__getitem__, own), np.int64, len(own))
+        at = places[np.concatenate(units)] if units else places
         counts = self.count[at]
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from math import log10
@@ -196,6 +197,21 @@ def test_models_of_another_kind_are_refused(tmp_path):
     pieces.load_pieces(PIECES)
 
 
+def test_a_chunk_holds_each_distinct_unit_once():
+    encoder = pieces.Encoder(pieces.load_pieces(PIECES))
+    text = "".join(f"{pieces.MARK}word{i % 500}" for i in range(2_000))
+    one, _ = encoder.ids([text])
+    tracemalloc.start()
+    try:
+        flat, counts = encoder.ids([text] * 300)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (flat == np.tile(one, 300)).all() and (counts == len(one)).all()
+    assert peak < 8 * flat.nbytes
+    assert [len(x) for x in encoder.ids([])] == [0, 0]
+
+
 @pytest.mark.parametrize("times", [1, 2, 3])
 def test_line_dedup_of_repeated_rows(spark, times):
     """Near copies are found however often their rows are repeated."""
