@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -260,6 +261,18 @@ def grouped(texts: list[str | None]) -> Iterator[list[int]]:
         yield group
 
 
+def chunks(texts: pa.Array) -> Iterator[pa.Array]:
+    """Runs of neighbouring texts that together are about a chunk."""
+    low, held = 0, 0
+    for i, n in enumerate(pc.fill_null(pc.utf8_length(texts), 0).to_pylist(), 1):
+        held += n
+        if held >= CHUNK:
+            yield texts.slice(low, i - low)
+            low, held = i, 0
+    if low < len(texts):
+        yield texts.slice(low)
+
+
 def restored(kind: type, tables: dict):
     """An object of ``kind`` made of tables that were broadcast."""
     made = object.__new__(kind)
@@ -298,26 +311,22 @@ def encoded(pieces: Pieces, df: DataFrame, text: Column) -> Column:
 
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(restored(Pieces, shared.value))
-        for texts in batches:
+        for texts in chain.from_iterable(map(chunks, batches)):  # told chunk by chunk: no batch is held whole
             rows = texts.to_pylist()
-            flats, counts = [], []
-            for group in grouped(rows):
-                parts, of = [], []
-                for k, i in enumerate(group):
-                    if rows[i]:
-                        new = list(cuts(MARK + rows[i].replace(" ", MARK)))
-                        parts += new
-                        of += [k] * len(new)
-                if len(parts) > len(group):  # very long ones: part by part
-                    both = [encoder.ids([x]) for x in parts]
-                    flat, count = np.concatenate([x for x, _ in both]), np.concatenate([x for _, x in both])
-                else:
-                    flat, count = encoder.ids(parts)
-                flats.append(flat)
-                counts.append(np.bincount(np.array(of, np.int64), weights=count, minlength=len(group)).astype(np.int64))
-            ends = np.concatenate(([0], np.cumsum(np.concatenate(counts)))) if counts else np.zeros(1, np.int64)
-            values = pa.array(np.concatenate(flats) if flats else np.zeros(0, np.int32), pa.int32())
-            yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values, mask=texts.is_null())
+            parts, of = [], []
+            for i, row in enumerate(rows):
+                if row:
+                    new = list(cuts(MARK + row.replace(" ", MARK)))
+                    parts += new
+                    of += [i] * len(new)
+            if len(parts) > len(rows):  # very long ones: part by part
+                both = [encoder.ids([x]) for x in parts]
+                flat, count = np.concatenate([x for x, _ in both]), np.concatenate([x for _, x in both])
+            else:
+                flat, count = encoder.ids(parts)
+            sizes = np.bincount(np.array(of, np.int64), weights=count, minlength=len(rows)).astype(np.int64)
+            ends = np.concatenate(([0], np.cumsum(sizes)))
+            yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat, pa.int32()), mask=texts.is_null())
 
     return F.arrow_udf(encode, "array<int>")(text)
 
@@ -355,13 +364,12 @@ def decoded(pieces: Pieces, df: DataFrame, ids: Column) -> Column:
         for lists in batches:
             sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             values = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
-            ends, out, low = np.cumsum(sizes), [], 0
+            ends, low = np.cumsum(sizes), 0
             while low < len(sizes):  # neighbouring rows that together are about a chunk
                 before = int(ends[low - 1]) if low else 0
                 high = max(low + 1, int(np.searchsorted(ends, before + DECODED, "right")))
-                out.append(_texts(p, values[before : int(ends[high - 1])], sizes[low:high]))
+                texts = _texts(p, values[before : int(ends[high - 1])], sizes[low:high])
+                yield pc.if_else(lists.slice(low, high - low).is_valid(), texts, pa.scalar(None, pa.string()))
                 low = high
-            texts = pa.concat_arrays(out) if out else pa.array([], pa.string())
-            yield pc.if_else(lists.is_valid(), texts, pa.scalar(None, pa.string()))
 
     return F.arrow_udf(decode, "string")(ids)

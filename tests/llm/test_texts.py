@@ -12,6 +12,7 @@ from math import log10
 import numpy as np
 import pyarrow as pa
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 
 from tallyward.llm import jaccard, lines, lm, mixing, pieces, shards, wordpieces
@@ -212,6 +213,24 @@ def test_a_chunk_holds_each_distinct_unit_once():
     assert [len(x) for x in encoder.ids([])] == [0, 0]
 
 
+def test_texts_are_encoded_and_decoded_chunk_by_chunk(spark, monkeypatch):
+    """No batch is held whole: its texts come in runs of about a chunk, in order, nulls and long ones included."""
+    texts = pa.array([None, "ab cd", "", "é" * 30, None, "x y " * 20, "z"] * 5)
+    monkeypatch.setattr(pieces, "CHUNK", 20)
+    runs = list(pieces.chunks(texts))
+    assert pa.concat_arrays(runs).equals(texts) and len(runs) == 11
+    assert list(pieces.chunks(texts.slice(0, 0))) == []
+    monkeypatch.undo()
+    model = pieces.load_pieces(PIECES)
+    rows = [None, "", "word " * 300_000, "a", None, *(f"text {i} " * 40_000 for i in range(12)), "end"]
+    df = table(spark, rows).coalesce(1)
+    out = df.withColumn("ids", pieces.encoded(model, df, F.col("text")))
+    out = out.withColumn("back", pieces.decoded(model, df, F.col("ids"))).orderBy("doc_id").collect()
+    want = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    assert [r.back for r in out] == rows
+    assert [r.ids for r in out] == [None if t is None else want.encode(t) for t in rows]
+
+
 @pytest.mark.parametrize("times", [1, 2, 3])
 def test_line_dedup_of_repeated_rows(spark, times):
     """Near copies are found however often their rows are repeated."""
