@@ -289,6 +289,35 @@ def test_line_buckets_stay_small(spark):
     assert keys.groupBy("key").count().agg(F.max("count")).first()[0] < 5
 
 
+def test_sketches_rule_out_unlike_lines_only(spark):
+    """No pair that shares two fifths of its words is lost; most lines with two words in common are told apart."""
+    rng = random.Random(9)
+    texts = [" ".join(["of", "the", *(f"v{rng.randrange(3000)}" for _ in range(rng.choice((5, 6, 20, 60))))]) for _ in range(60)]
+    texts += [" ".join(rng.sample(t.split(), len(t.split()) // 2)) + f" z{i}" for i, t in enumerate(texts)]
+    df = spark.createDataFrame(list(enumerate(texts)), "h int, norm string").select("h", *lines.sketched(F.split("norm", " ")))
+    left, right = (df.select(*(F.col(c).alias(c + side) for c in df.columns)) for side in "ab")
+    got = {(r.ha, r.hb) for r in left.crossJoin(right).where("ha < hb").where(lines.may_share("a", "b")).collect()}
+    sets = [set(t.split()) for t in texts]
+    pairs = [(i, j) for j in range(len(texts)) for i in range(j)]
+    alike = {(i, j) for i, j in pairs if len(sets[i] & sets[j]) >= 0.4 * min(len(sets[i]), len(sets[j]))}
+    assert len(alike) >= 50 and alike <= got
+    assert len(got - alike) < 0.1 * len(pairs)
+
+
+def test_line_distances_told_by_words_agree_with_edit_distance(spark):
+    """Words replaced in place, and words replaced beside one that is lost, link up to the same distance."""
+    rng = random.Random(1)
+    spell = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8))
+    data, want = [], []
+    for change, lost in ((1, 0), (1, 1), (0, 1), (6, 0), (6, 1)):
+        words = [spell() for _ in range(20)]
+        other = [spell() if k % 3 == 0 and k // 3 < change else w for k, w in enumerate(words)]
+        data += [" ".join(words), " ".join(other[:10] + other[10 + lost :])]
+        want += [0, int(distance(*data[-2:]) <= len(data[-2]) * 0.2)]
+    gone = [r.n_dropped for r in lines.dedup_lines(table(spark, data)).orderBy("doc_id").collect()]
+    assert gone == want == [0, 1, 0, 1, 0, 1, 0, 0, 0, 0]
+
+
 @pytest.mark.parametrize("n", range(1, 8))
 def test_simhash_is_the_majority_of_bits(spark, n):
     rng = random.Random(n)
