@@ -293,7 +293,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int,
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("mark")).distinct().join(classes, "mark")
-    wanted = wanted.select(F.col("rep").alias("doc_id"))
+    # written, so that its size is known: beside few ids the texts stay where they are
+    wanted = saved(wanted.select(F.col("rep").alias("doc_id")))
     sets = saved(
         texts.join(wanted, "doc_id", "left_semi")
         .select("doc_id", "text")

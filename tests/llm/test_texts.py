@@ -125,6 +125,29 @@ def test_ngram_jaccard_long_columns(spark):
     test_ngram_jaccard(table(spark, data), data)
 
 
+def test_ngram_jaccard_leaves_texts_in_place_beside_few_ids(spark, monkeypatch):
+    """The texts to be verified are met by a table of ids of known size, so they are not shuffled."""
+    rng = random.Random(8)
+    texts = [sentence(rng, 60, 10**6) for _ in range(300)]
+    texts[7] = texts[6] + " x"
+    plans, was = [], jaccard.saved
+
+    def saved(df):
+        if df.columns == ["mark", "grams"]:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return was(df)
+
+    monkeypatch.setattr(jaccard, "saved", saved)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")
+    try:
+        got = {r.doc_id: r.component_id for r in jaccard.ngram_jaccard(table(spark, texts)).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == {i: 6 if i == 7 else i for i in range(300)}
+    assert plans and not any("hashpartitioning" in p for p in plans), plans
+
+
 def test_ngram_jaccard_repeated_and_null_ids(spark):
     df = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (0, None)], "doc_id long, text string")
     got = sorted((tuple(r) for r in jaccard.ngram_jaccard(df).collect()), key=str)
