@@ -22,14 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import components, mixed, saved, shingle_sets
+from tallyward.llm.common import components, mixed, saved, shingle_sets, slices
 
 #: Kept n-grams of a task before it counts them, and the least count that it reports.
 HELD, REPORTED = 4_000_000, 4
 #: Classes of a column that gives all its pairs at once.
 SHORT = 12
-#: Classes of a block of the product.
-BLOCK = 2048
+#: Classes of a block of the product, and of those the ones whose pairs are looked at together.
+BLOCK, STRIP = 2048, 256
 #: One part in so many of a set that a partner has among its first n-grams.
 COMMON = 20
 
@@ -40,29 +40,35 @@ def fingerprint(grams: np.ndarray) -> int:
     return int(mixed(total).view(np.int64)[0]) if len(grams) else 0
 
 
+def _reported(grams: np.ndarray) -> pa.RecordBatch:
+    """The n-grams found ``REPORTED`` times, with counts; ``grams`` is sorted in place, as a copy would hold as much again."""
+    grams.sort()
+    first = grams[: max(0, len(grams) - REPORTED + 1)]
+    values = np.unique(first[first == grams[REPORTED - 1 :]])
+    counts = np.searchsorted(grams, values, "right") - np.searchsorted(grams, values)
+    return pa.record_batch([pa.array(values.view(np.int64)), pa.array(counts)], ["gram", "n"])
+
+
 def _often(texts: DataFrame, size: int, most: int) -> tuple[np.ndarray, np.ndarray]:
     """The at most ``most`` n-grams seen most, with counts: an order only, results never depend on it."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n, seen = [], 0, set()
-
-        def told():
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
-            keep = counts >= REPORTED
-            return pa.record_batch([pa.array(values[keep].view(np.int64)), pa.array(counts[keep])], ["gram", "n"])
-
+        held, n, seen = np.empty(HELD, np.uint64), 0, set()
         for batch in batches:
-            for grams in shingle_sets(batch.column(0), size):
-                mark = fingerprint(grams)
-                if mark not in seen:
+            for part in slices(batch, 0):
+                for grams in shingle_sets(part.column(0), size):
+                    mark = fingerprint(grams)
+                    if mark in seen:
+                        continue
+                    if n + len(grams) > len(held):
+                        yield _reported(held[:n])
+                        n, seen = 0, set()
+                        if len(grams) > len(held):
+                            held = np.empty(len(grams), np.uint64)
                     seen.add(mark)
-                    held.append(grams)
+                    held[n : n + len(grams)] = grams
                     n += len(grams)
-                if n >= HELD:
-                    yield told()
-                    held, n, seen = [], 0, set()
-        if held:
-            yield told()
+        yield _reported(held[:n])
 
     counts = texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     rows = counts.orderBy(F.desc("n"), "gram").limit(most).toArrow()
@@ -106,17 +112,17 @@ def ngram_jaccard(
     shared = spark.sparkContext.broadcast((known, weight))
 
     def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = shingle_sets(batch.column(1), size)
+        for part in (part for batch in batches for part in slices(batch, 1)):
+            sets = shingle_sets(part.column(1), size)
             yield pa.record_batch(
-                [batch.column(0), pa.array(list(map(len, sets)), pa.int64()), pa.array(list(map(fingerprint, sets)), pa.int64())], ["doc_id", "n", "mark"]
+                [part.column(0), pa.array(list(map(len, sets)), pa.int64()), pa.array(list(map(fingerprint, sets)), pa.int64())], ["doc_id", "n", "mark"]
             )
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, weight = shared.value
         seen: set[int] = set()
-        for batch in batches:
-            sets = shingle_sets(batch.column(1), size)
+        for part in (part for batch in batches for part in slices(batch, 1)):
+            sets = shingle_sets(part.column(1), size)
             marks, sizes, firsts = [], [], []
             for grams in sets:
                 n, mark = len(grams), fingerprint(grams)
@@ -238,40 +244,44 @@ def _product(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
                 held = [np.concatenate(z) for z in zip(held, piece)]
                 continue
             if held is not None:
-                yield _block_pairs(held, percent)
+                yield from _block_pairs(held, percent)
             held = piece
     if held is not None:
-        yield _block_pairs(held, percent)
+        yield from _block_pairs(held, percent)
 
 
-def _block_pairs(block: list[np.ndarray], percent: int) -> pa.RecordBatch:
+def _block_pairs(block: list[np.ndarray], percent: int) -> Iterator[pa.RecordBatch]:
     _, low, high, own, gram, mark, n, c, m = block
     names, first, row = np.unique(mark, return_index=True, return_inverse=True)
     own, n, c, m = own[first], n[first].astype(np.int64), c[first], m[first]
     k = len(names)
     _, column = np.unique(gram, return_inverse=True)
     overlap = np.zeros((k, k), np.float32)
+    strips = [slice(at, at + STRIP) for at in range(0, k, STRIP)]
     width = max(1, 8_000_000 // k)
     for start in range(0, int(column.max()) + 1, width):
         some = (column >= start) & (column < start + width)
         part = np.zeros((k, min(width, int(column.max()) + 1 - start)), np.float32)
         part[row[some], column[some] - start] = 1
-        overlap += part @ part.T
+        for strip in strips:
+            overlap[strip, strip.start :] += part[strip] @ part[strip.start :].T
     outside = m - np.bincount(row, minlength=k)  # columns of a class in other blocks
     least = -(-n // COMMON)
     past = -(-n * percent // 100) - least
-    a, b = np.nonzero(np.triu(overlap > 0, 1))
-    asked = np.maximum(np.minimum(least[a], least[b]), -(-(n[a] + n[b]) * percent // (100 + percent)) - np.maximum(past[a], past[b]))
-    keep = (c[a] != c[b]) & (overlap[a, b] + np.minimum(outside[a], outside[b]) >= asked)
-    keep &= np.minimum(n[a], n[b]) * 100 >= np.maximum(n[a], n[b]) * percent
-    if low[0] != high[0]:
-        keep &= own[a] != own[b]
-    return pa.record_batch([pa.array(names[a[keep]]), pa.array(names[b[keep]])], ["a", "b"])
+    for strip in strips:
+        a, b = np.nonzero(np.triu(overlap[strip] > 0, strip.start + 1))
+        a += strip.start
+        asked = np.maximum(np.minimum(least[a], least[b]), -(-(n[a] + n[b]) * percent // (100 + percent)) - np.maximum(past[a], past[b]))
+        keep = (c[a] != c[b]) & (overlap[a, b] + np.minimum(outside[a], outside[b]) >= asked)
+        keep &= np.minimum(n[a], n[b]) * 100 >= np.maximum(n[a], n[b]) * percent
+        if low[0] != high[0]:
+            keep &= own[a] != own[b]
+        yield pa.record_batch([pa.array(names[a[keep]]), pa.array(names[b[keep]])], ["a", "b"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = shingle_sets(batch.column(1), size)
+    for part in (part for batch in batches for part in slices(batch, 1)):
+        sets = shingle_sets(part.column(1), size)
         yield pa.record_batch(
             [pa.array([fingerprint(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())],
             ["mark", "grams"],

@@ -15,7 +15,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from tallyward.llm import jaccard, lines, lm, mixing, pieces, shards, wordpieces
+from tallyward.llm import common, jaccard, lines, lm, mixing, pieces, shards, wordpieces
 from tallyward.llm.common import components, word_hashes
 from tallyward.llm.langid import predict_language, train_dictionaries
 from tallyward.llm.queries import PIECES
@@ -148,6 +148,55 @@ def test_ngram_jaccard_leaves_texts_in_place_beside_few_ids(spark, monkeypatch):
     assert plans and not any("hashpartitioning" in p for p in plans), plans
 
 
+def peak_mb(work):
+    """What ``work`` yields, and the MB of numpy that it held at most."""
+    tracemalloc.start()
+    out = list(work())
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return out, peak
+
+
+def test_ngram_jaccard_holds_a_slice_of_a_batch():
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(some := [f"w{i}" for i in range(5000)], k=400)) for _ in range(4000)]
+    batch = pa.record_batch([pa.array(range(4000), pa.int64()), pa.array([None, *texts[1:-1], ""])], ["doc_id", "text"])
+    assert len(some) == 5000 and batch.nbytes > 8e6
+    common.powers(common.WINDOW)
+    whole = common.shingle_sets(batch.column(1))
+    got, peak = peak_mb(lambda: jaccard._sets(iter([batch]), 5))
+    assert peak < 45, peak  # 26 MB; 64 when the batch was held whole
+    got = pa.Table.from_batches(got)
+    assert got["mark"].to_pylist() == list(map(jaccard.fingerprint, whole))
+    assert got["grams"].to_pylist() == [x.tobytes() for x in whole]
+
+
+def test_ngram_jaccard_reports_what_is_seen_often():
+    for n in (0, 1, 3, 4, 5, 4000):
+        grams = np.random.default_rng(n).integers(0, 1 + n // 4, n).astype(np.uint64)
+        wanted = {g: k for g, k in zip(*(x.tolist() for x in np.unique(grams, return_counts=True))) if k >= jaccard.REPORTED}
+        got = jaccard._reported(grams)
+        assert dict(zip(*(c.to_pylist() for c in got.columns))) == wanted
+
+
+def test_ngram_jaccard_block_holds_a_strip_of_its_pairs():
+    """2,000 classes that all share enough: the pairs of a block are handed on strip by strip."""
+    k = 2000
+    gram = np.tile(np.arange(4), k)
+    mark, ones = np.repeat(np.arange(k), 4), np.ones(4 * k, np.int64)
+    block = [0 * ones, 0 * ones, 0 * ones, 0 * ones, gram, mark, 80 * ones, mark, 40 * ones]
+
+    def product():
+        found = jaccard._block_pairs(block, 75)
+        for batch in [found] if isinstance(found, pa.RecordBatch) else found:
+            a, b = (c.to_numpy() for c in batch.columns)
+            yield len(a), bool((a < b).all()), np.unique(a * k + b).size
+
+    found, peak = peak_mb(product)
+    assert peak < 90, peak  # 51 MB; 130 when all pairs were held
+    assert [sum(x) for x in zip(*found)] == [k * (k - 1) // 2, len(found), k * (k - 1) // 2]
+
+
 def test_ngram_jaccard_repeated_and_null_ids(spark):
     df = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (0, None)], "doc_id long, text string")
     got = sorted((tuple(r) for r in jaccard.ngram_jaccard(df).collect()), key=str)
