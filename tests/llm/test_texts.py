@@ -318,6 +318,30 @@ def test_line_dedup_of_repeated_rows(spark, times):
     assert sorted(map(tuple, got)) == sorted((i, int(i >= 100)) for i, _ in data)
 
 
+def test_dedup_lines_frees_what_it_has_read(spark, monkeypatch):
+    """When the result is handed on, only places, lines, components and no texts are left on disk."""
+    rng = random.Random(12)
+    data = [sentence(rng, 30, 10**6) for _ in range(50)]
+    data += [x + " tail" for x in data[:20]]
+    made, was = [], lines.saved
+
+    def saved(df):
+        made.append(out := was(df))
+        return out
+
+    monkeypatch.setattr(lines, "saved", saved)
+    _, kept = lines.line_groups(table(spark, data))
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def is_there(df):
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(df._jdf.inputFiles()[0]))
+        return path.getFileSystem(conf).exists(path)
+
+    left = [df.columns for df in made if is_there(df)]
+    assert left == [["h", "doc_id", "row", "pos"], ["h", "at", "times"]], left
+    assert kept.count() == 40
+
+
 def near_lines(rng, n, share):
     """Pairs of lines of ``n`` words in which a share of the words, at least one, is replaced."""
     spell = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 10)))
