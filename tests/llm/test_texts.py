@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
@@ -414,6 +415,53 @@ def test_line_distances_told_by_words_agree_with_edit_distance(spark):
     assert gone == want == [0, 1, 0, 1, 0, 1, 0, 0, 0, 0]
 
 
+def test_edit_distance_bounds(spark):
+    """Bounds by words are never below the edit distance, and near lines are the same with them."""
+    rng = random.Random(5)
+    data = []
+    for n in (1, 3, 12, 40):
+        for share in (0, 0.1, 0.2, 0.3, 0.6):
+            words = [rng.choice(("the", "of", "wörd", f"w{rng.randrange(10**6)}")) for _ in range(n)]
+            other = [w for w in words if rng.random() > share / 2]
+            for k in range(int(share * n / 2)):
+                other.insert(rng.randrange(len(other) + 1), f"x{k}")
+            data.append((" ".join(words), " ".join(other) or "x"))
+    split = F.struct(F.split("x", " ").alias("x"), F.split("y", " ").alias("y"))
+    bound = lambda most, compared: lines._let(split, lambda w: lines._aligned(w["x"], w["y"], most, compared))
+    df = spark.createDataFrame(data, "x string, y string").withColumn("most", F.floor(F.greatest(F.length("x"), F.length("y")) * 0.2).cast("int"))
+    got = df.select("*", *(bound(F.lit(10**6), c).alias(f"c{int(c)}") for c in (False, True)), bound(F.col("most"), True).alias("cut"), lines._within(F.col("x"), F.col("y"), F.col("most")).alias("near"))
+    seen = set()
+    for r in got.collect():
+        d = distance(r.x, r.y)
+        assert d <= r.c1 <= r.c0 and r.near == (d <= r.most) and (r.cut > r.most or d <= r.cut), r
+        seen.add((r.near, r.c1 <= r.most))
+    assert {(True, True), (False, False)} <= seen
+
+
+def test_keyed_blocks_are_block_keys(spark):
+    """A row per block has the keys that a line's array has."""
+    rng = random.Random(8)
+    data = [(i, sentence(rng, n, 300) + " a b cd" * (i % 2)) for i, n in enumerate([1, 2, 3, 6, 7, 8, 9, 15, 16, 17, 31, 33, 60, 300] * 2)]
+    df = spark.createDataFrame(data, "h long, norm string")
+    rows = {(r.h, r.len, r.key) for r in lines.keyed_blocks(df).collect()}
+    arrays = df.select("h", F.length("norm"), F.explode(lines.block_keys(F.split("norm", " ")))).collect()
+    assert rows == set(map(tuple, arrays)) and len(rows) == len(arrays)
+
+
+def test_saved_leaves_no_shuffle_files(spark):
+    """What a table was shuffled for goes with the write, not with the driver's garbage."""
+    files = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+    df = spark.range(1000).repartition(4, "id")
+    before = files()
+    out = common.saved(df.groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before and out.count() == 7
+    assert spark.conf.get(common.CLEANUP) == "false"
+
+
 @pytest.mark.parametrize("n", range(1, 8))
 def test_simhash_is_the_majority_of_bits(spark, n):
     rng = random.Random(n)
