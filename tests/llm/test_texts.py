@@ -755,6 +755,29 @@ def test_language_model_does_not_depend_on_partitions(spark):
     assert scores[0] == pytest.approx(scores[1], abs=1e-6)
 
 
+def test_language_model_frees_what_it_has_read(spark, monkeypatch):
+    """When the scores are handed on, only what they are added up from is left on disk, and no two lengths were there at once."""
+    rng = random.Random(3)
+    df = table(spark, [sentence(rng, 30, 40) for _ in range(60)])
+    made, was, most = [], lm.saved, []
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def is_there(x):
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(x._jdf.inputFiles()[0]))
+        return path.getFileSystem(conf).exists(path)
+
+    def saved(x):
+        made.append(out := was(x))
+        most.append(sum("g" in y.columns and is_there(y) for y in made))
+        return out
+
+    monkeypatch.setattr(lm, "saved", saved)
+    out = lm.score_texts(df, F.col("doc_id") % 7 != 2)
+    assert [x.columns[0] for x in made if is_there(x)] == ["doc_id", "row", "row"]
+    assert max(most) == 2 and most.count(2) == 2 * lm.WORDS + lm.WORDS  # a table and the one made of it
+    assert out.count() == 60
+
+
 def test_language_model_against_plain_python(spark, monkeypatch):
     """All states and next words count, also when tasks know only the ten hottest."""
     monkeypatch.setattr(lm, "OFTEN", 10)
