@@ -401,6 +401,45 @@ def test_sketches_rule_out_unlike_lines_only(spark):
     assert len(got - alike) < 0.1 * len(pairs)
 
 
+@pytest.mark.parametrize("common", [False, True])
+def test_lines_with_few_words_in_common_are_linked(spark, common):
+    """Lines that agree in a block are linked by edit distance alone; with ``common``, all lie in one bucket, seldom side by side."""
+    rng = random.Random(3)
+    spell = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(10))
+    pool = spark.createDataFrame([(spell(),) for _ in range(300)], "w string").orderBy(F.xxhash64("w"))
+    pool = [r.w for r in pool.collect()]  # words side by side here mostly are a block of a line that has both
+    data = []
+    for i in range(150):
+        kept, others = pool[:2] if common else pool[2 * i : 2 * i + 2], [spell() for _ in range(4)]
+        changed = [w[:4] + ("y" if w[4] == "x" else "x") + w[5:] for w in others]
+        data += [" ".join(kept + others), " ".join(kept + changed)]
+    df = table(spark, data).repartition(4)
+    keys = {r.doc_id: set(r["keys"]) for r in df.select("doc_id", lines.block_keys(F.split("text", " ")).alias("keys")).collect()}
+    want = {i + 1 for i in range(0, len(data), 2) if keys[i] & keys[i + 1]}
+    assert len(want) > 30
+    assert all(distance(data[i - 1], data[i]) == 4 for i in want)
+    gone = {r.doc_id for r in lines.dedup_lines(df).collect() if r.n_dropped}
+    assert gone == want
+
+
+def test_letters_rule_out_distant_lines_only(spark):
+    """No pair within the edits is lost; most lines of other words are told apart, long ones never."""
+    rng = random.Random(4)
+    spell = lambda: "".join(rng.choice("aabcdeeefghiijklmnnoorsttuéß9") for _ in range(rng.randrange(2, 9)))
+    texts = [" ".join(spell() for _ in range(n)) for n in (1, 2, 3, 6, 9, 12, 18) for _ in range(8)]
+    texts += [t[: len(t) // 2] + "z" * (len(t) // 9) + t[len(t) // 2 + len(t) // 12 :] for t in texts] + ["a" * 40, "a" * 33, "x" * 127, "x" * 130]
+    df = spark.createDataFrame(list(enumerate(texts)), "h int, t string").select("h", F.length("t").alias("len"), lines.lettered(F.col("t")).alias("own"))
+    df = df.select("h", "len", "own.*")
+    left, right = (df.select(*(F.col(c).alias(c + side) for c in df.columns)) for side in "ab")
+    most = F.floor(F.greatest("lena", "lenb") * 0.2 + 1e-9).cast("int")
+    got = {(r.ha, r.hb) for r in left.crossJoin(right).where("ha < hb").where(lines.may_be_near("a", "b", most)).collect()}
+    pairs = [(i, j) for j in range(len(texts)) for i in range(j) if min(len(texts[i]), len(texts[j])) > 20]
+    near = {(i, j) for i, j in pairs if distance(texts[i], texts[j]) <= int(max(len(texts[i]), len(texts[j])) * 0.2 + 1e-9)}
+    assert len(near) > 20 and near <= got
+    assert len(got & set(pairs) - near) < 0.15 * len(pairs)
+    assert df.where("len > 128").where("l0 is not null").count() == 0
+
+
 def test_line_distances_told_by_words_agree_with_edit_distance(spark):
     """Words replaced in place, and words replaced beside one that is lost, link up to the same distance."""
     rng = random.Random(1)
