@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 from tallyward.llm.common import components, mixed, saved, shingle_sets, slices
 
-#: Kept n-grams of a task before it counts them, and the least count that it reports.
-HELD, REPORTED = 4_000_000, 4
+#: Kept n-grams of a task before it counts them, and the least count that it reports. With a
+#: larger one, n-grams found seldom by each task are taken for rare in the end, however many tasks find them.
+HELD, REPORTED = 4_000_000, 2
 #: Classes of a column that gives all its pairs at once.
 SHORT = 12
 #: Classes of a block of the product, and of those the ones whose pairs are looked at together.
@@ -93,7 +94,7 @@ def ngram_jaccard(
     text_col: str = "text",
     size: int = 5,
     percent: int = 75,
-    often: int = 200_000,
+    often: int = 1_000_000,
 ) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``.
 

@@ -172,6 +172,17 @@ def test_ngram_jaccard_holds_a_slice_of_a_batch():
     assert got["grams"].to_pylist() == [x.tobytes() for x in whole]
 
 
+def test_ngram_order_counts_what_each_task_finds_twice(spark):
+    """An n-gram that no task finds more than twice is known as frequent if many tasks find it."""
+    rng = random.Random(2)
+    texts = [(f"{sentence(rng, 20, 10**6)} passage of six common words here {sentence(rng, 20, 10**6)}",) for _ in range(20)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(texts, 10), "text string")  # two in each task
+    _, n = jaccard._often(df, 5, 100)
+    assert n.tolist() == [20, 20]
+    table_ = df.select(F.monotonically_increasing_id().alias("doc_id"), "text")
+    assert jaccard.ngram_jaccard(table_).where("doc_id != component_id").count() == 0
+
+
 def test_ngram_jaccard_reports_what_is_seen_often():
     for n in (0, 1, 3, 4, 5, 4000):
         grams = np.random.default_rng(n).integers(0, 1 + n // 4, n).astype(np.uint64)
